@@ -32,7 +32,7 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-def as_readings(events: DataFrame) -> DataFrame:
+def as_readings(events: DataFrame, *carried) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     return events.select(
         "event_id",
@@ -44,6 +44,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         (F.lit(75.0) + F.lit(0.9) * ((F.col("event_id") * 37) % 125)).alias("systolic_bp"),
         (F.lit(45.0) + F.lit(0.5) * ((F.col("event_id") * 37) % 125)).alias("diastolic_bp"),
         (F.lit(34.9) + F.lit(0.04) * ((F.col("event_id") * 53) % 100)).alias("temperature"),
+        *carried,
     )
 
 
@@ -53,7 +54,7 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
 
 def as_payload(events: DataFrame) -> DataFrame:
     """Readings as JSON messages; one event type arrives damaged in four ways."""
-    rows = as_readings(events).withColumn("k", F.get_json_object(events["props"], "$.k").cast("int"))
+    rows = as_readings(events, F.get_json_object("props", "$.k").cast("int").alias("k"))
     error = F.col("condition") == "error"
     time = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     json = F.to_json(F.struct(
