@@ -133,7 +133,7 @@ def split_factors(text: Column) -> Column:
     """Back from text to list; missing and the no-factor word give an empty list."""
     return F.when(
         text.isNull() | (text == "") | (text == TEXT_NO_FACTORS), F.array().cast("array<string>")
-    ).otherwise(F.transform(F.split(text, FACTOR_SEPARATOR.strip()), F.trim))
+    ).otherwise(F.transform(F.split(text, FACTOR_SEPARATOR.strip()), lambda s: F.trim(s)))
 
 
 def concern_codes(ews: Column, hr_slope: Column, spo2_slope: Column, abnormal_labs: Column,

@@ -46,9 +46,14 @@ def _candidate(rule: AlertRule) -> Column:
     )
 
 
+def breach_candidates(cfg: Settings = DEFAULTS) -> Column:
+    """Array with one slot per rule: the breach, or null where the reading is within the limit."""
+    return F.array(*[_candidate(r) for r in cfg.alert_rules])
+
+
 def breach_list(cfg: Settings = DEFAULTS) -> Column:
-    """Array with one struct per breached rule, empty for a clean reading."""
-    return F.filter(F.array(*[_candidate(r) for r in cfg.alert_rules]), lambda b: b.isNotNull())
+    """The breaches of a reading as an array, empty for a clean one."""
+    return F.filter(breach_candidates(cfg), lambda b: b.isNotNull())
 
 
 def vital_status(name: str, value: Column, cfg: Settings = DEFAULTS) -> Column:

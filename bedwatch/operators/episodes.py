@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from bedwatch.config import ALERT_TYPE_VITAL, DEFAULTS, Settings
-from bedwatch.functions.vitals import breach_list, breach_message
+from bedwatch.functions.vitals import breach_candidates, breach_message, breaches_any
 from bedwatch.session import pin_small
 
 BREACH_KEYS = ("patient_id", "vital_name")
@@ -27,11 +27,17 @@ ACK_COLUMNS = ("alert_id", "patient_id", "vital_name", "triggered_at", "acked_at
 
 
 def breach_events(readings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """One row per reading and breached rule; event time at millisecond precision."""
+    """One row per reading and breached rule; event time at millisecond precision.
+
+    Clean readings are dropped by a plain filter at the scan. The fixed slots
+    are exploded in their outer form and filtered, which stays in generated
+    code; filtering the array with a lambda would not.
+    """
     return (
-        readings
+        readings.filter(breaches_any(cfg))
         .select("patient_id", "event_id", F.date_trunc("millisecond", "event_time").alias("event_time"),
-                F.explode(breach_list(cfg)).alias("b"))
+                F.explode_outer(breach_candidates(cfg)).alias("b"))
+        .filter(F.col("b").isNotNull())
         .select("patient_id", "event_id", "event_time", "b.*")
     )
 

@@ -127,21 +127,18 @@ def level_distribution(risk: DataFrame) -> DataFrame:
     ).select("l.*", "avg_combined_risk")
 
 
-def run_totals(readings: DataFrame, labs: DataFrame, risk: DataFrame) -> DataFrame:
-    """Totals of a run as metric rows: readings, lab rows, reports, last scored day."""
-    def total(rows: DataFrame, name: str, value: Column) -> DataFrame:
-        return rows.agg(value.cast("double").alias("metric_value")).select(
-            F.lit("batch_layer").alias("component"), F.lit(name).alias("metric_name"), "metric_value")
-
-    reports = risk.agg(F.count("*").alias("n"), F.max("simulated_day").alias("d")).select(
-        F.lit("batch_layer").alias("component"),
-        F.explode(F.create_map(
-            F.lit("risk_reports_written"), F.col("n").cast("double"),
-            F.lit("last_simulated_day"), F.col("d").cast("double"),
-        )).alias("metric_name", "metric_value"),
-    )
-    return (
-        total(readings, "raw_readings_processed", F.count("*"))
-        .unionByName(total(labs, "lab_records_ingested", F.count("*")))
-        .unionByName(reports)
+def run_totals(labs: DataFrame, risk: DataFrame) -> DataFrame:
+    """Totals of a run as metric rows: readings analysed, lab rows, reports, last scored day."""
+    def as_rows(totals: DataFrame, *names: str) -> DataFrame:
+        pairs = [part for n in names for part in (F.lit(n), F.col(n).cast("double"))]
+        return totals.select(
+            F.lit("batch_layer").alias("component"),
+            F.explode(F.create_map(*pairs)).alias("metric_name", "metric_value"))
+
+    scored = risk.agg(
+        F.sum("readings_analyzed").alias("raw_readings_processed"),
+        F.count("*").alias("risk_reports_written"),
+        F.max("simulated_day").alias("last_simulated_day"),
     )
+    ingested = labs.agg(F.count("*").alias("lab_records_ingested"))
+    return as_rows(scored, *scored.columns).unionByName(as_rows(ingested, *ingested.columns))

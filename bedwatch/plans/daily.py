@@ -57,7 +57,7 @@ def run_days(spark: SparkSession, days: list[int], lab_folder: str, archive: str
     risk = stage(score_days(readings, stored, periods, cfg), "risk")
     upsert_days(risk, risk_table, RISK_KEYS)
     if metrics_table:
-        totals = run_totals(readings, labs, risk)
+        totals = run_totals(labs, risk)
         append_rows(totals.withColumn("recorded_at", F.current_timestamp()), metrics_table)
     return risk
 

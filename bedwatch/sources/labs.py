@@ -72,11 +72,14 @@ def _with_time(reports: DataFrame) -> DataFrame:
 
 
 def _exploded(reports: DataFrame) -> DataFrame:
+    # The outer form keeps the optimizer from adding a "size(tests) > 0" filter, which would
+    # compute a derived array twice; reports without tests drop out on the missing position.
     carried = [c for c in reports.columns if c not in ("tests", "collected_at")]
     tests = (
         _with_time(reports).filter(_report_reason().isNull())
         .select(*carried, F.col("collected_ts").alias("collected_at"),
-                F.posexplode("tests").alias("test_pos", "test"))
+                F.posexplode_outer("tests").alias("test_pos", "test"))
+        .filter(F.col("test_pos").isNotNull())
         .select("*", "test.*").drop("test")
     )
     value = F.when(~F.isnan("result_value"), F.col("result_value"))

@@ -42,7 +42,7 @@ def _delay(cfg: Settings):
     return F.expr(f"INTERVAL {cfg.watermark}") + F.make_dt_interval(secs=F.lit(cfg.cooldown_seconds))
 
 
-def _merge(summaries: DataFrame, state: DataFrame | None, acks: DataFrame, cfg: Settings) -> DataFrame:
+def _merge(summaries: DataFrame, state: DataFrame | None, acks: DataFrame | None, cfg: Settings) -> DataFrame:
     """Episodes after this batch, with the starts they were known by before."""
     rows = summaries.withColumn("_known", F.lit(None).cast("timestamp"))
     if state is not None:
@@ -79,16 +79,14 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
     def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         state = read_if_exists(spark, f"{path}/state/slot={(batch_id - 1) % 2}") if batch_id else None
         breaches = batch.filter("kind = 'breach'")
-        acks = _acks_of(batch)
-        if acks is None:
-            acks = _no_acks(breaches)
-        else:
-            acks = acks.persist(StorageLevel.DISK_ONLY)
+        acks = None
+        if "acked_at" in batch.columns:
+            acks = batch.filter("kind = 'ack'").select(*ACK_COLUMNS)
             acks.write.mode("overwrite").parquet(f"{path}/acks/batch_id={batch_id}")
-        if state is not None:
-            kept = state.filter(F.col("acked_at").isNotNull()).select(
-                *BREACH_KEYS, F.col("first.event_time").alias("triggered_at"), "acked_at")
-            acks = acks.unionByName(kept, allowMissingColumns=True)
+            if state is not None:
+                kept = state.filter(F.col("acked_at").isNotNull()).select(
+                    *BREACH_KEYS, F.col("first.event_time").alias("triggered_at"), "acked_at")
+                acks = acks.unionByName(kept, allowMissingColumns=True)
         merged = _merge(breach_summaries(breaches, acks, cfg), state, acks, cfg).persist(StorageLevel.DISK_ONLY)
         gone = merged.select("*", F.explode("_knowns").alias("_old")).filter(
             F.col("_old") != F.col("first.event_time"))
@@ -107,19 +105,6 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
     return write
 
 
-def _acks_of(batch: DataFrame) -> DataFrame | None:
-    if "acked_at" not in batch.columns:
-        return None
-    return batch.filter("kind = 'ack'").select(*ACK_COLUMNS)
-
-
-def _no_acks(breaches: DataFrame) -> DataFrame:
-    types = {f.name: f.dataType.simpleString() for f in breaches.schema.fields}
-    schema = (f"alert_id long, patient_id {types['patient_id']}, vital_name string, "
-              "triggered_at timestamp, acked_at timestamp")
-    return breaches.sparkSession.createDataFrame([], schema)
-
-
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """Current alerts with their acknowledged flag.
 

@@ -293,7 +293,7 @@ def pending_days(spark, sf):
 
 @query
 def run_totals(spark, sf):
-    return health.run_totals(inp.readings(spark, sf), inp.labs(spark, sf), inp.risk(spark, sf))
+    return health.run_totals(inp.labs(spark, sf), inp.risk(spark, sf))
 
 
 # ---- keyed writes --------------------------------------------------------
