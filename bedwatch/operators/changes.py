@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def state_changes(readings: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def state_changes(readings: DataFrame, bucket_seconds: int = 900) -> DataFrame:
     """Readings whose condition differs from the one before; the first reading is no change.
 
     Ordering a patient's whole history in one task would not survive a hot

@@ -37,9 +37,16 @@ def windowed_error_rate(metrics: DataFrame, window: str, cfg: Settings = DEFAULT
 
 def error_rate_alert(rate: DataFrame, alerts: DataFrame, as_of: Column,
                      cfg: Settings = DEFAULTS) -> DataFrame:
-    """One CRITICAL system alert if the rate is above the limit and none is open."""
-    already = alerts.filter((F.col("alert_type") == ALERT_TYPE_ERRORS) & ~F.col("acknowledged"))
-    high = rate.filter(F.col("error_rate") > cfg.error_rate_limit).select(
+    """One CRITICAL system alert if the rate is above the limit and none is open.
+
+    The single rate row and the number of open alerts are folded into one row
+    by an aggregation, so there is no join without a key.
+    """
+    already = alerts.filter((F.col("alert_type") == ALERT_TYPE_ERRORS) & ~F.col("acknowledged")).agg(
+        F.count("*").alias("open"))
+    facts = rate.unionByName(already, allowMissingColumns=True).agg(*[
+        F.max(c).alias(c) for c in ("errors", "total", "error_rate", "open")])
+    return facts.filter((F.col("error_rate") > cfg.error_rate_limit) & (F.col("open") == 0)).select(
         F.lit(SYSTEM_PATIENT).alias("patient_id"),
         F.lit(ALERT_TYPE_ERRORS).alias("alert_type"),
         F.lit("CRITICAL").alias("severity"),
@@ -49,7 +56,6 @@ def error_rate_alert(rate: DataFrame, alerts: DataFrame, as_of: Column,
         as_of.cast("timestamp").alias("triggered_at"),
         F.lit(False).alias("acknowledged"),
     ).withColumn("alert_id", F.xxhash64("patient_id", "alert_type", "triggered_at"))
-    return high.join(already.select("alert_type").distinct(), "alert_type", "left_anti")
 
 
 def throughput(metrics: DataFrame, window: str) -> DataFrame:
