@@ -142,6 +142,7 @@ class Settings:
     stale_after_seconds: int = 60
     patient_age_limit_seconds: int = 90
     error_rate_limit: float = 0.05
+    min_records_per_second: float = 1.0
     freshness_limits: tuple[tuple[str, int, str], ...] = FRESHNESS_LIMITS
     # batch runs
     max_days_per_run: int = 3

@@ -19,19 +19,28 @@ def error_rate(metrics: DataFrame, errors: str = "send_errors", total: str = "re
     ).withColumn("error_rate", F.try_divide("errors", "total"))
 
 
-def windowed_error_rate(metrics: DataFrame, window: str, cfg: Settings = DEFAULTS,
+def windowed_error_rate(metrics: DataFrame, window_seconds: int, cfg: Settings = DEFAULTS,
                         errors: str = "send_errors", total: str = "records_sent") -> DataFrame:
-    """The ratio per time window, and whether it is above the limit."""
+    """The ratio per time window, and whether the alarm form of it is above the limit.
+
+    The alarm divides the two rates per second and never divides by less than
+    ``min_records_per_second``, so that a trickle of records raises no alarm.
+    """
     value, name = F.col("metric_value"), F.col("metric_name")
+    per_second = F.lit(float(window_seconds))
     return (
-        metrics.groupBy(F.window("recorded_at", window).alias("w"))
+        metrics.groupBy(F.window("recorded_at", f"{window_seconds} seconds").alias("w"))
         .agg(
             F.coalesce(F.sum(F.when(name == errors, value)), F.lit(0.0)).alias("errors"),
             F.coalesce(F.sum(F.when(name == total, value)), F.lit(0.0)).alias("total"),
         )
-        .select(F.col("w.start").alias("window_start"), "errors", "total",
-                F.try_divide("errors", "total").alias("error_rate"))
-        .withColumn("exceeded", F.coalesce(F.col("error_rate") > cfg.error_rate_limit, F.lit(False)))
+        .select(
+            F.col("w.start").alias("window_start"), "errors", "total",
+            F.try_divide("errors", "total").alias("error_rate"),
+            ((F.col("errors") / per_second)
+             / F.greatest(F.col("total") / per_second, F.lit(cfg.min_records_per_second))).alias("alarm_rate"),
+        )
+        .withColumn("exceeded", F.col("alarm_rate") > cfg.error_rate_limit)
     )
 
 

@@ -31,10 +31,11 @@ def score_days(readings: DataFrame, labs: DataFrame, periods: DataFrame,
                cfg: Settings = DEFAULTS) -> DataFrame:
     """Risk rows of every day in ``periods``; the days are a column, not a loop.
 
-    ``labs`` holds the latest result per test. Readings are de-duplicated
-    before periods are assigned, since periods may overlap.
+    ``labs`` holds the latest result per test. Periods are assigned first, so
+    that readings outside of them are pruned at the scan and never shuffled;
+    copies are then dropped within each day, as periods may overlap.
     """
-    in_period = assign_period(dedupe_readings(readings), periods, cfg)
+    in_period = dedupe_readings(assign_period(readings, periods, cfg), "simulated_day")
     risk = score_patients(daily_features(in_period, cfg), panel_scores(labs, cfg), cfg)
     bounds = periods.select("simulated_day", "period_start", "period_end",
                             F.to_date("period_end").alias("report_date"))
@@ -49,13 +50,13 @@ def run_days(spark: SparkSession, days: list[int], lab_folder: str, archive: str
     labs = stage(latest_labs(flatten_reports(reports)), "labs")
     upsert_days(labs.select(
         "patient_id", "test_type", "result_value", "reference_min", "reference_max",
-        "is_abnormal", "collected_at", "simulated_day"), lab_table, LAB_KEYS)
+        "is_abnormal", "collected_at", "simulated_day"), lab_table, LAB_KEYS, staged=True)
     periods = lab_periods(reports, cfg)
     first, last = periods.agg(F.min("period_start"), F.max("period_end")).first()
     readings = scan_archive(spark, archive, first, last)
     stored = spark.read.parquet(lab_table).filter(F.col("simulated_day").isin(days))
     risk = stage(score_days(readings, stored, periods, cfg), "risk")
-    upsert_days(risk, risk_table, RISK_KEYS)
+    upsert_days(risk, risk_table, RISK_KEYS, staged=True)
     if metrics_table:
         totals = run_totals(labs, risk)
         append_rows(totals.withColumn("recorded_at", F.current_timestamp()), metrics_table)

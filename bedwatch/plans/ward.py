@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bedwatch.config import DEFAULTS, RISK_LEVELS, Settings
 from bedwatch.functions.numeric import age_seconds, rank_of
 from bedwatch.functions.scoring import (
-    concern_codes, concern_texts, ews_components, ews_level, ews_score, outlook,
+    concern_codes, concern_texts, ews_components, ews_level, ews_score, outlook, split_factors,
 )
 from bedwatch.functions.vitals import risk_status, vital_status, worst_status
 from bedwatch.operators.alerts import open_alerts_per_patient
@@ -61,6 +61,18 @@ def needs_attention(view: DataFrame) -> DataFrame:
     return view.filter(F.col("outlook").isin("HIGH", "CRITICAL"))
 
 
+def attention_count(view: DataFrame) -> DataFrame:
+    return needs_attention(view).agg(F.count("*").alias("patients"))
+
+
+def patient_status(risk: DataFrame) -> DataFrame:
+    """Newest risk row of each patient with its status and the factors as a list."""
+    return latest_risk(risk).withColumns({
+        "overall_status": worst_status(risk_status(F.col("risk_level"))),
+        "factors": split_factors(F.col("risk_factors")),
+    })
+
+
 def ward_status(patients: DataFrame, windows: DataFrame) -> DataFrame:
     """Every patient with the values of the latest window, if any."""
     latest = latest_window(windows).select(

@@ -36,15 +36,17 @@ def replace_days(rows: DataFrame, path: str, day: str = "simulated_day") -> None
     )
 
 
-def upsert_days(rows: DataFrame, path: str, keys: Sequence[str], day: str = "simulated_day") -> None:
+def upsert_days(rows: DataFrame, path: str, keys: Sequence[str], day: str = "simulated_day",
+                staged: bool = False) -> None:
     """Insert or replace by key inside day partitions; ``rows`` must be unique on the keys.
 
     Stored rows of the touched days whose key is not in ``rows`` are kept. The
     merged days are staged first, because a plan must not read the partitions
-    it overwrites.
+    it overwrites; so are the input rows, which are read several times, unless
+    the caller has already stored them.
     """
     spark = rows.sparkSession
-    rows = stage(rows, "upsert-input")
+    rows = rows if staged else stage(rows, "upsert-input")
     stored = read_if_exists(spark, path)
     if stored is not None:
         days = pin_small(rows.select(day).distinct(), MAX_LISTED_DAYS)

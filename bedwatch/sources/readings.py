@@ -80,15 +80,15 @@ def quarantined_readings(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~_usable()).withColumn("reject_reason", reason)
 
 
-def dedupe_readings(readings: DataFrame) -> DataFrame:
-    """One row per event_id; readings without an id are all kept.
+def dedupe_readings(readings: DataFrame, *within: str) -> DataFrame:
+    """One row per event_id (and ``within`` columns); readings without an id are all kept.
 
     Identical copies combine before the shuffle, so a heavily replayed id does
     not pile up in one task. The null branch is a separate scan with an
     ``IS NULL`` filter, which row-group statistics skip when ids are complete;
     it keeps null ids out of the shuffle.
     """
-    with_id = readings.filter(F.col("event_id").isNotNull()).dropDuplicates(["event_id"])
+    with_id = readings.filter(F.col("event_id").isNotNull()).dropDuplicates(["event_id", *within])
     return with_id.unionByName(readings.filter(F.col("event_id").isNull()))
 
 

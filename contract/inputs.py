@@ -20,7 +20,7 @@ AS_OF = "2024-01-31 00:00:00"
 CFG = DEFAULTS.with_(
     period_seconds=5 * DAY, window="1 day", watermark="1 day", slope_unit_seconds=float(DAY),
     hr_rise_limit=5.0, spo2_fall_limit=-1.0, live_hr_rise_limit=6.0, live_spo2_fall_limit=-1.0,
-    cooldown_seconds=2 * DAY, stale_after_seconds=2 * DAY,
+    cooldown_seconds=2 * DAY, stale_after_seconds=2 * DAY, min_records_per_second=0.0039,
 )
 
 

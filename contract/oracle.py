@@ -74,16 +74,12 @@ reports AS (
   FROM raw_reports
 ),
 flat AS (
-  SELECT *, CASE WHEN l_tax >= 0.08e0 THEN NOT derived_abnormal ELSE derived_abnormal END AS is_abnormal
+  -- Unflagged tests are the normal ones with an open line status; a missing flag counts as normal.
+  SELECT *, COALESCE(CASE WHEN l_tax >= 0.08e0 THEN NOT derived_abnormal
+                          WHEN derived_abnormal OR l_linestatus = 'F' THEN derived_abnormal END, FALSE) AS is_abnormal
   FROM reports WHERE patient_id IS NOT NULL AND collected_at IS NOT NULL
 )"""
 
-# Unflagged tests are the normal ones with an open line status; both readings give FALSE.
-LABS = LABS.replace(
-    "CASE WHEN l_tax >= 0.08e0 THEN NOT derived_abnormal ELSE derived_abnormal END AS is_abnormal",
-    "COALESCE(CASE WHEN l_tax >= 0.08e0 THEN NOT derived_abnormal "
-    "WHEN derived_abnormal OR l_linestatus = 'F' THEN derived_abnormal END, FALSE) AS is_abnormal")
-
 LATEST_LABS = LABS + """,
 labs AS (
   SELECT *, CASE WHEN v BETWEEN low AND high THEN 0e0
@@ -242,7 +238,8 @@ def _points(table: str, source: str) -> str:
 WARD = (
     RISK + "," + _windows("readings") + LIVE_PARTS + """,
 merged AS (
-  SELECT p.patient_id, p.name, p.ward, p.bed, l.* EXCLUDE (patient_id), n.* EXCLUDE (patient_id)
+  SELECT p.patient_id, p.name, p.ward, p.bed, l.* EXCLUDE (patient_id),
+         n.* EXCLUDE (patient_id, spo2_trend, heart_rate_trend)  -- the live trends are meant
   FROM patients p LEFT JOIN live l ON l.patient_id = p.patient_id LEFT JOIN newest n ON n.patient_id = p.patient_id
 )""" + _points("warned", "merged") + """,
 ward_view AS (
@@ -512,11 +509,7 @@ SELECT patient_id, name, ward, bed, outlook,
                  CASE WHEN abnormal_labs_count > 0 THEN 'abnormal_labs' END) AS concern_codes,
        CAST(early_warning_score AS BIGINT) AS early_warning_score, early_warning_level, {LIVE_COLUMNS}, simulated_day,
        risk_level, combined_risk_score, lab_risk_score, vitals_risk_score, {_r('risk_change', 4)} AS risk_change
-FROM ward_view""".replace("hr_trend, 5", "hr_trend, 5")
-# The daily row carries a trend column of the same name; the live one is meant.
-WARD_FIX = ("n.* EXCLUDE (patient_id)", "n.* EXCLUDE (patient_id, spo2_trend, heart_rate_trend)")
-WARD = WARD.replace(*WARD_FIX)
-ORACLE["ward_risk"] = ORACLE["ward_risk"].replace(*WARD_FIX)
+FROM ward_view"""
 ORACLE["ward_concerns"] = f"""WITH {WARD}
 SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY o) - 1 AS BIGINT) AS position, concern FROM (
   SELECT patient_id, 1 AS o, printf('Early warning score %d (%s)', early_warning_score, early_warning_level) AS concern
@@ -527,6 +520,11 @@ SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY o) -
   FROM ward_view WHERE abnormal_labs_count > 0)"""
 ORACLE["ward_attention"] = f"""WITH {WARD} SELECT patient_id, outlook, CAST(early_warning_score AS BIGINT) AS early_warning_score
 FROM ward_view WHERE outlook IN ('HIGH', 'CRITICAL')"""
+ORACLE["attention_count"] = f"WITH {WARD} SELECT count(*) AS patients FROM ward_view WHERE outlook IN ('HIGH', 'CRITICAL')"
+ORACLE["patient_status"] = f"""WITH {RISK}
+SELECT patient_id, simulated_day, risk_level,
+       CASE risk_level WHEN 'CRITICAL' THEN 'critical' WHEN 'HIGH' THEN 'watch' ELSE 'normal' END AS overall_status,
+       CASE WHEN risk_factors = 'None' THEN '' ELSE replace(risk_factors, '; ', '|') END AS factors FROM newest"""
 STATUS = WINDOWS + LIVE_PARTS + "," + PATIENTS + """,
 status AS (
   SELECT p.*, heart_rate, spo2, systolic_bp, diastolic_bp, temperature, last_window_end AS last_reading
@@ -609,7 +607,9 @@ ORACLE["error_rate"] = f"""SELECT {ERRORS} AS errors, CAST(count(*) AS DOUBLE) A
        {_r(f'{ERRORS} / count(*)', 6)} AS error_rate FROM events"""
 ORACLE["error_rate_by_day"] = f"""SELECT {_t("date_trunc('day', ts)")} AS window_start, {ERRORS} AS errors,
        CAST(count(*) AS DOUBLE) AS total, {_r(f'{ERRORS} / count(*)', 6)} AS error_rate,
-       {ERRORS} / count(*) > 0.05e0 AS exceeded FROM events GROUP BY date_trunc('day', ts)"""
+       {_r(f'({ERRORS} / 86400e0) / greatest(count(*) / 86400e0, 0.0039e0)', 6)} AS alarm_rate,
+       ({ERRORS} / 86400e0) / greatest(count(*) / 86400e0, 0.0039e0) > 0.05e0 AS exceeded
+FROM events GROUP BY date_trunc('day', ts)"""
 SNAPSHOTS = """
 snapshots AS (
   SELECT event_type AS metric_name, date_trunc('hour', ts) AS recorded_at,

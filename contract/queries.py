@@ -509,6 +509,17 @@ def ward_overview(spark, sf):
         big("open_alerts"), big("triage_score"), big("age_seconds"))
 
 
+@query
+def attention_count(spark, sf):
+    return ward.attention_count(_ward_risk(spark, sf))
+
+
+@query
+def patient_status(spark, sf):
+    return ward.patient_status(inp.risk(spark, sf)).select(
+        "patient_id", big("simulated_day"), "risk_level", "overall_status", words("factors"))
+
+
 # ---- alerts --------------------------------------------------------------
 
 def _breaches(spark, sf):
@@ -630,8 +641,8 @@ def error_rate(spark, sf):
 
 @query
 def error_rate_by_day(spark, sf):
-    return health.windowed_error_rate(inp.counters(spark, sf), "1 day", CFG).select(
-        txt("window_start"), "errors", "total", num("error_rate"), "exceeded")
+    return health.windowed_error_rate(inp.counters(spark, sf), inp.DAY, CFG).select(
+        txt("window_start"), "errors", "total", num("error_rate"), num("alarm_rate"), "exceeded")
 
 
 @query

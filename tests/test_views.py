@@ -178,3 +178,11 @@ def test_state_changes_match_a_plain_walk(spark):
     df = spark.createDataFrame(rows, "patient_id string, event_id string, event_time timestamp, condition string")
     got = [(r.patient_id, r.event_id, r.previous, r.condition) for r in changes.state_changes(df).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_alarm_rate_ignores_a_trickle(spark):
+    rows = [("send_errors", 10.0, T0), ("records_sent", 100.0, T0),
+            ("send_errors", 30.0, T0 + timedelta(seconds=300)), ("records_sent", 400.0, T0 + timedelta(seconds=300))]
+    df = spark.createDataFrame(rows, "metric_name string, metric_value double, recorded_at timestamp")
+    got = health.windowed_error_rate(df, 300).orderBy("window_start").collect()
+    assert [(r.error_rate, r.exceeded) for r in got] == [(0.1, False), (0.075, True)]
