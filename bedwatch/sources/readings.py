@@ -21,7 +21,7 @@ PAYLOAD_SCHEMA = T.StructType(
 )
 
 ARCHIVE_SCHEMA = (
-    T.StructType(PAYLOAD_SCHEMA.fields)
+    T.StructType(list(PAYLOAD_SCHEMA.fields))
     .add("event_time", T.TimestampType())
     .add("event_date", T.DateType())
 )
@@ -47,12 +47,13 @@ def parse_payload(raw: DataFrame, value: str = "value") -> DataFrame:
 
     Unparseable JSON or timestamps give nulls, NaN vitals become null, and the
     raw text of malformed records stays in ``_malformed`` for the quarantine.
+    The outer generator parses each message once: filters on the parsed columns
+    would otherwise be pushed below the projection and parse it again.
     """
     schema = T.StructType(PAYLOAD_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = raw.select(
-        F.from_json(F.col(value).cast("string"), schema, options).alias("r")
-    ).select("r.*")
+        F.inline_outer(F.array(F.from_json(F.col(value).cast("string"), schema, options))))
     return clean_vitals(parsed).withColumn("event_time", F.try_to_timestamp("timestamp"))
 
 

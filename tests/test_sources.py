@@ -29,6 +29,16 @@ def test_parse_and_quarantine(spark):
     assert bad == ["bad_timestamp", "malformed_json", "missing_patient"]
 
 
+def test_payload_schema_has_no_derived_columns():
+    assert "event_time" not in rd.PAYLOAD_SCHEMA.names and rd.ARCHIVE_SCHEMA.names[-2:] == ["event_time", "event_date"]
+
+
+def test_messages_are_parsed_once(spark):
+    df = rd.valid_readings(rd.parse_payload(spark.createDataFrame([(payload(),)], "value string")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_dedupe_keeps_readings_without_id(spark):
     rows = [("a", 1), ("a", 1), ("a", 1), ("b", 2), (None, 3), (None, 3)]
     got = rd.dedupe_readings(spark.createDataFrame(rows, "event_id string, v int")).collect()
