@@ -34,9 +34,10 @@ def _trigger(interval: str, drain: bool) -> dict:
 def start_archive(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULTS,
                   drain: bool = False) -> StreamingQuery:
     """Append every valid reading to the archive by date; the file sink commits each batch once."""
+    dated = readings.withColumn("event_date", F.to_date("event_time")).observe(
+        "archive", F.count("*").alias("raw_records_archived"))
     return (
-        readings.withColumn("event_date", F.to_date("event_time")).writeStream
-        .queryName("raw_archive").format("parquet").partitionBy("event_date")
+        dated.writeStream.queryName("raw_archive").format("parquet").partitionBy("event_date")
         .option("path", folders.archive)
         .option("checkpointLocation", f"{folders.checkpoints}/raw_archive")
         .trigger(**_trigger(cfg.archive_trigger, drain)).start()
@@ -46,7 +47,8 @@ def start_archive(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULT
 def start_windows(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULTS,
                   drain: bool = False) -> StreamingQuery:
     """Re-emit a window whenever it changed until the watermark closes it; the last emission counts."""
-    windows = window_aggregates(readings.withWatermark("event_time", cfg.watermark), cfg)
+    windows = window_aggregates(readings.withWatermark("event_time", cfg.watermark), cfg).observe(
+        "windows", F.count("*").alias("aggregates_written"))
     return (
         windows.writeStream.queryName("vitals_agg").outputMode("update")
         .foreachBatch(lambda batch, batch_id: write_changes(batch, folders.windows, batch_id))
@@ -57,8 +59,10 @@ def start_windows(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULT
 
 def start_alerts(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULTS,
                  acks: DataFrame | None = None, drain: bool = False) -> StreamingQuery:
+    inputs = alert_inputs(readings, acks, cfg).observe(
+        "alerts", F.count_if(F.col("kind") == "breach").alias("breaches_seen"))
     return (
-        alert_inputs(readings, acks, cfg).writeStream.queryName("vitals_alerts").outputMode("append")
+        inputs.writeStream.queryName("vitals_alerts").outputMode("append")
         .foreachBatch(alert_writer(folders.alerts, cfg))
         .option("checkpointLocation", f"{folders.checkpoints}/vitals_alerts")
         .trigger(**_trigger(cfg.alert_trigger, drain)).start()
@@ -81,25 +85,33 @@ def read_windows(spark: SparkSession, folders: Folders) -> DataFrame:
 
 
 def progress_metrics(query: StreamingQuery) -> DataFrame | None:
-    """Input rows and rows dropped as late, summed over a query's recent progress."""
-    spark = SparkSession.active()
-    rows = [
-        (query.name, name, float(value))
-        for p in query.recentProgress
-        for name, value in (
-            ("rows_read", p["numInputRows"]),
-            ("rows_late", sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])),
-        )
-    ]
+    """Totals over a query's recent progress: rows read, rows dropped as late, observed counts.
+
+    Observed counts are taken while the rows pass by; nothing is counted again.
+    """
+    rows = []
+    for p in query.recentProgress:
+        rows.append((query.name, "rows_read", float(p.numInputRows)))
+        rows.append((query.name, "rows_late", float(sum(s.numRowsDroppedByWatermark for s in p.stateOperators))))
+        for observed in p.observedMetrics.values():
+            rows += [(query.name, name, float(value)) for name, value in observed.asDict().items()]
     if not rows:
         return None
     return (
-        spark.createDataFrame(rows, "component string, metric_name string, metric_value double")
+        SparkSession.active()
+        .createDataFrame(rows, "component string, metric_name string, metric_value double")
         .groupBy("component", "metric_name").agg(F.sum("metric_value").alias("metric_value"))
         .withColumn("recorded_at", F.current_timestamp())
     )
 
 
+def progress_heartbeats(query: StreamingQuery, component: str = "speed_layer") -> DataFrame:
+    """One sign of life per batch the query finished, for the freshness check."""
+    rows = [(component, p.timestamp) for p in query.recentProgress]
+    return SparkSession.active().createDataFrame(rows, "component string, at string").select(
+        "component", F.to_timestamp("at").alias("recorded_at"))
+
+
 def flush_metrics(query: StreamingQuery, metrics_table: str) -> None:
     metrics = progress_metrics(query)
     if metrics is not None:

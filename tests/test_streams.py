@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bedwatch.config import DEFAULTS
 from bedwatch.operators import episodes as ep
+from bedwatch.operators.health import component_freshness
 from bedwatch.operators.windows import window_aggregates
 from bedwatch.sources import readings as rd
 from bedwatch.streaming import alerts as sa, speed_layer as sl
@@ -77,10 +78,15 @@ def test_late_rows_leave_the_windows_but_stay_in_the_archive(spark, folder):
     q.awaitTermination()
     assert sl.read_windows(spark, folders).agg(F.sum("reading_count")).first()[0] == 60
     counted = {r.metric_name: r.metric_value for r in sl.progress_metrics(q).collect()}
-    assert counted["rows_late"] == 1
+    assert counted["rows_late"] == 1 and counted["aggregates_written"] > 0
     sl.flush_metrics(q, folder + "/metrics")
-    assert spark.read.parquet(folder + "/metrics").count() == 2
-    sl.start_archive(stream(spark, folder + "/in"), folders, DEFAULTS, drain=True).awaitTermination()
+    assert spark.read.parquet(folder + "/metrics").count() == 3
+    beats = sl.progress_heartbeats(q)
+    fresh = component_freshness(beats, F.current_timestamp()).filter("component = 'speed_layer'").first()
+    assert beats.count() == 4 and not fresh.stale
+    q = sl.start_archive(stream(spark, folder + "/in"), folders, DEFAULTS, drain=True)
+    q.awaitTermination()
+    assert sl.progress_metrics(q).filter("metric_name = 'raw_records_archived'").first().metric_value == 61
     archived = rd.scan_archive(spark, folders.archive)
     assert archived.count() == 61 and archived.filter("event_id = 'late'").count() == 1
 
