@@ -5,7 +5,7 @@ from bedwatch.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", **{
+    session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -15,9 +15,15 @@ def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
 
 
+def no_cross_join_and_no_python(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert bad not in plan, plan
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_matches_sql(spark, name):
-    ok, note = check.compare(spark, SF, name)
+    ok, note = check.compare(spark, SF, name, no_cross_join_and_no_python)
     assert ok, note
 
 
@@ -25,16 +31,6 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-BATCH = [n for n in sorted(queries()) if not n.startswith("stream_")]
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_plan_has_no_cross_join_and_no_python(spark, name):
-    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
-        assert bad not in plan, plan
-
-
 def plan_of(spark, name):
     return queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
