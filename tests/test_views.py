@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from bedwatch.config import DEFAULTS, REPORT_COLUMNS
@@ -161,13 +162,16 @@ def test_distribution_of_an_empty_table(spark):
         (l, 0, 0.0) for l in ("LOW", "MODERATE", "HIGH", "CRITICAL")]
 
 
-def test_state_changes_match_a_plain_walk(spark):
+@pytest.mark.parametrize("crowded,split_above,pinned", [
+    (False, 5_000_000, 50_000), (False, 20, 50_000), (True, 50, 50_000), (True, 50, 0)])
+def test_state_changes_match_a_plain_walk(spark, crowded, split_above, pinned):
+    """Spread out, with split buckets, and with most rows in one bucket."""
     rnd = random.Random(1)
     rows = []
     for pid, n in (("hot", 2000), ("b", 50), ("c", 1)):
         ms = 0
         for i in range(n):
-            ms += rnd.choice([0, 1000, 600_000, 3_600_000, 20_000_000])
+            ms += rnd.choice([0, 1, 2, 300] if crowded else [0, 1000, 600_000, 3_600_000, 20_000_000])
             rows.append((pid, f"{i:05d}", T0 + timedelta(milliseconds=ms), rnd.choice(["stable", "stable", "worse", None])))
     want, last = [], {}
     for pid, eid, ts, cond in sorted(rows, key=lambda r: (r[0], r[2], r[1])):
@@ -176,10 +180,18 @@ def test_state_changes_match_a_plain_walk(spark):
         last[pid] = cond
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "patient_id string, event_id string, event_time timestamp, condition string")
-    got = [(r.patient_id, r.event_id, r.previous, r.condition) for r in changes.state_changes(df).collect()]
+    found = changes.state_changes(df, split_above=split_above, cfg=DEFAULTS.with_(max_pinned_rows=pinned))
+    got = [(r.patient_id, r.event_id, r.previous, r.condition) for r in found.collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_overfull_bucket_is_split_evenly(spark):
+    rows = spark.range(20_000).select(
+        F.lit("hot").alias("patient_id"), F.timestamp_millis(F.col("id") * 10).alias("event_time"), F.lit(0).alias("_bucket"))
+    sizes = [r["count"] for r in changes._with_slices(rows, 1_000, DEFAULTS).groupBy("_slice").count().collect()]
+    assert len(sizes) == changes.SLICES and sum(sizes) == 20_000 and max(sizes) < 400
+
+
 def test_alarm_rate_ignores_a_trickle(spark):
     rows = [("send_errors", 10.0, T0), ("records_sent", 100.0, T0),
             ("send_errors", 30.0, T0 + timedelta(seconds=300)), ("records_sent", 400.0, T0 + timedelta(seconds=300))]
