@@ -60,13 +60,13 @@ EWS_AS_RISK = {"LOW": "LOW", "MEDIUM": "HIGH", "HIGH": "CRITICAL"}
 # Lowest combined score of each level above LOW.
 RISK_CUTOFFS = {"CRITICAL": 75.0, "HIGH": 50.0, "MODERATE": 25.0}
 
-# Lab panel: test, reference minimum, reference maximum, unit.
+# Lab panel: test, reference minimum, reference maximum.
 LAB_PANEL = (
-    ("WBC", 4.0, 11.0, "10^3/uL"),
-    ("Hemoglobin", 12.0, 17.5, "g/dL"),
-    ("Glucose", 70.0, 100.0, "mg/dL"),
-    ("Creatinine", 0.6, 1.2, "mg/dL"),
-    ("CRP", 0.0, 5.0, "mg/L"),
+    ("WBC", 4.0, 11.0),
+    ("Hemoglobin", 12.0, 17.5),
+    ("Glucose", 70.0, 100.0),
+    ("Creatinine", 0.6, 1.2),
+    ("CRP", 0.0, 5.0),
 )
 
 # Longest silence allowed per component, in seconds, and the severity of exceeding it.
@@ -94,12 +94,12 @@ REPORT_COLUMNS = (
 TEXT_BREACH = "%s is %s threshold: value="
 TEXT_BREACH_LIMIT = ", threshold=%s"
 TEXT_BREACH_COUNT = "%d/%d vital readings breached alert thresholds"
-TEXT_HR_RISING = "Heart rate rising (%+.2f bpm/min)"
-TEXT_SPO2_FALLING = "SpO2 falling (%+.2f %%/min)"
+TEXT_HR_RISING = "Heart rate rising (%+.2f bpm/{unit})"
+TEXT_SPO2_FALLING = "SpO2 falling (%+.2f %%/{unit})"
 TEXT_LAB = "%s %s (%.2f, ref: %s-%s)"
 TEXT_EWS = "Early warning score %d (%s)"
-TEXT_LIVE_HR = "Heart rate rising %+.1f bpm/min over last 5 min"
-TEXT_LIVE_SPO2 = "SpO2 falling %+.2f %%/min over last 5 min"
+TEXT_LIVE_HR = "Heart rate rising %+.1f bpm/{unit} over last {span}"
+TEXT_LIVE_SPO2 = "SpO2 falling %+.2f %%/{unit} over last {span}"
 TEXT_LIVE_LABS = "%d abnormal lab result(s) on day %d"
 TEXT_STALE = "No vitals data received for patient %s (%s) in the last %d seconds."
 TEXT_ERRORS = "Vitals ingestion error rate is %.1f%% (%d/%d), exceeding threshold of %.0f%%."
@@ -107,10 +107,15 @@ TEXT_NO_FACTORS = "None"
 FACTOR_SEPARATOR = "; "
 
 LAB_FILE_FORMAT = "lab_results_day_%03d.json"
-LAB_FILE_PATTERN = r"lab_results_day_(\d+)\.json$"
+LAB_NAME_PATTERN = r"lab_results_day_(\d+)\.jsonl?"
+LAB_PATH_PATTERN = r"lab_results_day_(\d+)\.json(?:l/[^/]+)?$"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
+_UNITS = {1.0: "s", 60.0: "min", 3600.0: "hour", 86400.0: "day"}
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
 @dataclass(frozen=True)
 class Settings:
     # daily model
@@ -150,8 +155,19 @@ class Settings:
     archive_trigger: str = "30 seconds"
     window_trigger: str = "10 seconds"
     alert_trigger: str = "5 seconds"
-    # largest table handed to every task
-    max_pinned_rows: int = 50_000
+
+    @property
+    def slope_unit(self) -> str:
+        """The time in which trends are given: min at the default."""
+        return _UNITS.get(self.slope_unit_seconds, f"{self.slope_unit_seconds:g} s")
+
+    @property
+    def trend_span(self) -> str:
+        """What the windows of a live trend cover: 5 min at the default."""
+        number, kind = self.window.split()
+        seconds = float(number) * _SECONDS[kind.rstrip("s")] * self.trend_windows
+        unit = next(u for u in (86400.0, 3600.0, 60.0, 1.0) if seconds % u == 0)
+        return f"{seconds / unit:g} {_UNITS[unit]}"
 
     def with_(self, **changes) -> "Settings":
         return replace(self, **changes)

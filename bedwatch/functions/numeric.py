@@ -39,10 +39,6 @@ def lookup(value: Column, table: Mapping[str, str]) -> Column:
     return chain
 
 
-def micros(ts: Column) -> Column:
-    return F.unix_micros(ts)
-
-
 def seconds_between(start: Column, end: Column) -> Column:
     """Exact seconds as a double, keeping fractions."""
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000.0)

@@ -114,8 +114,8 @@ def vitals_factors(total: Column, abnormal: Column, hr_slope: Column, spo2_slope
                    cfg: Settings = DEFAULTS) -> Column:
     return F.when(total > 0, _present(
         F.when(abnormal > 0, F.format_string(TEXT_BREACH_COUNT, abnormal, total)),
-        F.when(hr_slope > cfg.hr_rise_limit, F.format_string(TEXT_HR_RISING, hr_slope)),
-        F.when(spo2_slope < cfg.spo2_fall_limit, F.format_string(TEXT_SPO2_FALLING, spo2_slope)),
+        F.when(hr_slope > cfg.hr_rise_limit, F.format_string(TEXT_HR_RISING.format(unit=cfg.slope_unit), hr_slope)),
+        F.when(spo2_slope < cfg.spo2_fall_limit, F.format_string(TEXT_SPO2_FALLING.format(unit=cfg.slope_unit), spo2_slope)),
     )).otherwise(F.array().cast("array<string>"))
 
 
@@ -148,10 +148,11 @@ def concern_codes(ews: Column, hr_slope: Column, spo2_slope: Column, abnormal_la
 
 def concern_texts(ews: Column, score: Column, hr_slope: Column, spo2_slope: Column,
                   abnormal_labs: Column, day: Column, cfg: Settings = DEFAULTS) -> Column:
+    trend = {"unit": cfg.slope_unit, "span": cfg.trend_span}
     return _present(
         F.when(ews != "LOW", F.format_string(TEXT_EWS, score, ews)),
-        F.when(hr_slope > cfg.live_hr_rise_limit, F.format_string(TEXT_LIVE_HR, hr_slope)),
-        F.when(spo2_slope < cfg.live_spo2_fall_limit, F.format_string(TEXT_LIVE_SPO2, spo2_slope)),
+        F.when(hr_slope > cfg.live_hr_rise_limit, F.format_string(TEXT_LIVE_HR.format(**trend), hr_slope)),
+        F.when(spo2_slope < cfg.live_spo2_fall_limit, F.format_string(TEXT_LIVE_SPO2.format(**trend), spo2_slope)),
         F.when(abnormal_labs > 0, F.format_string(TEXT_LIVE_LABS, abnormal_labs, day)),
     )
 

@@ -51,11 +51,6 @@ def breach_candidates(cfg: Settings = DEFAULTS) -> Column:
     return F.array(*[_candidate(r) for r in cfg.alert_rules])
 
 
-def breach_list(cfg: Settings = DEFAULTS) -> Column:
-    """The breaches of a reading as an array, empty for a clean one."""
-    return F.filter(breach_candidates(cfg), lambda b: b.isNotNull())
-
-
 def vital_status(name: str, value: Column, cfg: Settings = DEFAULTS) -> Column:
     """critical past an alert limit; watch outside the normal range or missing; else normal."""
     breached = F.lit(False)

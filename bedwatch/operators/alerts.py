@@ -6,27 +6,47 @@ from pyspark.sql import DataFrame, functions as F
 
 from bedwatch.config import SEVERITIES
 
+UNITED = ("alert_id", "patient_id", "alert_type", "severity", "message", "vital_name", "vital_value",
+          "threshold_value", "triggered_at", "last_seen_at", "occurrences", "event_id", "acknowledged")
+
+
+def unite_alerts(*tables: DataFrame) -> DataFrame:
+    """Vital, staleness and error-rate alerts in one table with a text patient key.
+
+    Columns a kind of alert does not have are null; alerts without the flag are open.
+    """
+    out = None
+    for rows in tables:
+        rows = rows.withColumn("patient_id", F.col("patient_id").cast("string"))
+        if "acknowledged" not in rows.columns:
+            rows = rows.withColumn("acknowledged", F.lit(False))
+        rows = rows.select(*[c for c in UNITED if c in rows.columns])
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 def acknowledge(alerts: DataFrame, requests: DataFrame) -> DataFrame:
-    """Acknowledgement rows for ``requests`` (alert_id, acked_at); unknown ids drop out."""
+    """Acknowledgement rows for ``requests`` (alert_id, acked_at); unknown ids drop out.
+
+    Alerts that are not about a vital have no vital name.
+    """
+    named = alerts if "vital_name" in alerts.columns else alerts.withColumn("vital_name", F.lit(None).cast("string"))
     return requests.join(
-        alerts.select("alert_id", "patient_id", "vital_name", "triggered_at"), "alert_id"
+        named.select("alert_id", "patient_id", "vital_name", "triggered_at"), "alert_id"
     ).select("alert_id", "patient_id", "vital_name", "triggered_at", "acked_at")
 
 
-def unknown_requests(alerts: DataFrame, requests: DataFrame) -> DataFrame:
-    """Requests naming an alert that does not exist."""
-    return requests.join(alerts.select("alert_id"), "alert_id", "left_anti")
-
-
 def with_acknowledged(alerts: DataFrame, acks: DataFrame | None) -> DataFrame:
-    """Adds the ``acknowledged`` flag; several acknowledgements of one alert count once."""
+    """Adds the ``acknowledged`` flag; several acknowledgements of one alert count once.
+
+    A flag that is there already stays: acknowledging others does not reopen a resolved alert.
+    """
+    already = F.coalesce("acknowledged", F.lit(False)) if "acknowledged" in alerts.columns else F.lit(False)
     if acks is None:
-        return alerts.withColumn("acknowledged", F.lit(False))
+        return alerts.withColumn("acknowledged", already)
     done = acks.select("alert_id").distinct().withColumn("_acked", F.lit(True))
     return alerts.join(done, "alert_id", "left").withColumn(
-        "acknowledged", F.coalesce("_acked", F.lit(False))).drop("_acked")
+        "acknowledged", already | F.coalesce("_acked", F.lit(False))).drop("_acked")
 
 
 def open_alerts(alerts: DataFrame) -> DataFrame:
@@ -68,7 +88,3 @@ def severity_counts(alerts: DataFrame) -> DataFrame:
 
 def open_alerts_per_patient(alerts: DataFrame) -> DataFrame:
     return open_alerts(alerts).groupBy("patient_id").agg(F.count("*").alias("open_alerts"))
-
-
-def total_open(alerts: DataFrame) -> DataFrame:
-    return open_alerts(alerts).agg(F.count("*").alias("active_alerts"))

@@ -4,53 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from bedwatch.config import DEFAULTS, Settings
-from bedwatch.session import pin_small, stage
+from bedwatch.session import stage
 
-SLICES = 64
+ORDER = ("patient_id", "event_time", "event_id")
 
 
-def _with_slices(rows: DataFrame, split_above: int, cfg: Settings) -> DataFrame:
-    """Adds ``_slice``: the part of an overfull bucket a row falls into, 0 elsewhere.
-
-    A first pass counts rows per patient and bucket. Buckets above the limit,
-    of which there can be at most rows / limit, are cut at time quantiles. The
-    cuts are fixed before they are used: every branch of the plan must see the
-    same slices.
-    """
-    keys = ["patient_id", "_bucket"]
-    hot = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > split_above).select(*keys)
-    pinned = pin_small(hot, cfg.max_pinned_rows)
-    if pinned is not None and pinned.isEmpty():
-        return rows.withColumn("_slice", F.lit(0))
-    hot = stage(hot, "hot-buckets") if pinned is None else pinned
-    steps = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
-    cuts = stage(
-        rows.join(hot, keys, "left_semi").groupBy(*keys).agg(
-            F.percentile_approx(F.unix_micros("event_time"), steps, F.lit(10_000)).alias("_cuts")),
-        "bucket-cuts")
-    position = F.size(F.filter("_cuts", lambda c: c < F.unix_micros("event_time")))
-    return rows.join(cuts, keys, "left").withColumn(
-        "_slice", F.when(F.col("_cuts").isNotNull(), position).otherwise(F.lit(0))).drop("_cuts")
-
-
-def state_changes(readings: DataFrame, bucket_seconds: int = 900, split_above: int = 5_000_000,
-                  cfg: Settings = DEFAULTS) -> DataFrame:
+def state_changes(readings: DataFrame) -> DataFrame:
     """Readings whose condition differs from the one before; the first reading is no change.
 
-    Ordering a patient's whole history in one task would not survive a hot
-    patient, so rows are ordered within time buckets only, and a bucket with
-    more than ``split_above`` rows in slices of it. What crosses a boundary
-    needs just the first and last reading of each part: those come from a plain
-    aggregation, combined before the shuffle, and only they are ordered across
-    the patient's parts. Rows of one patient that share a microsecond stay together.
+    All rows are range partitioned by patient, time and id, so a patient of any
+    size is spread over as many partitions as their rows fill, down to rows of one
+    microsecond. Neighbours inside a partition are compared there; each partition
+    then gives only its first and last reading per patient, and these few are put
+    in order to compare across the boundaries. One way for every size.
+
+    The sorted rows are stored with their partition number first: both branches have
+    to see the same boundaries, even if a lost executor makes Spark sample them anew.
     """
-    rows = readings.select(
-        "patient_id", "event_time", "event_id", "condition",
-        F.floor(F.unix_micros("event_time") / F.lit(bucket_seconds * 1_000_000)).alias("_bucket"),
-    )
-    rows = _with_slices(rows, split_above, cfg)
-    part = ["patient_id", "_bucket", "_slice"]
+    rows = readings.select(*ORDER, "condition").repartitionByRange(*[F.col(c) for c in ORDER])
+    rows = stage(rows.withColumn("_part", F.spark_partition_id()), "ordered-readings")
+    part = ["patient_id", "_part"]
     inside = Window.partitionBy(*part).orderBy("event_time", "event_id")
     within = rows.withColumns({
         "previous": F.lag("condition").over(inside), "_first": F.row_number().over(inside) == 1,
@@ -58,7 +31,7 @@ def state_changes(readings: DataFrame, bucket_seconds: int = 900, split_above: i
 
     edge = F.struct("event_time", "event_id", "condition")
     edges = rows.groupBy(*part).agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
-    across = Window.partitionBy("patient_id").orderBy("_bucket", "_slice")
+    across = Window.partitionBy("patient_id").orderBy("_part")
     between = (
         edges.withColumn("_before", F.lag("last").over(across))
         .filter(F.col("_before").isNotNull()

@@ -15,11 +15,10 @@ so that the acknowledgement can cut between any two breaches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from bedwatch.config import ALERT_TYPE_VITAL, DEFAULTS, Settings
 from bedwatch.functions.vitals import breach_candidates, breach_message, breaches_any
-from bedwatch.session import pin_small
 
 BREACH_KEYS = ("patient_id", "vital_name")
 
@@ -95,10 +94,8 @@ def breach_summaries(breaches: DataFrame, acks: DataFrame | None = None,
         return _summarise(bucketed, "_bucket")
     keys = [*BREACH_KEYS, "_bucket"]
     cut = acks.select(*BREACH_KEYS, _bucket(F.col("acked_at"), cfg).alias("_bucket")).distinct()
-    # Acknowledgements are made by people, so this table is small and normally
-    # pinned; otherwise AQE picks the join and splits skewed keys.
-    pinned = pin_small(cut, cfg.max_pinned_rows)
-    cut = cut if pinned is None else pinned
+    # Acknowledgements are made by people, so this side is small and AQE sees its size before it picks the join;
+    # should it be large, the join shuffles and AQE splits hot keys.
     slot = F.when(F.col("_cut"), F.unix_micros("event_time"))
     marked = bucketed.join(cut.withColumn("_cut", F.lit(True)), keys, "left").withColumn("_slot", slot)
     return _summarise(marked, "_bucket", "_slot")
@@ -193,8 +190,3 @@ def alert_episodes(breaches: DataFrame, acks: DataFrame | None = None,
                    cfg: Settings = DEFAULTS) -> DataFrame:
     """All alert episodes of a set of breaches, optionally cut by acknowledgements."""
     return episode_rows(merge_summaries(breach_summaries(breaches, acks, cfg), acks, cfg), cfg)
-
-
-def summary_schema(breaches: DataFrame) -> T.StructType:
-    """Column types of a summary, for stored state."""
-    return _summarise(breaches).schema

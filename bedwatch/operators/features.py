@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bedwatch.config import DEFAULTS, Settings
 from bedwatch.functions.numeric import whole_units_since
 from bedwatch.functions.vitals import breaches_any
-from bedwatch.session import pin_small
 
 
 def assign_aligned_day(readings: DataFrame, origin: str, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -36,19 +35,14 @@ def assign_period(readings: DataFrame, periods: DataFrame, cfg: Settings = DEFAU
 
     Periods may overlap or leave gaps. A period of length P touches at most two
     time buckets of length P, so the range join becomes an equi join on the
-    bucket with an exact filter. The period table has one row per day: up to
-    ``max_pinned_rows`` it is pinned, joined by broadcast, and its bounds prune
-    the archive's date partitions. Beyond that the join shuffles on bucket and
-    salt, because whole days share a bucket.
+    bucket with an exact filter. First and last bound, two scalars, prune the
+    archive's date partitions. The period table has a row or two per day; AQE
+    broadcasts it by its size, or splits the buckets, in which whole days of
+    readings meet.
     """
     length = cfg.period_seconds * 1_000_000
-    ends = periods.select("simulated_day", "period_start", "period_end")
-    pinned = pin_small(ends, cfg.max_pinned_rows)
-    if pinned is None:
-        salts = max(8, readings.sparkSession.sparkContext.defaultParallelism)
-    else:
-        salts, ends = 1, pinned
-        readings = readings.filter(_within_periods(pinned, "event_date" in readings.columns))
+    ends = periods.select("simulated_day", *[c for c in periods.columns if c in ("period_start", "period_end", "report_date")])
+    readings = readings.filter(_within_periods(ends, "event_date" in readings.columns))
 
     def bucket(ts):
         return F.floor(F.unix_micros(ts) / F.lit(length))
@@ -56,14 +50,9 @@ def assign_period(readings: DataFrame, periods: DataFrame, cfg: Settings = DEFAU
     buckets = ends.withColumn(
         "_bucket", F.explode(F.sequence(bucket(F.col("period_start")), bucket(F.col("period_end")))))
     left = readings.withColumn("_bucket", bucket(F.col("event_time")))
-    keys = ["_bucket"]
-    if salts > 1:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64("event_time", "patient_id"), F.lit(salts)).cast("int"))
-        buckets = buckets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys.append("_salt")
-    return left.join(buckets, keys).filter(
+    return left.join(buckets, "_bucket").filter(
         (F.col("event_time") >= F.col("period_start")) & (F.col("event_time") < F.col("period_end"))
-    ).drop(*keys)
+    ).drop("_bucket")
 
 
 def daily_features(readings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

@@ -66,20 +66,15 @@ def live_features(windows: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     a trend. ``n`` is bounded per patient, which makes the second aggregation
     local to the rows the limit left over.
     """
-    w = Window.partitionBy("patient_id").orderBy(F.col("window_start").desc())
-    recent = windows.withColumn("_rn", F.row_number().over(w)).filter(
-        F.col("_rn") <= cfg.trend_windows)
+    recent = newest_per_key(windows, ["patient_id"], [F.col("window_start").desc()], cfg.trend_windows)
     x = F.unix_micros("window_start") / F.lit(1_000_000.0 * cfg.slope_unit_seconds)
-
-    def newest(column):
-        return F.max(F.when(F.col("_rn") == 1, F.col(column)))
-
+    values = F.struct("avg_heart_rate", "avg_spo2", "avg_systolic_bp", "avg_temperature", "window_end")
     return recent.groupBy("patient_id").agg(
-        newest("avg_heart_rate").alias("heart_rate"),
-        newest("avg_spo2").alias("spo2"),
-        newest("avg_systolic_bp").alias("systolic_bp"),
-        newest("avg_temperature").alias("temperature"),
-        newest("window_end").alias("last_window_end"),
+        F.max_by(values, "window_start").alias("_newest"),
         F.regr_slope("avg_heart_rate", x).alias("hr_trend"),
         F.regr_slope("avg_spo2", x).alias("spo2_trend"),
+    ).select(
+        "patient_id", F.col("_newest.avg_heart_rate").alias("heart_rate"), F.col("_newest.avg_spo2").alias("spo2"),
+        F.col("_newest.avg_systolic_bp").alias("systolic_bp"), F.col("_newest.avg_temperature").alias("temperature"),
+        F.col("_newest.window_end").alias("last_window_end"), "hr_trend", "spo2_trend",
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from bedwatch.config import DEFAULTS, REPORT_COLUMNS, Settings
 from bedwatch.functions.numeric import round_to
 from bedwatch.functions.scoring import direction
 from bedwatch.operators.risk import rounded_change, with_previous_day
 from bedwatch.operators.windows import newest_per_key
+from bedwatch.session import stage
 
 LEVEL_COUNTS = (("critical", "CRITICAL"), ("high", "HIGH"), ("moderate", "MODERATE"), ("low", "LOW"))
 
@@ -56,24 +57,28 @@ def report_summary(report: DataFrame) -> DataFrame:
     )
 
 
-def report_documents(report: DataFrame, page_size: int = 10_000) -> DataFrame:
-    """Nested report documents: the day's summary with an array of patient rows.
+def report_documents(report: DataFrame) -> DataFrame:
+    """A day's document as lines: one summary and one line per patient, whatever the size of the ward.
 
-    A ward of up to ``page_size`` patients is one document. A larger day is
-    dealt by hash into pages of about that size, so that no task has to hold a
-    whole day; every page repeats the summary.
+    ``position`` 0 is the summary; patients follow from 1 by falling risk, then id. Lines of
+    one shape need no page size, and no task holds a whole day: positions come from
+    range partitions of the wanted order and the days' counts in the partitions before.
     """
-    pages = F.ceil(F.col("total_patients") / F.lit(page_size)).cast("int")
-    summary = report_summary(report).withColumn("pages", pages)
-    columns = [c for c in REPORT_COLUMNS if c not in ("simulated_day", "combined_risk", "patient_id")]
-    row = F.struct((-F.col("combined_risk")).alias("_order"), "patient_id", "combined_risk", *columns)
-    keys = summary.columns
-    dealt = report.drop("report_date").join(summary, "simulated_day").withColumn(
-        "page", F.pmod(F.xxhash64("patient_id"), F.col("pages")).cast("int") + 1)
-    return (
-        dealt.groupBy(*keys, "page").agg(F.sort_array(F.collect_list(row)).alias("patients"))
-        .withColumn("patients", F.transform("patients", lambda p: p.dropFields("_order")))
-    )
+    columns = [c for c in REPORT_COLUMNS if c != "simulated_day"]
+    order = ("simulated_day", "_order", "patient_id")
+    ordered = report.withColumn("_order", -F.col("combined_risk")).select(
+        *order, F.struct(*columns).alias("patient")).repartitionByRange(*[F.col(c) for c in order])
+    ordered = stage(ordered.withColumn("_part", F.spark_partition_id()), "report-order")
+    counts = ordered.groupBy("simulated_day", "_part").agg(F.count("*").alias("n"))
+    before = counts.withColumn("_before", F.sum("n").over(
+        Window.partitionBy("simulated_day").orderBy("_part")) - F.col("n")).drop("n")
+    number = F.row_number().over(Window.partitionBy("simulated_day", "_part").orderBy("_order", "patient_id"))
+    lines = ordered.join(before, ["simulated_day", "_part"]).select(
+        "simulated_day", (F.col("_before") + number).alias("position"), "patient")
+    summary = report_summary(report)
+    heads = summary.select("simulated_day", F.lit(0).cast("long").alias("position"),
+                           F.struct(*[c for c in summary.columns if c != "simulated_day"]).alias("summary"))
+    return heads.unionByName(lines, allowMissingColumns=True)
 
 
 # ---- days ----------------------------------------------------------------
@@ -153,8 +158,13 @@ def direction_counts(histories: DataFrame) -> DataFrame:
     return histories.groupBy("direction").agg(F.count("*").alias("patients"))
 
 
-def risk_heatmap(history: DataFrame, days: list[int]) -> DataFrame:
-    """One row per patient, one column per day; a missing report is null."""
+def risk_heatmap(history: DataFrame, days: list[int] | None = None) -> DataFrame:
+    """One row per patient, one column per day; a missing report is null.
+
+    Without ``days`` they are the days of the history, which the caller limited.
+    """
+    if days is None:
+        days = sorted(r[0] for r in history.select("simulated_day").distinct().collect())
     return history.groupBy("patient_id", "name").pivot("simulated_day", days).agg(
         F.first("combined_risk"))
 

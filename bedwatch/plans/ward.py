@@ -99,9 +99,11 @@ def ward_totals(patients: DataFrame, alerts: DataFrame) -> DataFrame:
 def ward_overview(status: DataFrame, alerts: DataFrame, latest_day_risk: DataFrame, as_of: Column,
                   cfg: Settings = DEFAULTS, ordered: bool = True) -> DataFrame:
     """Ward cards: vital statuses, open alerts, daily risk status, the worst of all, triage order."""
+    counts = open_alerts_per_patient(alerts).withColumns(
+        {"_alerted": F.col("patient_id").cast("string")}).drop("patient_id")  # alert tables key patients by text
     daily = latest_day_risk.select("patient_id", risk_status(F.col("risk_level")).alias("risk_status"))
     joined = (
-        status.join(open_alerts_per_patient(alerts), "patient_id", "left")
+        status.join(counts, F.col("patient_id").cast("string") == F.col("_alerted"), "left").drop("_alerted")
         .join(daily, "patient_id", "left")
         .withColumns({
             "open_alerts": F.coalesce("open_alerts", F.lit(0)),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/bedwatch/{label}-{uuid.uuid4().hex}"
 
 
+#: folders staged inside the innermost ``temporary_stages``
+_STAGED: list[list[str]] = []
+
+
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -61,6 +67,8 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if _STAGED:
+        _STAGED[-1].append(path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -68,14 +76,42 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pin_small(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a local table if it has at most ``max_rows`` rows, else None.
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end; nothing that reads it may be used afterwards."""
+    _STAGED.append([])
+    try:
+        yield
+    finally:
+        for path in _STAGED.pop():
+            remove_folder(spark, path)
 
-    At most ``max_rows + 1`` rows reach the driver. A local table carries exact
-    statistics, so joins with it broadcast without a hint and its values can
-    prune partitions. Callers need another way for None.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+
+# ---- folders, wherever they are -------------------------------------------
+
+def _at(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    store, folder = _at(spark, path)
+    store.delete(folder, True)
+
+
+def numbered_folders(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The numbers n of the folders ``path``/key=n, ascending; none if there is no such path."""
+    store, folder = _at(spark, path)
+    if not store.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in store.listStatus(folder)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{key}="))
+
+
+def matching_names(spark: SparkSession, path: str, pattern: str) -> set[str]:
+    """Names of the files and folders in ``path`` that match; none if there is no such path."""
+    store, folder = _at(spark, path)
+    if not store.exists(folder):
+        return set()
+    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
+    return {f.getPath().getName() for f in found}

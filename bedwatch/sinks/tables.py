@@ -8,9 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from bedwatch.config import REPORT_COLUMNS
-from bedwatch.session import pin_small, stage
-
-MAX_LISTED_DAYS = 5_000
+from bedwatch.session import numbered_folders, remove_folder, stage, temporary_stages
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -43,41 +41,59 @@ def upsert_days(rows: DataFrame, path: str, keys: Sequence[str], day: str = "sim
     Stored rows of the touched days whose key is not in ``rows`` are kept. The
     merged days are staged first, because a plan must not read the partitions
     it overwrites; so are the input rows, which are read several times, unless
-    the caller has already stored them.
+    the caller has already stored them. The first and last touched day prune
+    partitions before anything is read.
     """
     spark = rows.sparkSession
-    rows = rows if staged else stage(rows, "upsert-input")
-    stored = read_if_exists(spark, path)
-    if stored is not None:
-        days = pin_small(rows.select(day).distinct(), MAX_LISTED_DAYS)
-        if days is None:
-            touched = stored.join(rows.select(day).distinct(), day, "left_semi")
-        else:  # literal days prune partitions before anything is read
-            touched = stored.filter(F.col(day).isin([r[0] for r in days.collect()]))
-        kept = touched.join(rows.select(*keys), list(keys), "left_anti")
-        rows = stage(rows.unionByName(kept, allowMissingColumns=True), "upsert-merged")
-    replace_days(rows, path, day)
+    with temporary_stages(spark):
+        rows = rows if staged else stage(rows, "upsert-input")
+        stored = read_if_exists(spark, path)
+        if stored is not None:
+            first, last = rows.agg(F.min(day), F.max(day)).first()
+            near = stored.filter(F.col(day).between(first, last)) if first is not None else stored.limit(0)
+            touched = near.join(rows.select(day).distinct(), day, "left_semi")
+            kept = touched.join(rows.select(*keys), list(keys), "left_anti")
+            rows = stage(rows.unionByName(kept, allowMissingColumns=True), "upsert-merged")
+        replace_days(rows, path, day)
 
 
 # ---- change log: upserts from a stream -----------------------------------
 
-def write_changes(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Store one micro-batch of upserts. Replaying the batch rewrites the same folder."""
+def write_changes(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str] = (),
+                  compact_every: int = 0) -> None:
+    """Store one micro-batch of upserts. Replaying the batch rewrites the same folder.
+
+    With ``compact_every`` the batches before this one are folded every so
+    many batches, so that readers never list more than twice that number.
+    """
     rows.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+    if compact_every and batch_id and batch_id % compact_every == 0:
+        compact_changes(rows.sparkSession, path, keys, batch_id - 1)
 
 
-def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current state of a change log: per key the row of the newest batch.
+def _newest_snapshot(spark: SparkSession, path: str, below: int | None) -> int | None:
+    known = [n for n in numbered_folders(spark, f"{path}/snapshot", "upto") if below is None or n < below]
+    return known[-1] if known else None
+
+
+def latest_rows(spark: SparkSession, path: str, keys: Sequence[str], below: int | None = None) -> DataFrame:
+    """Current state of a change log: per key the row of the newest batch (``below`` a batch, if given).
 
     The per-key limit runs before the shuffle, so a key that was rewritten in
     every batch sends one row per task.
     """
-    log = spark.read.parquet(f"{path}/changes")
-    snapshot = read_if_exists(spark, f"{path}/snapshot")
-    if snapshot is not None:
-        newest = snapshot.agg(F.max("upto")).first()[0]
-        base = snapshot.filter(F.col("upto") == newest).withColumnRenamed("upto", "batch_id")
-        log = log.filter(F.col("batch_id") > newest).unionByName(base, allowMissingColumns=True)
+    newest = _newest_snapshot(spark, path, below)
+    wanted = [n for n in numbered_folders(spark, f"{path}/changes", "batch_id")
+              if (newest is None or n > newest) and (below is None or n < below)]
+    folders = [f"{path}/changes/batch_id={n}" for n in wanted]
+    log = None
+    if folders:
+        log = spark.read.option("basePath", f"{path}/changes").parquet(*folders)
+    if newest is not None:
+        base = spark.read.parquet(f"{path}/snapshot/upto={newest}").withColumn("batch_id", F.lit(newest))
+        log = base if log is None else log.unionByName(base, allowMissingColumns=True)
+    if log is None:
+        log = spark.read.parquet(f"{path}/changes")  # the reader's error says what is missing
     newest_first = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
     current = log.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1").drop("_rn")
     if "deleted" in current.columns:
@@ -85,10 +101,29 @@ def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return current.drop("batch_id")
 
 
-def compact_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
-    """Fold all change batches so far into a snapshot; readers then skip those batches."""
-    upto = spark.read.parquet(f"{path}/changes").agg(F.max("batch_id")).first()[0]
-    latest_rows(spark, path, keys).write.mode("overwrite").parquet(f"{path}/snapshot/upto={upto}")
+def has_changes(spark: SparkSession, path: str, below: int) -> bool:
+    return _newest_snapshot(spark, path, below) is not None or any(
+        n < below for n in numbered_folders(spark, f"{path}/changes", "batch_id"))
+
+
+def compact_changes(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> int:
+    """Fold the change batches so far (up to ``upto``) into a snapshot; readers then skip those batches.
+
+    What the snapshot before this one had already replaced is removed. The
+    batches folded just now stay until the next compaction, for readers
+    that have planned on them.
+    """
+    if upto is None:
+        upto = numbered_folders(spark, f"{path}/changes", "batch_id")[-1]
+    before = _newest_snapshot(spark, path, upto)
+    latest_rows(spark, path, keys, upto + 1).write.mode("overwrite").parquet(f"{path}/snapshot/upto={upto}")
+    if before is not None:
+        for n in numbered_folders(spark, f"{path}/changes", "batch_id"):
+            if n <= before:
+                remove_folder(spark, f"{path}/changes/batch_id={n}")
+        for n in numbered_folders(spark, f"{path}/snapshot", "upto"):
+            if n < before:
+                remove_folder(spark, f"{path}/snapshot/upto={n}")
     return upto
 
 
@@ -98,10 +133,17 @@ def append_rows(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def _by_day(rows: DataFrame):
+    """A writer into a folder per day that replaces the days in ``rows`` and leaves the others."""
+    return rows.withColumn("day", F.col("simulated_day")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("day")
+
+
 def export_report_csv(report: DataFrame, path: str) -> None:
-    """Report rows with a header, columns in the fixed order."""
-    report.select(*REPORT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    """Report rows with a header, columns in the fixed order, in a folder per day."""
+    _by_day(report.select(*REPORT_COLUMNS)).option("header", True).csv(path)
 
 
 def export_documents_json(documents: DataFrame, path: str) -> None:
-    documents.write.mode("overwrite").json(path)
+    """Report documents as JSON lines in a folder per day."""
+    _by_day(documents).json(path)

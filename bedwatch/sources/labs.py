@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from bedwatch.config import DEFAULTS, LAB_FILE_FORMAT, LAB_FILE_PATTERN, Settings
+from bedwatch.config import DEFAULTS, LAB_FILE_FORMAT, LAB_NAME_PATTERN, LAB_PATH_PATTERN, Settings
+from bedwatch.session import matching_names
 
 TEST_SCHEMA = T.StructType([
     T.StructField("test_type", T.StringType()),
@@ -26,35 +29,49 @@ REPORT_SCHEMA = T.StructType([
 
 
 def _file_day() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_name"), LAB_FILE_PATTERN, 1).cast("int")
+    return F.regexp_extract(F.col("_metadata.file_path"), LAB_PATH_PATTERN, 1).cast("int")
 
 
 def lab_file_path(folder: str, day: int) -> str:
+    """A day's reports as one JSON array."""
     return f"{folder}/{LAB_FILE_FORMAT % day}"
 
 
+def lab_lines_path(folder: str, day: int) -> str:
+    """A day's reports as a folder of JSON lines, which any number of tasks can read."""
+    return f"{lab_file_path(folder, day)}l"
+
+
 def read_lab_files(spark: SparkSession, folder: str, days: list[int] | None = None) -> DataFrame:
-    """All reports of the given days (or of every file) in one scan.
+    """All reports of the given days (or of every file), array files and folders of lines alike.
 
-    The day comes from the file name, never from the record. ``report_seq``
+    The day comes from the path, never from the record. ``report_seq``
     grows in file order, so that within a day the later duplicate can win. A
-    missing file of a requested day is an error.
+    day that has neither form is an error. An array file is one task and has to fit
+    in it; large days come as lines.
     """
-    paths = [lab_file_path(folder, d) for d in days] if days else f"{folder}/lab_results_day_*.json"
-    return (
-        spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(paths)
-        .withColumns({"simulated_day": _file_day(), "report_seq": F.monotonically_increasing_id()})
-    )
+    names = matching_names(spark, folder, "lab_results_day_*")
+    if days:
+        missing = [d for d in days if not {LAB_FILE_FORMAT % d, f"{LAB_FILE_FORMAT % d}l"} & names]
+        if missing:
+            raise FileNotFoundError(f"PATH_NOT_FOUND: no lab results of days {missing} in {folder}")
+        names &= {n for d in days for n in (LAB_FILE_FORMAT % d, f"{LAB_FILE_FORMAT % d}l")}
+    arrays = sorted(f"{folder}/{n}" for n in names if n.endswith(".json"))
+    lines = sorted(f"{folder}/{n}" for n in names if n.endswith(".jsonl"))
+    found = spark.createDataFrame([], REPORT_SCHEMA).withColumn("report_seq", F.lit(0).cast("long"))
+    for paths, multi in ((arrays, True), (lines, False)):
+        if paths:
+            read = spark.read.schema(REPORT_SCHEMA).option("multiLine", multi).json(paths)
+            found = found.unionByName(read.withColumns({
+                "simulated_day": _file_day(), "report_seq": F.monotonically_increasing_id()}))
+    return found
 
 
 def available_days(spark: SparkSession, folder: str) -> DataFrame:
-    """Days that have a lab file, from the names alone (no file is opened)."""
-    return (
-        spark.read.format("binaryFile").load(f"{folder}/lab_results_day_*.json")
-        .select(F.regexp_extract("path", LAB_FILE_PATTERN, 1).try_cast("int").alias("simulated_day"))
-        .filter(F.col("simulated_day").isNotNull())
-        .distinct()
-    )
+    """Days that have a lab file or folder, from the names alone (no file is opened)."""
+    days = {int(m[1]) for n in matching_names(spark, folder, "lab_results_day_*")
+            if (m := re.fullmatch(LAB_NAME_PATTERN, n))}
+    return spark.createDataFrame([(d,) for d in sorted(days)], "simulated_day int")
 
 
 def _report_reason() -> Column:
@@ -97,19 +114,22 @@ def flatten_reports(reports: DataFrame) -> DataFrame:
 
 
 def rejected_reports(reports: DataFrame) -> DataFrame:
-    """One row per unusable report or test with the reason (quarantine)."""
-    bad_reports = (
-        _with_time(reports)
-        .select("report_id", "simulated_day", F.lit(None).cast("int").alias("test_pos"),
-                _report_reason().alias("reject_reason"))
-        .filter(F.col("reject_reason").isNotNull())
-    )
-    bad_tests = _exploded(reports).filter(~_test_ok()).select(
-        "report_id", "simulated_day", "test_pos",
-        F.when(F.col("test_type").isNull(), F.lit("missing_test_type"))
-        .otherwise(F.lit("missing_value")).alias("reject_reason"),
-    )
-    return bad_reports.unionByName(bad_tests)
+    """One row per unusable report or test with the reason (quarantine).
+
+    One pass: a report gives an array of reasons, its own or those of its tests.
+    """
+    timed = _with_time(reports).withColumn("_reason", _report_reason())
+    at = "struct<test_pos:int,reject_reason:string>"
+    test_reason = F.transform("tests", lambda t, i: F.struct(
+        i.cast("int").alias("test_pos"),
+        F.when(t["test_type"].isNull(), F.lit("missing_test_type"))
+        .when(t["result_value"].isNull() | F.isnan(t["result_value"]), F.lit("missing_value"))
+        .alias("reject_reason")))
+    own = F.array(F.struct(F.lit(None).cast("int").alias("test_pos"), F.col("_reason").alias("reject_reason")))
+    reasons = F.when(F.col("_reason").isNotNull(), own.cast(f"array<{at}>")).otherwise(
+        F.filter(test_reason, lambda r: r["reject_reason"].isNotNull()).cast(f"array<{at}>"))
+    return timed.select("report_id", "simulated_day", F.explode_outer(reasons).alias("r")).filter(
+        F.col("r").isNotNull()).select("report_id", "simulated_day", "r.*")
 
 
 def without_bounds(labs: DataFrame) -> DataFrame:

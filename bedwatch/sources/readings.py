@@ -84,13 +84,12 @@ def quarantined_readings(parsed: DataFrame) -> DataFrame:
 def dedupe_readings(readings: DataFrame, *within: str) -> DataFrame:
     """One row per event_id (and ``within`` columns); readings without an id are all kept.
 
-    Identical copies combine before the shuffle, so a heavily replayed id does
-    not pile up in one task. The null branch is a separate scan with an
-    ``IS NULL`` filter, which row-group statistics skip when ids are complete;
-    it keeps null ids out of the shuffle.
+    One pass: a reading without an id gets a number of its own beside the null, so that it
+    equals no other and null ids spread over all tasks. Identical copies combine before
+    the shuffle, so a heavily replayed id does not pile up in one task either.
     """
-    with_id = readings.filter(F.col("event_id").isNotNull()).dropDuplicates(["event_id", *within])
-    return with_id.unionByName(readings.filter(F.col("event_id").isNull()))
+    own = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id())
+    return readings.withColumn("_own", own).dropDuplicates(["event_id", "_own", *within]).drop("_own")
 
 
 def scan_archive(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:

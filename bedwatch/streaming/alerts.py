@@ -7,16 +7,21 @@ grow, and written back. Results do not depend on how the input was cut into
 micro-batches or on the order of rows, as long as a reading is not later than
 the watermark.
 
-Open episodes live in two alternating slots: batch N reads the slot of batch
-N-1 and overwrites the other one. A replayed batch therefore sees the same
-state again, and its change folder is rewritten, not appended to.
+Open episodes are a change log with one row per patient and vital: batch N reads
+the rows of the keys it touches as they were before N and stores those keys
+anew, other keys stay as they are. A replayed batch therefore sees the same
+state again, and its change folders are rewritten, not appended to.
+
+An episode leaves the state by its own key's clock: after ``IDLE_BATCHES`` batches
+in a row in which even the oldest breach of the key was too late to reach it. What
+other patients send has no influence, and a single reading dated ahead neither.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from bedwatch.config import DEFAULTS, Settings
@@ -24,10 +29,14 @@ from bedwatch.operators.alerts import with_acknowledged
 from bedwatch.operators.episodes import (
     ACK_COLUMNS, BREACH_KEYS, breach_events, breach_summaries, chain_summaries, episode_rows,
 )
-from bedwatch.sinks.tables import latest_rows, read_if_exists, write_changes
+from bedwatch.sinks.tables import has_changes, latest_rows, write_changes
 
 _SUMMARY = ("first", "last", "n", "n_critical")
 
+ALERT_KEYS = ("alert_id",)
+IDLE_BATCHES = 3
+COMPACT_EVERY = 100
+
 
 def alert_inputs(readings: DataFrame, acks: DataFrame | None = None, cfg: Settings = DEFAULTS) -> DataFrame:
     """One stream carrying breaches and, if given, acknowledgements."""
@@ -42,19 +51,41 @@ def _delay(cfg: Settings):
     return F.expr(f"INTERVAL {cfg.watermark}") + F.make_dt_interval(secs=F.lit(cfg.cooldown_seconds))
 
 
+def _state_before(spark: SparkSession, path: str, batch_id: int, keys: DataFrame) -> DataFrame | None:
+    """The stored episodes of these keys as of the batch before, one row each."""
+    if not has_changes(spark, f"{path}/state", batch_id):
+        return None
+    known = latest_rows(spark, f"{path}/state", BREACH_KEYS, below=batch_id)
+    return known.join(keys, list(BREACH_KEYS), "left_semi").select(*BREACH_KEYS, F.inline("episodes"))
+
+
+def _kept(merged: DataFrame, cfg: Settings) -> DataFrame:
+    """State rows of the touched keys: what can still grow, and how long it has not been in reach."""
+    oldest = F.min("_oldest").over(Window.partitionBy(*BREACH_KEYS))
+    beyond = oldest > F.col("last.event_time") + _delay(cfg)
+    idle = F.when(F.col("_oldest").isNotNull(), 0).when(oldest.isNull(), F.coalesce("_idle", F.lit(0))).when(
+        beyond, F.coalesce("_idle", F.lit(0)) + 1).otherwise(0)
+    alive = merged.withColumn("idle", idle).filter(F.col("idle") < IDLE_BATCHES)
+    return alive.groupBy(*BREACH_KEYS).agg(
+        F.collect_list(F.struct(*_SUMMARY, "acked_at", "idle")).alias("episodes"))
+
+
 def _merge(summaries: DataFrame, state: DataFrame | None, acks: DataFrame | None, cfg: Settings) -> DataFrame:
     """Episodes after this batch, with the starts they were known by before."""
-    rows = summaries.withColumn("_known", F.lit(None).cast("timestamp"))
+    rows = summaries.withColumns({"_known": F.lit(None).cast("timestamp"), "_idle": F.lit(None).cast("int")})
     if state is not None:
-        rows = rows.unionByName(
-            state.select(*BREACH_KEYS, *_SUMMARY, F.col("first.event_time").alias("_known")))
+        rows = rows.unionByName(state.select(
+            *BREACH_KEYS, *_SUMMARY, F.col("first.event_time").alias("_known"), F.col("idle").alias("_idle")))
+    new = ~F.col("_is_ack") & F.col("_known").isNull()
     return (
         chain_summaries(rows, acks, cfg).groupBy(*BREACH_KEYS, "_run")
         .agg(
             F.min("first").alias("first"), F.max("last").alias("last"),
             F.sum("n").alias("n"), F.sum("n_critical").alias("n_critical"),
             F.min(F.when(F.col("_cuts"), F.col("_time"))).alias("acked_at"),
-            F.bool_or(~F.col("_is_ack") & F.col("_known").isNull()).alias("_grown"),
+            F.bool_or(new).alias("_grown"),
+            F.min(F.when(new, F.col("_time"))).alias("_oldest"),  # null if this batch adds nothing
+            F.max("_idle").alias("_idle"),
             F.bool_or(F.col("_cuts") & F.col("_new_ack")).alias("_closed"),
             # Episodes still kept for a key lie more than a cooldown apart, so few can merge.
             F.collect_set("_known").alias("_knowns"),
@@ -77,12 +108,12 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
             batch.unpersist()
 
     def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        state = read_if_exists(spark, f"{path}/state/slot={(batch_id - 1) % 2}") if batch_id else None
+        state = _state_before(spark, path, batch_id, batch.select(*BREACH_KEYS).distinct())
         breaches = batch.filter("kind = 'breach'")
         acks = None
         if "acked_at" in batch.columns:
             acks = batch.filter("kind = 'ack'").select(*ACK_COLUMNS)
-            acks.write.mode("overwrite").parquet(f"{path}/acks/batch_id={batch_id}")
+            write_changes(acks, f"{path}/acks", batch_id, (*ALERT_KEYS, "acked_at"), COMPACT_EVERY)
             if state is not None:
                 kept = state.filter(F.col("acked_at").isNotNull()).select(
                     *BREACH_KEYS, F.col("first.event_time").alias("triggered_at"), "acked_at")
@@ -94,12 +125,8 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
         removed = episode_rows(
             gone.withColumn("first", F.col("first").withField("event_time", F.col("_old"))), cfg, "acked_at",
         ).withColumn("deleted", F.lit(True))
-        write_changes(changes.unionByName(removed), path, batch_id)
-        newest = merged.agg(F.max("last.event_time")).first()[0]
-        alive = merged if newest is None else merged.filter(
-            F.col("last.event_time") >= F.lit(newest).cast("timestamp") - _delay(cfg))
-        alive.select(*BREACH_KEYS, *_SUMMARY, "acked_at").write.mode("overwrite").parquet(
-            f"{path}/state/slot={batch_id % 2}")
+        write_changes(changes.unionByName(removed), path, batch_id, ALERT_KEYS, COMPACT_EVERY)
+        write_changes(_kept(merged, cfg), f"{path}/state", batch_id, BREACH_KEYS, COMPACT_EVERY)
         merged.unpersist()
 
     return write
@@ -109,9 +136,11 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """Current alerts with their acknowledged flag.
 
     An acknowledgement of an alert that could no longer grow is only in the
-    acknowledgement folder; the others are on the alert itself.
+    acknowledgement log; the others are on the alert itself.
     """
-    alerts = with_acknowledged(
-        latest_rows(spark, path, ["alert_id"]), read_if_exists(spark, f"{path}/acks"))
+    acks = None
+    if has_changes(spark, f"{path}/acks", 1 << 62):
+        acks = latest_rows(spark, f"{path}/acks", (*ALERT_KEYS, "acked_at"))
+    alerts = with_acknowledged(latest_rows(spark, path, ALERT_KEYS), acks)
     return alerts.withColumn(
         "acknowledged", F.col("acknowledged") | F.col("acked_at").isNotNull()).drop("acked_at")

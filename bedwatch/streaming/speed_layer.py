@@ -9,10 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bedwatch.config import DEFAULTS, Settings
 from bedwatch.operators.windows import window_aggregates
-from bedwatch.sinks.tables import append_rows, latest_rows, write_changes
+from bedwatch.sinks.tables import latest_rows, write_changes
+from bedwatch.sources.readings import quarantined_readings
 from bedwatch.streaming.alerts import alert_inputs, alert_writer
+from bedwatch.streaming.metrics import BatchMetrics, batch_metrics
 
 WINDOW_KEYS = ("patient_id", "window_start")
+QUERY_NAMES = ("raw_archive", "vitals_agg", "vitals_alerts", "rejects")
+COMPACT_EVERY = 100
 
 
 class Folders(NamedTuple):
@@ -20,10 +24,12 @@ class Folders(NamedTuple):
     windows: str
     alerts: str
     checkpoints: str
+    rejects: str
+    metrics: str
 
     @classmethod
     def under(cls, root: str) -> "Folders":
-        return cls(*(f"{root}/{name}" for name in ("archive", "windows", "alerts", "checkpoints")))
+        return cls(*(f"{root}/{name}" for name in cls._fields))
 
 
 def _trigger(interval: str, drain: bool) -> dict:
@@ -51,7 +57,8 @@ def start_windows(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULT
         "windows", F.count("*").alias("aggregates_written"))
     return (
         windows.writeStream.queryName("vitals_agg").outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_changes(batch, folders.windows, batch_id))
+        .foreachBatch(lambda batch, batch_id: write_changes(
+            batch, folders.windows, batch_id, WINDOW_KEYS, COMPACT_EVERY))
         .option("checkpointLocation", f"{folders.checkpoints}/vitals_agg")
         .trigger(**_trigger(cfg.window_trigger, drain)).start()
     )
@@ -69,50 +76,47 @@ def start_alerts(readings: DataFrame, folders: Folders, cfg: Settings = DEFAULTS
     )
 
 
-def start_speed_layer(readings: DataFrame, root: str, cfg: Settings = DEFAULTS,
-                      acks: DataFrame | None = None, drain: bool = False) -> list[StreamingQuery]:
-    """All three queries, each with its own checkpoint and pace."""
+def start_rejects(parsed: DataFrame, folders: Folders, cfg: Settings = DEFAULTS,
+                  drain: bool = False) -> StreamingQuery:
+    """Keep the messages that are no valid reading, with the reason."""
+    rejects = quarantined_readings(parsed).observe("rejects", F.count("*").alias("records_rejected"))
+    return (
+        rejects.writeStream.queryName("rejects").format("parquet").partitionBy("reject_reason")
+        .option("path", folders.rejects)
+        .option("checkpointLocation", f"{folders.checkpoints}/rejects")
+        .trigger(**_trigger(cfg.archive_trigger, drain)).start()
+    )
+
+
+def start_speed_layer(readings: DataFrame, root: str, cfg: Settings = DEFAULTS, acks: DataFrame | None = None,
+                      drain: bool = False, parsed: DataFrame | None = None) -> list[StreamingQuery]:
+    """All queries, each with its own checkpoint and pace; their metrics are stored batch by batch.
+
+    ``parsed`` is the stream before ``valid_readings``; if given, what was left out is kept as well.
+    """
     folders = Folders.under(root)
-    return [
+    watcher = BatchMetrics(folders.metrics)
+    readings.sparkSession.streams.addListener(watcher)
+    queries = [
         start_archive(readings, folders, cfg, drain),
         start_windows(readings, folders, cfg, drain),
         start_alerts(readings, folders, cfg, acks, drain),
     ]
+    if parsed is not None:
+        queries.append(start_rejects(parsed, folders, cfg, drain))
+    for q in queries:
+        watcher.watch(q)
+    if drain:
+        for q in queries:
+            q.awaitTermination()
+            watcher.settle(q)
+        readings.sparkSession.streams.removeListener(watcher)
+    return queries
 
 
 def read_windows(spark: SparkSession, folders: Folders) -> DataFrame:
     return latest_rows(spark, folders.windows, WINDOW_KEYS)
 
 
-def progress_metrics(query: StreamingQuery) -> DataFrame | None:
-    """Totals over a query's recent progress: rows read, rows dropped as late, observed counts.
-
-    Observed counts are taken while the rows pass by; nothing is counted again.
-    """
-    rows = []
-    for p in query.recentProgress:
-        rows.append((query.name, "rows_read", float(p.numInputRows)))
-        rows.append((query.name, "rows_late", float(sum(s.numRowsDroppedByWatermark for s in p.stateOperators))))
-        for observed in p.observedMetrics.values():
-            rows += [(query.name, name, float(value)) for name, value in observed.asDict().items()]
-    if not rows:
-        return None
-    return (
-        SparkSession.active()
-        .createDataFrame(rows, "component string, metric_name string, metric_value double")
-        .groupBy("component", "metric_name").agg(F.sum("metric_value").alias("metric_value"))
-        .withColumn("recorded_at", F.current_timestamp())
-    )
-
-
-def progress_heartbeats(query: StreamingQuery, component: str = "speed_layer") -> DataFrame:
-    """One sign of life per batch the query finished, for the freshness check."""
-    rows = [(component, p.timestamp) for p in query.recentProgress]
-    return SparkSession.active().createDataFrame(rows, "component string, at string").select(
-        "component", F.to_timestamp("at").alias("recorded_at"))
-
-
-def flush_metrics(query: StreamingQuery, metrics_table: str) -> None:
-    metrics = progress_metrics(query)
-    if metrics is not None:
-        append_rows(metrics, metrics_table)
+def read_metrics(spark: SparkSession, folders: Folders) -> DataFrame:
+    return batch_metrics(spark, folders.metrics, QUERY_NAMES)

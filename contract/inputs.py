@@ -10,6 +10,7 @@ from bedwatch.operators.panel import latest_labs, panel_scores
 from bedwatch.operators.risk import score_patients
 from bedwatch.operators.windows import window_aggregates
 from bedwatch.sources.labs import flatten_reports
+from bedwatch.session import new_folder
 from bedwatch.sources.readings import dedupe_readings
 
 DAY = 86_400
@@ -20,7 +21,7 @@ AS_OF = "2024-01-31 00:00:00"
 CFG = DEFAULTS.with_(
     period_seconds=5 * DAY, window="1 day", watermark="1 day", slope_unit_seconds=float(DAY),
     hr_rise_limit=5.0, spo2_fall_limit=-1.0, live_hr_rise_limit=6.0, live_spo2_fall_limit=-1.0,
-    cooldown_seconds=2 * DAY, stale_after_seconds=2 * DAY, min_records_per_second=0.0039,
+    cooldown_seconds=2 * DAY, stale_after_seconds=DAY // 2, min_records_per_second=0.0039,
 )
 
 
@@ -69,11 +70,26 @@ def as_payload(events: DataFrame) -> DataFrame:
         F.when((F.col("condition") == "error") & (F.col("k") < 25), cut).otherwise(F.col("j")).alias("value"))
 
 
+SLICES = 8
+
+
+def in_slices(df: DataFrame, time: str, label: str, bounds: tuple | None = None) -> tuple[str, tuple]:
+    """``df`` as files in time order, one per slice of time; empty slices have a file as well."""
+    low, high = bounds or df.agg(F.min(time), F.max(time)).first()
+    step = (high - low) / SLICES
+    path = new_folder(df.sparkSession, label)
+    number = F.least(F.lit(SLICES - 1), F.floor((F.unix_micros(time) - F.unix_micros(F.lit(low)))
+                                                / F.lit(step.total_seconds() * 1e6)))
+    for k in range(SLICES):  # the file source reads in order of modification
+        df.filter(number == k).coalesce(1).write.mode("append").parquet(path)
+    return path, (low, high)
+
+
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table as a stream. The bracket makes the path a pattern, which file streams
-    accept for a single file as well as for a folder of files."""
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{name[:-1]}[{name[-1]}].parquet")
+    """A table as a stream of several files in time order, one per micro-batch."""
+    rows = table(spark, sf, name).withColumn("ts", F.col("ts").cast("timestamp"))
+    path, _ = in_slices(rows, "ts", "stream-input")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def lab_reports(spark: SparkSession, sf: str) -> DataFrame:

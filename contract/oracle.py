@@ -128,8 +128,8 @@ risk AS (
          CAST(CAST(DATE '2024-01-01' + INTERVAL 1 DAY * CAST(simulated_day * 5 AS INT) AS DATE) AS VARCHAR) AS report_date,
          COALESCE(NULLIF(concat_ws('; ',
            CASE WHEN total > 0 AND abnormal > 0 THEN abnormal || '/' || total || ' vital readings breached alert thresholds' END,
-           CASE WHEN total > 0 AND hr_trend > 5 THEN printf('Heart rate rising (%+.2f bpm/min)', hr_trend) END,
-           CASE WHEN total > 0 AND spo2_trend < -1 THEN printf('SpO2 falling (%+.2f %%/min)', spo2_trend) END,
+           CASE WHEN total > 0 AND hr_trend > 5 THEN printf('Heart rate rising (%+.2f bpm/day)', hr_trend) END,
+           CASE WHEN total > 0 AND spo2_trend < -1 THEN printf('SpO2 falling (%+.2f %%/day)', spo2_trend) END,
            lab_text), ''), 'None') AS risk_factors,
          (CASE WHEN total > 0 AND abnormal > 0 THEN 1 ELSE 0 END + CASE WHEN total > 0 AND hr_trend > 5 THEN 1 ELSE 0 END
           + CASE WHEN total > 0 AND spo2_trend < -1 THEN 1 ELSE 0 END
@@ -266,6 +266,12 @@ breaches AS (
 )"""
 
 
+# The upper limits are those of 120, 180 and 38.5.
+MESSAGE = """printf('%s is %s threshold: value=%.1f, threshold=%.1f', vital_name,
+  CASE WHEN threshold_value IN (120e0, 180e0, 38.5e0) THEN 'above' ELSE 'below' END,
+  CAST(ROUND(CAST(vital_value AS DECIMAL(38,10)), 1) AS DOUBLE), threshold_value)"""
+
+
 def _episodes(source: str = "readings", cut: str = "0") -> str:
     return BREACHES.format(source=source) + f""",
 marked AS (
@@ -291,7 +297,8 @@ episodes AS (
          max(vital_value) FILTER (WHERE back = 1) AS vital_value,
          max(threshold_value) FILTER (WHERE pos = 1) AS threshold_value,
          min(event_time) AS triggered_at, max(event_time) AS last_seen_at,
-         CAST(max(event_id) FILTER (WHERE back = 1) AS VARCHAR) AS event_id
+         CAST(max(event_id) FILTER (WHERE back = 1) AS VARCHAR) AS event_id,
+         max({MESSAGE}) FILTER (WHERE back = 1) AS message
   FROM placed GROUP BY patient_id, vital_name, run, part
 )"""
 
@@ -338,7 +345,8 @@ SELECT event_id, patient_id, {ABNORMAL} AS abnormal, {", ".join(STATUSES.values(
 
 ORACLE["breach_events"] = f"""WITH {READINGS}, {BREACHES.format(source='readings')}
 SELECT event_id, patient_id, vital_name, {_r('vital_value', 6)} AS vital_value, threshold_value,
-       CASE WHEN critical THEN 'CRITICAL' ELSE 'WARNING' END AS severity, {_t('event_time')} AS event_time FROM breaches"""
+       CASE WHEN critical THEN 'CRITICAL' ELSE 'WARNING' END AS severity, {_t('event_time')} AS event_time,
+       {MESSAGE} AS message FROM breaches"""
 
 ORACLE["breach_collapse"] = f"""WITH {READINGS}, {BREACHES.format(source='readings')},
 ordered AS (
@@ -478,10 +486,19 @@ SELECT simulated_day, CAST(CAST(DATE '2024-01-01' + INTERVAL 1 DAY * CAST(simula
        count(*) FILTER (WHERE risk_level = 'MODERATE') AS moderate_count,
        count(*) FILTER (WHERE risk_level = 'LOW') AS low_count FROM report GROUP BY simulated_day"""
 ORACLE["report_documents"] = f"""WITH {RISK}
-SELECT simulated_day, total_patients, critical_count, CAST(ceil(total_patients / 500e0) AS BIGINT) AS pages, patient_id,
-       combined_risk, risk_level
-FROM (SELECT *, count(*) OVER d AS total_patients, count(*) FILTER (WHERE risk_level = 'CRITICAL') OVER d AS critical_count
-      FROM report WINDOW d AS (PARTITION BY simulated_day))"""
+SELECT simulated_day, row_number() OVER (PARTITION BY simulated_day ORDER BY combined_risk DESC, patient_id) AS position,
+       patient_id, combined_risk, risk_level, CAST(NULL AS BIGINT) AS total_patients, CAST(NULL AS BIGINT) AS critical_count
+FROM report
+UNION ALL
+SELECT simulated_day, 0, NULL, NULL, NULL, count(*), count(*) FILTER (WHERE risk_level = 'CRITICAL') FROM report
+GROUP BY simulated_day"""
+ORACLE["report_json"] = ORACLE["report_documents"]
+ORACLE["catch_up_days"] = (f"WITH {RISK} SELECT {RISK_COLUMNS}, CAST(2 AS BIGINT) AS runs FROM risk "
+                           "WHERE simulated_day <= 6 AND simulated_day <> 4")
+ORACLE["catch_up_reports"] = f"""WITH {RISK}
+SELECT simulated_day, 'report' AS kind, count(*) AS rows FROM report WHERE simulated_day <= 6 AND simulated_day <> 4
+GROUP BY simulated_day
+UNION ALL SELECT 4, 'missing_patient', count(*) FROM labs WHERE simulated_day = 4"""
 ORACLE["report_days"] = f"WITH {RISK} SELECT DISTINCT simulated_day, report_date FROM risk"
 ORACLE["latest_report_day"] = f"WITH {RISK} SELECT max(simulated_day) AS day FROM risk"
 ORACLE["ward_history"] = f"WITH {RISK} SELECT * FROM history"
@@ -514,8 +531,8 @@ ORACLE["ward_concerns"] = f"""WITH {WARD}
 SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY o) - 1 AS BIGINT) AS position, concern FROM (
   SELECT patient_id, 1 AS o, printf('Early warning score %d (%s)', early_warning_score, early_warning_level) AS concern
   FROM ward_view WHERE early_warning_level <> 'LOW'
-  UNION ALL SELECT patient_id, 2, printf('Heart rate rising %+.1f bpm/min over last 5 min', hr_trend) FROM ward_view WHERE hr_trend > 6
-  UNION ALL SELECT patient_id, 3, printf('SpO2 falling %+.2f %%/min over last 5 min', spo2_trend) FROM ward_view WHERE spo2_trend < -1
+  UNION ALL SELECT patient_id, 2, printf('Heart rate rising %+.1f bpm/day over last 10 day', hr_trend) FROM ward_view WHERE hr_trend > 6
+  UNION ALL SELECT patient_id, 3, printf('SpO2 falling %+.2f %%/day over last 10 day', spo2_trend) FROM ward_view WHERE spo2_trend < -1
   UNION ALL SELECT patient_id, 4, printf('%d abnormal lab result(s) on day %d', abnormal_labs_count, simulated_day)
   FROM ward_view WHERE abnormal_labs_count > 0)"""
 ORACLE["ward_attention"] = f"""WITH {WARD} SELECT patient_id, outlook, CAST(early_warning_score AS BIGINT) AS early_warning_score
@@ -561,10 +578,22 @@ FROM cards"""
 
 # ---- alerts --------------------------------------------------------------
 
-ORACLE["alert_episodes"] = f"WITH {EPISODES} SELECT {ALERT_COLUMNS} FROM episodes"
+ORACLE["alert_episodes"] = f"WITH {EPISODES} SELECT {ALERT_COLUMNS}, message FROM episodes"
 ORACLE["alert_episodes_acked"] = f"""WITH {READINGS}, {_episodes(cut='''CASE WHEN vital_name IN ('spo2', 'heart_rate')
   AND event_time > run_start + INTERVAL 30 HOUR THEN 1 ELSE 0 END''')} SELECT {ALERT_COLUMNS} FROM episodes"""
 ORACLE["stream_alert_episodes"] = f"WITH {DELIVERED}, {_episodes('delivered')} SELECT {ALERT_COLUMNS} FROM episodes"
+ORACLE["stream_alerts_acked"] = ORACLE["alert_episodes_acked"]
+ORACLE["stream_metrics"] = f"""WITH {DELIVERED}, {BREACHES.format(source='delivered')},
+sliced AS (SELECT count(*) AS n FROM events),
+counted AS (
+  SELECT 'raw_archive' AS component, 'raw_records_archived' AS metric_name, (SELECT count(*) FROM delivered) AS n
+  UNION ALL SELECT 'vitals_alerts', 'breaches_seen', (SELECT count(*) FROM breaches)
+  UNION ALL SELECT 'rejects', 'records_rejected', (SELECT n FROM sliced) - (SELECT count(*) FROM delivered)
+  UNION ALL SELECT c, 'rows_read', (SELECT n FROM sliced)
+    FROM (VALUES ('raw_archive'), ('vitals_agg'), ('vitals_alerts'), ('rejects')) t(c)
+)
+SELECT component, metric_name, CAST(n AS DOUBLE) AS metric_value, CAST(8 AS BIGINT) AS batches FROM counted
+UNION ALL SELECT c, 'rows_late', 0e0, 0 FROM (VALUES ('raw_archive'), ('vitals_agg'), ('vitals_alerts'), ('rejects')) t(c)"""
 ALERT_ORDER = "(severity = 'CRITICAL') DESC, last_seen_at DESC, patient_id, vital_name, triggered_at"
 ORACLE["active_alerts"] = (
     f"WITH {OPEN} SELECT {ALERT_COLUMNS} FROM (SELECT * FROM open_alerts ORDER BY {ALERT_ORDER} LIMIT 50)")
@@ -581,15 +610,15 @@ ORACLE["open_alerts_per_patient"] = f"WITH {OPEN} SELECT patient_id, count(*) AS
 STALE = WINDOWS + "," + PATIENTS + f""",
 seen AS (SELECT p.patient_id, p.name, max(window_end) AS last_seen FROM patients p
          LEFT JOIN windows w ON w.patient_id = p.patient_id GROUP BY p.patient_id, p.name),
-stale AS (SELECT * FROM seen WHERE last_seen IS NULL OR last_seen < {AS_OF} - INTERVAL 2 DAY)"""
+stale AS (SELECT * FROM seen WHERE last_seen IS NULL OR last_seen < {AS_OF} - INTERVAL 12 HOUR)"""
 ORACLE["stale_patients"] = f"WITH {STALE} SELECT patient_id, name, {_t('last_seen')} AS last_seen FROM stale"
 ORACLE["stalest_age"] = f"""WITH {STALE}
 SELECT COALESCE(CAST(floor(epoch({AS_OF}) - epoch(min(last_seen))) AS BIGINT), -1) AS age_seconds FROM seen"""
-STALE_TEXT = "'No vitals data received for patient ' || patient_id || ' (' || name || ') in the last 172800 seconds.'"
+STALE_TEXT = "'No vitals data received for patient ' || patient_id || ' (' || name || ') in the last 43200 seconds.'"
 ORACLE["staleness_alerts"] = f"""WITH {STALE},
 seen_early AS (SELECT p.patient_id, p.name, max(window_end) AS last_seen FROM patients p
   LEFT JOIN windows w ON w.patient_id = p.patient_id AND window_end <= TIMESTAMP '2024-01-20' GROUP BY p.patient_id, p.name),
-early AS (SELECT * FROM seen_early WHERE last_seen IS NULL OR last_seen < TIMESTAMP '2024-01-18')
+early AS (SELECT * FROM seen_early WHERE last_seen IS NULL OR last_seen < TIMESTAMP '2024-01-19 12:00:00')
 SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'DATA_STALENESS' AS alert_type, 'WARNING' AS severity, {STALE_TEXT} AS message,
        '2024-01-20 00:00:00.000' AS triggered_at, patient_id NOT IN (SELECT patient_id FROM stale) AS acknowledged FROM early
 UNION ALL

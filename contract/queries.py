@@ -87,9 +87,9 @@ def breach_flags(spark, sf):
 
 @query
 def breach_events(spark, sf):
-    return episodes.breach_events(inp.readings(spark, sf), CFG).select(
+    return episodes.with_message(episodes.breach_events(inp.readings(spark, sf), CFG)).select(
         "event_id", "patient_id", "vital_name", num("vital_value"), "threshold_value", "severity",
-        txt("event_time"))
+        txt("event_time"), "message")
 
 
 @query
@@ -296,6 +296,53 @@ def run_totals(spark, sf):
     return health.run_totals(inp.labs(spark, sf), inp.risk(spark, sf))
 
 
+def _daily_job(spark, sf):
+    """Lab files and an archive for the job: day 4 has reports nobody can be given, days 5 and 6 come as lines."""
+    root = new_folder(spark, "daily-job")
+    labs = stage(inp.labs(spark, sf), "labs")
+    test = F.struct("test_type", "result_value", F.lit("u").alias("unit"), "reference_min", "reference_max",
+                    F.lit("").alias("reference_range"), "is_abnormal")
+    taken = F.date_format(F.lit(inp.ORIGIN).cast("timestamp") + F.make_dt_interval(F.col("simulated_day") * 5),
+                          "yyyy-MM-dd'T'HH:mm:ssXXX")
+    reports = labs.select(
+        F.concat_ws("-", "patient_id", "test_type", "simulated_day").alias("report_id"),
+        F.when(F.col("simulated_day") != 4, F.col("patient_id").cast("string")).alias("patient_id"),
+        "simulated_day", taken.alias("collected_at"), F.array(test).alias("tests"))
+    for day in [r[0] for r in labs.select("simulated_day").distinct().orderBy("simulated_day").collect()]:
+        reports.filter(F.col("simulated_day") == day).write.json(lb.lab_lines_path(f"{root}/labs", day))
+    readings = inp.readings(spark, sf).withColumns({
+        "event_id": F.col("event_id").cast("string"), "patient_id": F.col("patient_id").cast("string"),
+        "timestamp": F.lit(None).cast("string"), "is_abnormal": F.lit(None).cast("boolean"),
+        "event_date": F.to_date("event_time")})
+    readings.write.partitionBy("event_date").parquet(f"{root}/archive")
+    patients = inp.patients(spark, sf).withColumn("patient_id", F.col("patient_id").cast("string"))
+    steps = []
+    while done := daily.catch_up(spark, f"{root}/labs", f"{root}/archive", f"{root}/lab_table", f"{root}/risk_table",
+                                 patients, f"{root}/reports", CFG):
+        steps.append(done)
+    return root, steps
+
+
+@query
+def catch_up_days(spark, sf):
+    """The daily job until nothing is pending, three days a run, one of them without a usable report."""
+    root, steps = _daily_job(spark, sf)
+    risk = spark.read.parquet(f"{root}/risk_table").withColumn("patient_id", F.col("patient_id").cast("long"))
+    return risk.select(*_risk_columns(), F.lit(len(steps)).cast("long").alias("runs"))
+
+
+@query
+def catch_up_reports(spark, sf):
+    """The CSV reports of all days after those runs, and the rejected reports."""
+    root, _ = _daily_job(spark, sf)
+    csv = spark.read.option("header", True).csv(f"{root}/reports/csv").groupBy("simulated_day").agg(
+        F.count("*").alias("rows"), F.lit("report").alias("kind"))
+    rejects = spark.read.parquet(f"{root}/reports/rejects").groupBy("simulated_day", "reject_reason").agg(
+        F.count("*").alias("rows"))
+    return csv.select(big("simulated_day"), "kind", "rows").unionByName(
+        rejects.select(big("simulated_day"), F.col("reject_reason").alias("kind"), "rows"))
+
+
 # ---- keyed writes --------------------------------------------------------
 
 @query
@@ -336,7 +383,7 @@ def window_changelog(spark, sf):
 
 @query
 def patients_insert_absent(spark, sf):
-    """Everyone with an order or a reading added to the customers of record."""
+    """Suppliers as newcomers, and customers of record once more, added to the customers of record."""
     known = inp.patients(spark, sf)
     seen = inp.table(spark, sf, "supplier").select(
         (F.col("s_suppkey") + F.lit(1_000_000)).alias("patient_id"), F.col("s_name").alias("name"),
@@ -382,13 +429,27 @@ def report_summary(spark, sf):
         "moderate_count", "low_count")
 
 
+def _document_lines(lines):
+    return lines.select(
+        big("simulated_day"), big("position"), big("patient.patient_id"), "patient.combined_risk", "patient.risk_level",
+        big("summary.total_patients"), big("summary.critical_count"))
+
+
 @query
 def report_documents(spark, sf):
+    """A summary line and the patients' lines per day, with their positions."""
+    return _document_lines(rp.report_documents(stage(_report(spark, sf), "report")))
+
+
+@query
+def report_json(spark, sf):
+    """Documents exported as JSON in two runs of three days each, and read back."""
+    path = new_folder(spark, "report-json")
     report = stage(_report(spark, sf), "report")
-    return rp.report_documents(report, page_size=500).select(
-        big("simulated_day"), "total_patients", "critical_count", big("pages"), F.explode("patients").alias("p"),
-    ).select("simulated_day", "total_patients", "critical_count", "pages", "p.patient_id", "p.combined_risk",
-             "p.risk_level")
+    lines = rp.report_documents(report)
+    tb.export_documents_json(rp.report_documents(report.filter("simulated_day <= 3")), path)
+    tb.export_documents_json(rp.report_documents(report.filter("simulated_day > 3")), path)
+    return _document_lines(spark.read.schema(lines.schema).json(path))
 
 
 @query
@@ -446,9 +507,9 @@ def direction_counts(spark, sf):
 
 @query
 def risk_heatmap(spark, sf):
-    wide = rp.risk_heatmap(rp.ward_history(stage(inp.risk(spark, sf), "risk"), inp.patients(spark, sf), 6),
-                           [1, 2, 3, 4, 5, 6])
-    return wide.select("patient_id", "name", *[F.col(str(d)).alias(f"day_{d}") for d in range(1, 7)])
+    wide = rp.risk_heatmap(rp.ward_history(stage(inp.risk(spark, sf), "risk"), inp.patients(spark, sf), 6))
+    days = [c for c in wide.columns if c not in ("patient_id", "name")]
+    return wide.select("patient_id", "name", *[F.col(d).alias(f"day_{d}") for d in days])
 
 
 @query
@@ -502,7 +563,7 @@ def ward_totals(spark, sf):
 def ward_overview(spark, sf):
     risk = stage(inp.risk(spark, sf).select("patient_id", "simulated_day", "risk_level"), "risk", "simulated_day")
     day = rp.latest_report_day(risk).first()[0]
-    cards = ward.ward_overview(_status(spark, sf), _alerts(spark, sf),
+    cards = ward.ward_overview(_status(spark, sf), _all_alerts(spark, sf),
                                risk.filter(F.col("simulated_day") == day), as_of(), CFG)
     return cards.select(
         "patient_id", "name", *[f"{v}_status" for v in ward.CARD_VITALS], "risk_status", "overall_status",
@@ -532,12 +593,18 @@ def _episodes(spark, sf):
 
 def _alerts(spark, sf):
     """All episodes; those of temperature are acknowledged an hour after they were last seen."""
-    alerts = _episodes(spark, sf)
+    alerts = stage(_episodes(spark, sf), "episodes")
     requests = alerts.filter("vital_name = 'temperature'").select(
         "alert_id", (F.col("last_seen_at") + F.expr("INTERVAL 1 HOUR")).alias("acked_at"))
     return al.with_acknowledged(alerts, requests)
 
 
+def _all_alerts(spark, sf):
+    """Vital, staleness and error-rate alerts in one table."""
+    errors = health.error_rate_alert(health.error_rate(inp.counters(spark, sf)), _no_alerts(spark), as_of(), CFG)
+    return al.unite_alerts(_alerts(spark, sf), _staleness(spark, sf), errors)
+
+
 def _alert_columns():
     return ["patient_id", "severity", "vital_name", num("vital_value"), "threshold_value", txt("triggered_at"),
             txt("last_seen_at"), big("occurrences"), "event_id"]
@@ -545,19 +612,21 @@ def _alert_columns():
 
 @query
 def alert_episodes(spark, sf):
-    return _episodes(spark, sf).select(*_alert_columns())
+    return _episodes(spark, sf).select(*_alert_columns(), "message")
 
 
 @query
 def alert_episodes_acked(spark, sf):
     """Every SpO2 and heart-rate alert acknowledged 30 hours after it opened, in the middle of longer runs."""
     breaches = _breaches(spark, sf)
-    found = episodes.alert_episodes(breaches, None, CFG)
+    return episodes.alert_episodes(breaches, _acks(spark, sf), CFG).select(*_alert_columns())
+
+
+def _acks(spark, sf):
+    found = _episodes(spark, sf)
     requests = found.filter(F.col("vital_name").isin("spo2", "heart_rate")).select(
         "alert_id", (F.col("triggered_at") + F.expr("INTERVAL 30 HOURS")).alias("acked_at"))
-    acks = stage(al.acknowledge(found, requests), "acks")
-    return episodes.alert_episodes(breaches, acks, CFG).select(*_alert_columns())
-
+    return stage(al.acknowledge(found, requests), "acks")
 
 @query
 def stream_alert_episodes(spark, sf):
@@ -566,6 +635,47 @@ def stream_alert_episodes(spark, sf):
     return read_alerts(spark, folders.alerts).select(*_alert_columns())
 
 
+@query
+def stream_alerts_acked(spark, sf):
+    """The acknowledgements of ``alert_episodes_acked`` arriving in the stream, in step with the readings."""
+    folders = sl.Folders.under(new_folder(spark, "stream-acks"))
+    events = inp.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    readings, bounds = inp.in_slices(inp.as_readings(events), "event_time", "stream-readings", (low, high))
+    acks, _ = inp.in_slices(_acks(spark, sf), "acked_at", "stream-acks-input", bounds)
+
+    def stream(path):
+        return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    sl.start_alerts(stream(readings), folders, CFG, stream(acks), drain=True).awaitTermination()
+    return read_alerts(spark, folders.alerts).select(*_alert_columns())
+
+
+@query
+def stream_metrics(spark, sf):
+    """What the queries of the speed layer counted, batch by batch, and how many batches that were."""
+    root = new_folder(spark, "speed-layer")
+    parsed = rd.parse_payload(inp.as_payload(inp.stream_of(spark, sf, "events")))
+    sl.start_speed_layer(rd.valid_readings(parsed), root, CFG, drain=True, parsed=parsed)
+    metrics = sl.read_metrics(spark, sl.Folders.under(root))
+    wanted = ["rows_read", "rows_late", "raw_records_archived", "breaches_seen", "records_rejected"]
+    return metrics.filter(F.col("metric_name").isin(wanted)).groupBy("component", "metric_name").agg(
+        F.sum("metric_value").alias("metric_value"),
+        F.countDistinct(F.when(F.col("metric_value") > 0, F.col("batch"))).alias("batches"))
+
+
+@query
+def all_active_alerts(spark, sf):
+    """The open alerts of every kind, without a limit."""
+    return al.open_alerts(_all_alerts(spark, sf)).select(
+        "patient_id", "alert_type", "severity", "message", "vital_name", txt("triggered_at"))
+
+
+@query
+def all_alert_counts(spark, sf):
+    return al.severity_counts(_all_alerts(spark, sf)).select("severity", big("open_alerts"))
+
+
 @query
 def active_alerts(spark, sf):
     return al.active_alerts(_alerts(spark, sf), 50).select(*_alert_columns())
@@ -610,13 +720,17 @@ def stalest_age(spark, sf):
 @query
 def staleness_alerts(spark, sf):
     """A check on the 20th over the windows known then, followed by one on the 31st."""
+    return _staleness(spark, sf).select(
+        "patient_id", "alert_type", "severity", "message", txt("triggered_at"), "acknowledged")
+
+
+def _staleness(spark, sf):
     first_at = F.lit("2024-01-20 00:00:00").cast("timestamp")
     patients, windows = inp.patients(spark, sf), inp.windows(spark, sf)
     early = windows.filter(F.col("window_end") <= first_at)
     opened = st.after_check(_no_alerts(spark), st.stale_patients(patients, early, first_at, CFG), first_at, CFG)
     opened = stage(opened, "staleness")
-    return st.after_check(opened, _stale(spark, sf, as_of()), as_of(), CFG).select(
-        "patient_id", "alert_type", "severity", "message", txt("triggered_at"), "acknowledged")
+    return st.after_check(opened, _stale(spark, sf, as_of()), as_of(), CFG)
 
 
 def _no_alerts(spark):

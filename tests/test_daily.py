@@ -8,7 +8,7 @@ from bedwatch.config import DEFAULTS
 from bedwatch.operators import features as fe, panel
 from bedwatch.plans import daily
 from bedwatch.sinks import tables as tb
-from bedwatch.sources.labs import lab_file_path
+from bedwatch.sources.labs import lab_file_path, lab_lines_path
 from bedwatch.sources.readings import dedupe_readings
 
 T0 = datetime(2026, 9, 30, 12, 0, 0)
@@ -31,9 +31,8 @@ def test_periods_are_half_open_and_may_overlap(spark):
          (4, T0 + timedelta(seconds=299), T0 + timedelta(seconds=599))],
         "simulated_day int, period_start timestamp, period_end timestamp")
     df = with_date(spark.createDataFrame(rows, READING))
-    for cfg in (DEFAULTS, DEFAULTS.with_(max_pinned_rows=1)):  # pinned, and the salted join
-        got = sorted((r.simulated_day, r.event_id) for r in fe.assign_period(df, periods, cfg).collect())
-        assert got == [(1, "1"), (1, "2"), (2, "2"), (2, "3"), (2, "4"), (4, "5"), (4, "6")]
+    got = sorted((r.simulated_day, r.event_id) for r in fe.assign_period(df, periods, DEFAULTS).collect())
+    assert got == [(1, "1"), (1, "2"), (2, "2"), (2, "3"), (2, "4"), (4, "5"), (4, "6")]
 
 
 def test_no_periods_gives_no_rows(spark):
@@ -96,18 +95,74 @@ def test_run_replay_and_catch_up(spark, folder):
     assert sorted(map(tuple, spark.read.parquet(folder + "/risk_table").collect()), key=str) == first
     totals = {r.metric_name: r.metric_value for r in spark.read.parquet(folder + "/metrics").collect()}
     assert totals == {"raw_readings_processed": 20.0, "lab_records_ingested": 2.0, "risk_reports_written": 2.0,
-                      "last_simulated_day": 2.0}
+                      "last_simulated_day": 2.0, "records_rejected": 0.0, "labs_without_bounds": 0.0}
     assert daily.catch_up(spark, *args, patients, folder + "/reports") == [4, 5]
     assert daily.catch_up(spark, *args, patients, folder + "/reports") == []
     csv = spark.read.option("header", True).csv(folder + "/reports/csv").collect()
-    assert {(r.simulated_day, r.patient_id) for r in csv} == {("4", "P1"), ("5", "P1")}
-    doc = spark.read.json(folder + "/reports/json").filter("simulated_day = 5").first()
-    assert doc.total_patients == 1 and doc.patients[0].name == "A" and doc.report_date == "2026-09-30"
+    assert {(r.simulated_day, r.patient_id) for r in csv} == {(str(d), "P1") for d in range(1, 6)}
+    lines = spark.read.json(folder + "/reports/json").filter("simulated_day = 5").orderBy("position").collect()
+    assert lines[0].summary.total_patients == 1 and lines[0].summary.report_date == "2026-09-30"
+    assert len(lines) == 2 and lines[1].patient.name == "A"
+    assert spark.read.json(folder + "/reports/json").select("simulated_day").distinct().count() == 5
     row = spark.read.parquet(folder + "/risk_table").filter("simulated_day = 1 and patient_id = 'P1'").first()
     want = sum(1 for r in rows if r[1] == "P1" and T0 <= r[7] < T0 + timedelta(seconds=300))
     assert row.readings_analyzed == want == 10  # copies in the archive count once
 
 
+def test_a_day_without_usable_reports_does_not_come_up_again(spark, folder):
+    import os
+    labs, archive = folder + "/labs", folder + "/archive"
+    os.makedirs(labs)
+    with_date(spark.createDataFrame([reading("1", "P1", 0), reading("2", "P1", 700)], READING)).withColumns({
+        "timestamp": F.lit(None).cast("string"), "is_abnormal": F.lit(None).cast("boolean"),
+        "condition": F.lit(None).cast("string")}).write.partitionBy("event_date").parquet(archive)
+    make_day(spark, labs, 1, patients=(None,))
+    make_day(spark, labs, 2)
+    make_day(spark, labs, 3)
+    with open(lab_file_path(labs, 3)) as f:  # the same day as lines instead
+        reports = json.load(f)
+    os.remove(lab_file_path(labs, 3))
+    spark.createDataFrame([(json.dumps(r),) for r in reports], "value string").write.text(lab_lines_path(labs, 3))
+    patients = spark.createDataFrame([("P1", "A", "W", "B1")], "patient_id string, name string, ward string, bed_number string")
+    args = (labs, archive, folder + "/lab_table", folder + "/risk_table", patients, folder + "/reports")
+    cfg = DEFAULTS.with_(max_days_per_run=1)
+    assert [daily.catch_up(spark, *args, cfg) for _ in range(4)] == [[1], [2], [3], []]
+    rejects = spark.read.parquet(folder + "/reports/rejects").collect()
+    assert [(r.simulated_day, r.reject_reason) for r in rejects] == [(1, "missing_patient")]
+    assert sorted(r[0] for r in spark.read.parquet(folder + "/risk_table").select("simulated_day").distinct().collect()) == [2, 3]
+
+
+def test_the_job_removes_what_it_staged(spark, folder):
+    from bedwatch.session import matching_names, shared_folder, stage, temporary_stages
+
+    before = matching_names(spark, shared_folder(spark) + "/bedwatch", "kept-*")
+    with temporary_stages(spark):
+        assert stage(spark.range(3), "kept").count() == 3
+        assert len(matching_names(spark, shared_folder(spark) + "/bedwatch", "kept-*")) == len(before) + 1
+    assert matching_names(spark, shared_folder(spark) + "/bedwatch", "kept-*") == before
+
+
+def test_folded_batches_are_removed(spark, folder):
+    from bedwatch.session import numbered_folders
+
+    path, schema = folder + "/log", "k string, v int"
+    for batch in range(13):
+        tb.write_changes(spark.createDataFrame([("a", batch), (f"k{batch}", batch)], schema), path, batch, ["k"], 3)
+        assert len(numbered_folders(spark, path + "/changes", "batch_id")) <= 7
+    assert len(numbered_folders(spark, path + "/snapshot", "upto")) <= 2
+    got = {r.k: r.v for r in tb.latest_rows(spark, path, ["k"]).collect()}
+    assert got == {"a": 12, **{f"k{b}": b for b in range(13)}}
+    assert {r.k: r.v for r in tb.latest_rows(spark, path, ["k"], below=12).collect()}["a"] == 11
+
+
+def test_one_scan_per_source(spark, folder):
+    readings = with_date(spark.createDataFrame([reading("1", "P", 0), reading("1", "P", 0), reading(None, "P", 1), reading(None, "P", 1)], READING))
+    readings.write.parquet(folder + "/r")
+    df = dedupe_readings(spark.read.parquet(folder + "/r"))
+    assert df.count() == 3
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 def test_upsert_keeps_other_keys_and_days(spark, folder):
     path = folder + "/t"
     schema = "patient_id string, simulated_day int, v int"

@@ -13,7 +13,7 @@ from bedwatch.operators import episodes as ep
 from bedwatch.operators.health import component_freshness
 from bedwatch.operators.windows import window_aggregates
 from bedwatch.sources import readings as rd
-from bedwatch.streaming import alerts as sa, speed_layer as sl
+from bedwatch.streaming import alerts as sa, metrics as mt, speed_layer as sl
 from tests.test_episodes import rows_of, simulate
 
 T0 = datetime(2024, 1, 1)
@@ -74,19 +74,15 @@ def test_late_rows_leave_the_windows_but_stay_in_the_archive(spark, folder):
     split(folder + "/in", rows, 20)
     put(folder + "/in", "f900000", [late])
     folders = sl.Folders.under(folder)
-    q = sl.start_windows(stream(spark, folder + "/in"), folders, DEFAULTS, drain=True)
-    q.awaitTermination()
+    sl.start_speed_layer(stream(spark, folder + "/in"), folder, DEFAULTS, drain=True)
     assert sl.read_windows(spark, folders).agg(F.sum("reading_count")).first()[0] == 60
-    counted = {r.metric_name: r.metric_value for r in sl.progress_metrics(q).collect()}
-    assert counted["rows_late"] == 1 and counted["aggregates_written"] > 0
-    sl.flush_metrics(q, folder + "/metrics")
-    assert spark.read.parquet(folder + "/metrics").count() == 3
-    beats = sl.progress_heartbeats(q)
+    metrics = sl.read_metrics(spark, folders)
+    totals = {(r.component, r.metric_name): r.metric_value for r in mt.metric_totals(metrics).collect()}
+    assert totals["vitals_agg", "rows_late"] == 1 and totals["vitals_agg", "aggregates_written"] > 0
+    assert totals["raw_archive", "raw_records_archived"] == 61
+    beats = mt.heartbeats(metrics.filter("component = 'vitals_agg'"))
     fresh = component_freshness(beats, F.current_timestamp()).filter("component = 'speed_layer'").first()
-    assert beats.count() == 4 and not fresh.stale
-    q = sl.start_archive(stream(spark, folder + "/in"), folders, DEFAULTS, drain=True)
-    q.awaitTermination()
-    assert sl.progress_metrics(q).filter("metric_name = 'raw_records_archived'").first().metric_value == 61
+    assert beats.count() >= 4 and not fresh.stale
     archived = rd.scan_archive(spark, folders.archive)
     assert archived.count() == 61 and archived.filter("event_id = 'late'").count() == 1
 
@@ -167,6 +163,70 @@ def test_replayed_batch_changes_nothing(spark, folder):
     assert rows_of(sa.read_alerts(spark, folder + "/alerts")) == want
 
 
+def one_by_one(spark, folder, breaches, write=None):
+    """Every breach (patient, seconds, heart rate) is a micro-batch of its own."""
+    write = write or sa.alert_writer(folder + "/alerts")
+    for i, (pid, seconds, hr) in enumerate(breaches):
+        m = dict(messages(0, 1)[0], event_id=f"{i:04d}", patient_id=pid, heart_rate=hr, spo2=97.0,
+                 timestamp=(T0 + timedelta(seconds=seconds)).isoformat(timespec="milliseconds") + "Z")
+        put(folder + "/in", f"f{i:06d}", [m])
+        write(sa.alert_inputs(batch(spark, f"{folder}/in/f{i:06d}.json")), i)
+    want = rows_of(ep.alert_episodes(ep.breach_events(batch(spark, folder + "/in"))))
+    assert rows_of(sa.read_alerts(spark, folder + "/alerts")) == want
+    return want
+
+
+def test_a_lagging_patient_still_escalates(spark, folder):
+    got = one_by_one(spark, folder, [("A", 0, 125.0), ("B", 360, 125.0), ("A", 5, 125.0), ("A", 10, 125.0)])
+    assert len(got) == 2
+
+
+def test_one_reading_dated_ahead_does_not_stop_alerts(spark, folder):
+    year = 365 * 86400
+    got = one_by_one(spark, folder, [("A", 0, 125.0), ("A", 6 * year, 125.0), ("A", 5, 125.0), ("B", 7, 125.0), ("A", 10, 125.0),
+                                     ("A", 7 * year, 125.0), ("B", 12, 125.0), ("A", 15, 125.0), ("B", 20, 125.0)])
+    assert len(got) == 4
+
+
+def test_keys_interleaved_over_many_batches(spark, folder, monkeypatch):
+    """Keys far apart in time, in 20 batches; the logs are compacted on the way."""
+    from bedwatch.session import numbered_folders
+
+    monkeypatch.setattr(sa, "COMPACT_EVERY", 4)
+    rnd = random.Random(9)
+    at = {p: k * 4000 for k, p in enumerate("ABCD")}
+    rows = []
+    for _ in range(20):
+        p = rnd.choice("ABCD")
+        at[p] += rnd.choice([20, 100, 250, 900])
+        rows.append((p, at[p], rnd.choice([125.0, 155.0])))
+    one_by_one(spark, folder, rows)
+    for log in ("", "/state"):
+        assert len(numbered_folders(spark, f"{folder}/alerts{log}/changes", "batch_id")) <= 9
+
+
+def test_state_is_stored_for_touched_keys_only(spark, folder):
+    one_by_one(spark, folder, [(p, 10 * k, 125.0) for k, p in enumerate("ABCDEF")])
+    for k in range(6):
+        assert spark.read.parquet(f"{folder}/alerts/state/changes/batch_id={k}").count() == 1
+
+
+def test_metrics_of_more_than_a_hundred_batches_are_exact(spark, folder):
+    split(folder + "/in", messages(8, 105), 1)
+    folders = sl.Folders.under(folder)
+    watcher = mt.BatchMetrics(folders.metrics, compact_every=40)
+    spark.streams.addListener(watcher)
+    q = watcher.watch(sl.start_archive(stream(spark, folder + "/in"), folders, DEFAULTS, drain=True))
+    q.awaitTermination()
+    watcher.settle(q)
+    spark.streams.removeListener(watcher)
+    for _ in range(2):  # reading twice counts nothing twice
+        metrics = sl.read_metrics(spark, folders)
+        totals = {r.metric_name: r.metric_value for r in mt.metric_totals(metrics).collect()}
+        assert totals["rows_read"] == 105 and totals["raw_records_archived"] == 105
+        assert metrics.select("batch").distinct().count() == 105
+
+
 def test_all_three_queries_share_one_stream(spark, folder):
     split(folder + "/in", messages(7, 100), 50)
     queries = sl.start_speed_layer(stream(spark, folder + "/in"), folder, drain=True)
