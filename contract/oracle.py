@@ -269,7 +269,7 @@ breaches AS (
 # The upper limits are those of 120, 180 and 38.5.
 MESSAGE = """printf('%s is %s threshold: value=%.1f, threshold=%.1f', vital_name,
   CASE WHEN threshold_value IN (120e0, 180e0, 38.5e0) THEN 'above' ELSE 'below' END,
-  CAST(ROUND(CAST(vital_value AS DECIMAL(38,10)), 1) AS DOUBLE), threshold_value)"""
+  vital_value, threshold_value)"""
 
 
 def _episodes(source: str = "readings", cut: str = "0") -> str:
@@ -552,30 +552,6 @@ SELECT patient_id, name, ward, bed, {VITAL_COLUMNS}, {_t('last_reading')} AS las
 ORACLE["ward_totals"] = f"""WITH {OPEN}
 SELECT 'total_patients' AS name, count(*) AS value FROM customer
 UNION ALL SELECT 'active_alerts', count(*) FROM open_alerts"""
-ORACLE["ward_overview"] = f"""WITH {RISK}, {_windows('readings')} {LIVE_PARTS}, {_episodes()},
-status AS (
-  SELECT p.patient_id, name, heart_rate, spo2, systolic_bp, temperature, last_window_end AS last_reading
-  FROM patients p LEFT JOIN live l ON l.patient_id = p.patient_id
-),
-cards AS (
-  SELECT s.*, COALESCE(a.n, 0) AS open_alerts,
-         CASE risk_level WHEN 'CRITICAL' THEN 'critical' WHEN 'HIGH' THEN 'watch' ELSE 'normal' END AS risk_status,
-         {", ".join(STATUSES[v] for v in ("heart_rate", "spo2", "systolic_bp", "temperature"))}
-  FROM status s
-  LEFT JOIN (SELECT patient_id, count(*) AS n FROM episodes WHERE vital_name <> 'temperature' GROUP BY patient_id) a
-    ON a.patient_id = s.patient_id
-  LEFT JOIN (SELECT * EXCLUDE (spo2_trend) FROM risk WHERE simulated_day = (SELECT max(simulated_day) FROM risk)) r
-    ON r.patient_id = s.patient_id
-)
-SELECT patient_id, name, heart_rate_status, spo2_status, systolic_bp_status, temperature_status, risk_status,
-       CASE WHEN 'critical' IN (heart_rate_status, spo2_status, systolic_bp_status, temperature_status, risk_status)
-                 OR open_alerts > 0 THEN 'critical'
-            WHEN 'watch' IN (heart_rate_status, spo2_status, systolic_bp_status, temperature_status, risk_status)
-            THEN 'watch' ELSE 'normal' END AS overall_status,
-       open_alerts, open_alerts * 10 + CASE risk_status WHEN 'critical' THEN 5 WHEN 'watch' THEN 2 ELSE 0 END AS triage_score,
-       CAST(floor(epoch({AS_OF}) - epoch(last_reading)) AS BIGINT) AS age_seconds
-FROM cards"""
-
 # ---- alerts --------------------------------------------------------------
 
 ORACLE["alert_episodes"] = f"WITH {EPISODES} SELECT {ALERT_COLUMNS}, message FROM episodes"
@@ -607,23 +583,52 @@ ORACLE["open_alerts_per_patient"] = f"WITH {OPEN} SELECT patient_id, count(*) AS
 
 # ---- health --------------------------------------------------------------
 
-STALE = WINDOWS + "," + PATIENTS + f""",
+STALE_PARTS = f"""
 seen AS (SELECT p.patient_id, p.name, max(window_end) AS last_seen FROM patients p
          LEFT JOIN windows w ON w.patient_id = p.patient_id GROUP BY p.patient_id, p.name),
 stale AS (SELECT * FROM seen WHERE last_seen IS NULL OR last_seen < {AS_OF} - INTERVAL 12 HOUR)"""
+STALE = WINDOWS + "," + PATIENTS + "," + STALE_PARTS
 ORACLE["stale_patients"] = f"WITH {STALE} SELECT patient_id, name, {_t('last_seen')} AS last_seen FROM stale"
 ORACLE["stalest_age"] = f"""WITH {STALE}
 SELECT COALESCE(CAST(floor(epoch({AS_OF}) - epoch(min(last_seen))) AS BIGINT), -1) AS age_seconds FROM seen"""
 STALE_TEXT = "'No vitals data received for patient ' || patient_id || ' (' || name || ') in the last 43200 seconds.'"
-ORACLE["staleness_alerts"] = f"""WITH {STALE},
+STALENESS = f"""
 seen_early AS (SELECT p.patient_id, p.name, max(window_end) AS last_seen FROM patients p
   LEFT JOIN windows w ON w.patient_id = p.patient_id AND window_end <= TIMESTAMP '2024-01-20' GROUP BY p.patient_id, p.name),
-early AS (SELECT * FROM seen_early WHERE last_seen IS NULL OR last_seen < TIMESTAMP '2024-01-19 12:00:00')
-SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'DATA_STALENESS' AS alert_type, 'WARNING' AS severity, {STALE_TEXT} AS message,
-       '2024-01-20 00:00:00.000' AS triggered_at, patient_id NOT IN (SELECT patient_id FROM stale) AS acknowledged FROM early
-UNION ALL
-SELECT CAST(patient_id AS VARCHAR), 'DATA_STALENESS', 'WARNING', {STALE_TEXT}, '2024-01-31 00:00:00.000', FALSE
-FROM stale WHERE patient_id NOT IN (SELECT patient_id FROM early)"""
+early AS (SELECT * FROM seen_early WHERE last_seen IS NULL OR last_seen < TIMESTAMP '2024-01-19 12:00:00'),
+staleness AS (
+  SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'DATA_STALENESS' AS alert_type, 'WARNING' AS severity, {STALE_TEXT} AS message,
+         '2024-01-20 00:00:00.000' AS triggered_at, patient_id NOT IN (SELECT patient_id FROM stale) AS acknowledged FROM early
+  UNION ALL
+  SELECT CAST(patient_id AS VARCHAR), 'DATA_STALENESS', 'WARNING', {STALE_TEXT}, '2024-01-31 00:00:00.000', FALSE
+  FROM stale WHERE patient_id NOT IN (SELECT patient_id FROM early)
+)"""
+ORACLE["staleness_alerts"] = f"WITH {STALE}, {STALENESS} SELECT * FROM staleness"
+ORACLE["ward_overview"] = f"""WITH {RISK}, {_windows('readings')} {LIVE_PARTS}, {_episodes()}, {STALE_PARTS}, {STALENESS},
+status AS (
+  SELECT p.patient_id, name, heart_rate, spo2, systolic_bp, temperature, last_window_end AS last_reading
+  FROM patients p LEFT JOIN live l ON l.patient_id = p.patient_id
+),
+cards AS (
+  SELECT s.*, COALESCE(a.n, 0) AS open_alerts,
+         CASE risk_level WHEN 'CRITICAL' THEN 'critical' WHEN 'HIGH' THEN 'watch' ELSE 'normal' END AS risk_status,
+         {", ".join(STATUSES[v] for v in ("heart_rate", "spo2", "systolic_bp", "temperature"))}
+  FROM status s
+  LEFT JOIN (SELECT patient_id, count(*) AS n FROM (
+      SELECT CAST(patient_id AS VARCHAR) AS patient_id FROM episodes WHERE vital_name <> 'temperature'
+      UNION ALL SELECT patient_id FROM staleness WHERE NOT acknowledged) GROUP BY patient_id) a
+    ON a.patient_id = CAST(s.patient_id AS VARCHAR)
+  LEFT JOIN (SELECT * EXCLUDE (spo2_trend) FROM risk WHERE simulated_day = (SELECT max(simulated_day) FROM risk)) r
+    ON r.patient_id = s.patient_id
+)
+SELECT patient_id, name, heart_rate_status, spo2_status, systolic_bp_status, temperature_status, risk_status,
+       CASE WHEN 'critical' IN (heart_rate_status, spo2_status, systolic_bp_status, temperature_status, risk_status)
+                 OR open_alerts > 0 THEN 'critical'
+            WHEN 'watch' IN (heart_rate_status, spo2_status, systolic_bp_status, temperature_status, risk_status)
+            THEN 'watch' ELSE 'normal' END AS overall_status,
+       open_alerts, open_alerts * 10 + CASE risk_status WHEN 'critical' THEN 5 WHEN 'watch' THEN 2 ELSE 0 END AS triage_score,
+       CAST(floor(epoch({AS_OF}) - epoch(last_reading)) AS BIGINT) AS age_seconds
+FROM cards"""
 ORACLE["risk_level_distribution"] = f"""WITH {RISK},
 latest AS (SELECT * FROM risk WHERE simulated_day = (SELECT max(simulated_day) FROM risk))
 SELECT l.risk_level, count(r.patient_id) AS patients,
@@ -672,12 +677,21 @@ SELECT *, value > "limit" AS firing FROM (
   SELECT 'patient_data_age' AS "check", CAST(floor(epoch({AS_OF}) - epoch(min(last_seen))) AS DOUBLE) AS value, 90e0 AS "limit" FROM seen
   UNION ALL
   SELECT 'open_critical_alerts', CAST(count(*) AS DOUBLE), 0e0 FROM episodes WHERE vital_name <> 'temperature' AND severity = 'CRITICAL')"""
+SYSTEM_ALERT = """SELECT 'SYSTEM' AS patient_id, 'HIGH_ERROR_RATE' AS alert_type, 'CRITICAL' AS severity,
+       printf('Vitals ingestion error rate is %.1f%% (%d/%d), exceeding threshold of %.0f%%.', 100e0 * e / n, e, n, 5e0) AS message
+FROM (SELECT count(*) FILTER (WHERE event_type = 'error') AS e, count(*) AS n FROM events) WHERE e / n > 0.05"""
 ORACLE["health_alerts"] = f"""WITH {STALE}
 SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'DATA_STALENESS' AS alert_type, 'WARNING' AS severity, {STALE_TEXT} AS message FROM stale
-UNION ALL
-SELECT 'SYSTEM', 'HIGH_ERROR_RATE', 'CRITICAL', printf('Vitals ingestion error rate is %.1f%% (%d/%d), exceeding threshold of %.0f%%.',
-       100e0 * e / n, e, n, 5e0)
-FROM (SELECT count(*) FILTER (WHERE event_type = 'error') AS e, count(*) AS n FROM events) WHERE e / n > 0.05"""
+UNION ALL {SYSTEM_ALERT}"""
+ALL_OPEN = f"""WITH {STALE}, {STALENESS}, {_episodes()},
+all_open AS (
+  SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'VITAL_THRESHOLD' AS alert_type, severity, message, vital_name,
+         {_t('triggered_at')} AS triggered_at FROM episodes WHERE vital_name <> 'temperature'
+  UNION ALL SELECT patient_id, alert_type, severity, message, NULL, triggered_at FROM staleness WHERE NOT acknowledged
+  UNION ALL SELECT *, NULL, '2024-01-31 00:00:00.000' FROM ({SYSTEM_ALERT})
+)"""
+ORACLE["all_active_alerts"] = f"{ALL_OPEN} SELECT * FROM all_open"
+ORACLE["all_alert_counts"] = f"{ALL_OPEN} SELECT severity, count(*) AS open_alerts FROM all_open GROUP BY severity"
 ORACLE["health_summary"] = f"""WITH {STALE}
 SELECT *, CASE WHEN value > "limit" THEN 'degraded' ELSE 'healthy' END AS status FROM (
   SELECT 'stale_patients' AS "check", CAST(count(*) AS DOUBLE) AS value, 0e0 AS "limit" FROM stale

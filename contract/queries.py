@@ -431,8 +431,9 @@ def report_summary(spark, sf):
 
 def _document_lines(lines):
     return lines.select(
-        big("simulated_day"), big("position"), big("patient.patient_id"), "patient.combined_risk", "patient.risk_level",
-        big("summary.total_patients"), big("summary.critical_count"))
+        big("simulated_day"), big("position"), F.col("patient.patient_id").alias("patient_id"), "patient.combined_risk",
+        "patient.risk_level", F.col("summary.total_patients").alias("total_patients"),
+        F.col("summary.critical_count").alias("critical_count"))
 
 
 @query
@@ -461,7 +462,7 @@ def report_csv(spark, sf):
               "combined_risk double, risk_change double, vitals_risk double, lab_risk double, abnormal_vitals long, "
               "abnormal_labs long, readings_analyzed long, heart_rate_trend double, spo2_trend double, "
               "risk_factors string")
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).csv(path).drop("day")
 
 
 @query
