@@ -2,8 +2,8 @@
 
 The pieces and scores of a SentencePiece BPE model are applied by agenda: neighbouring symbols that form a piece are
 candidates, the best scored one (leftmost of equals) is taken first. With dropout every candidate taken from the
-agenda is skipped with a fixed probability, decided by a keyed hash of seed, word, variant and position, never by
-a random generator: the same seed gives the same ids on any machine and in any order.
+agenda is skipped with a fixed probability (in steps of 1/256), decided by a keyed hash of seed, word, variant and
+place, never by a random generator: the same seed gives the same ids on any machine and in any order.
 
 Lossless by construction: no normalisation, a space is the marker, and what the vocabulary lacks (a marker that
 stands in the text itself included) is written as UTF-8 bytes, for which the model has 256 pieces.
@@ -47,56 +47,82 @@ class Encoder:
                 self.byte_ids[int(p[3:5], 16)] = i
         self.raw = [bytes([int(p[3:5], 16)]) if self.bytes_of[i] else
                     p.replace(MARK, " ").encode("utf-8") if plain[i] else b"" for i, p in enumerate(pieces)]
-        self.limit = int(dropout * (1 << 24))
+        self.limit = round(dropout * 256)  # of the 256 values of a byte of the hash
         self.seed, self.variants, self.remembered = seed, max(1, variants if dropout else 1), remembered
         self.known: dict[tuple[str, int], list[int]] = {}
 
     def word(self, word: str, variant: int) -> list[int]:
-        """Ids of one chunk. The candidate over characters start..end, split at mid, is skipped by its hash."""
-        symbols = [MARK if c == " " else c for c in word]
-        n, scores, limit = len(symbols), self.scores, self.limit
-        literal = MARK in word  # such a character is no marker: it may not take part in a merge
-        if literal:
-            symbols = [c if s == " " or s != MARK else "" for c, s in zip(symbols, word)]
+        """Ids of one chunk. Every candidate taken from the agenda is skipped if its keyed hash says so."""
+        if MARK in word:  # such a character is no marker: it may not take part in a merge
+            symbols = ["" if c == MARK else MARK if c == " " else c for c in word]
+        else:
+            symbols = list(word.replace(" ", MARK))
+        bits = None
+        if self.limit:
+            raw, key = word.encode("utf-8", "surrogatepass"), 2 * (self.seed * self.variants + variant)
+            bits = xxhash.xxh3_128_digest(raw, key) + xxhash.xxh3_128_digest(raw, key + 1)
+        symbols = (self._short if len(symbols) <= 64 else self._long)(symbols, bits)
+        out, ids, at = [], self.ids, 0
+        for symbol in symbols:
+            found = ids.get(symbol) if symbol else None
+            if found is None:  # a single character
+                out += [self.byte_ids[b] for b in word[at].encode("utf-8", "surrogatepass")]
+                at += 1
+            else:
+                out.append(found)
+                at += len(symbol)
+        return out
+
+    def _short(self, symbols: list[str], bits: bytes | None) -> list[str]:
+        """The agenda as a list with a score per neighbouring pair, its least the next candidate."""
+        score, limit, none = self.scores.get, self.limit, float("inf")
+        agenda = [score(a + b, none) if a and b else none for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            if bits and bits[7 * i + 13 * len(symbols) & 31] < limit:
+                agenda[i] = none
+                continue
+            merged = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            agenda.pop(i)
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + merged, none) if symbols[i - 1] else none
+            if i < len(agenda):
+                agenda[i] = score(merged + symbols[i + 1], none) if symbols[i + 1] else none
+        return symbols
+
+    def _long(self, symbols: list[str], bits: bytes | None) -> list[str]:
+        """The same with a heap, for chunks in which looking through all pairs would not do."""
+        n, score, limit = len(symbols), self.scores.get, self.limit
         stop = list(range(1, n + 1))  # end of the symbol that starts here; 0 once merged into its left neighbour
-        before = list(range(-1, n - 1))
-        key = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant) if limit else 0
+        before, left_over = list(range(-1, n - 1)), n
         agenda = []
+
+        def offer(start: int, mid: int, end: int) -> None:
+            if symbols[start] and symbols[mid]:
+                found = score(symbols[start] + symbols[mid])
+                if found is not None:
+                    heapq.heappush(agenda, (found, start, mid, end))
+
         for i in range(n - 1):
-            score = scores.get(symbols[i] + symbols[i + 1]) if symbols[i] and symbols[i + 1] else None
-            if score is not None:
-                agenda.append((score, i, i + 1, i + 2))
-        heapq.heapify(agenda)
+            offer(i, i + 1, i + 2)
         while agenda:
             _, start, mid, end = heapq.heappop(agenda)
-            if stop[start] != mid or mid >= n or stop[mid] != end:
+            if stop[start] != mid or stop[mid] != end:
+                continue
+            if bits and bits[7 * start + 13 * left_over + 29 * end & 31] < limit:
                 continue
-            if limit:
-                h = (key ^ (start * 0x9E3779B97F4A7C15 + mid * 0xC2B2AE3D27D4EB4F + end * 0x165667B19E3779F9)) & _MASK
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _MASK
-                if h >> 40 < limit:
-                    continue
             symbols[start] += symbols[mid]
-            stop[start], stop[mid] = end, 0
-            left = before[start]
+            symbols[mid], stop[start], stop[mid] = "", end, 0
+            left_over -= 1
             if end < n:
                 before[end] = start
-                score = scores.get(symbols[start] + symbols[end]) if symbols[end] else None
-                if score is not None:
-                    heapq.heappush(agenda, (score, start, end, stop[end]))
-            if left >= 0 and symbols[left]:
-                score = scores.get(symbols[left] + symbols[start])
-                if score is not None:
-                    heapq.heappush(agenda, (score, left, start, end))
-        out, i, ids = [], 0, self.ids
-        while i < n:
-            found = ids.get(symbols[i]) if symbols[i] else None
-            if found is None:
-                out += [self.byte_ids[b] for b in word[i].encode("utf-8", "surrogatepass")]
-            else:
-                out.append(found)
-            i = stop[i]
-        return out
+                offer(start, end, stop[end])
+            if before[start] >= 0:
+                offer(before[start], start, end)
+        return [symbols[i] for i in range(n) if stop[i]]
 
     def encode(self, text: str, key: int = 0) -> list[int]:
         """Ids of a whole text. ``key`` (a document's hash) and a word's place choose among its variants."""
