@@ -1,18 +1,22 @@
 """Every registered query against its SQL, and against the plan shapes we rely on."""
 
 import os
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from contract.oracle import ORACLE
+from contract.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
 def no_cross_join_and_no_python(df):
@@ -21,7 +25,7 @@ def no_cross_join_and_no_python(df):
         assert bad not in plan, plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_matches_sql(spark, name):
     ok, note = check.compare(spark, SF, name, no_cross_join_and_no_python)
     assert ok, note
@@ -59,3 +63,20 @@ def test_report_days_prune_partitions(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/risk")
     plan = daily_report(stored, inp.patients(spark, SF), [4])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "simulated_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_one_scan_per_source(spark):
+    assert plan_of(spark, "daily_features").count("FileScan parquet") == 1
+    assert plan_of(spark, "daily_risk").count("FileScan parquet") == 3
+
+
+def test_scored_days_add_no_shuffle_on_the_day(spark):
+    from bedwatch.plans.daily import score_days
+    from contract import inputs as inp
+    from contract.inputs import CFG
+
+    readings = inp.readings(spark, SF)
+    periods = readings.groupBy(F.lit(1).alias("simulated_day")).agg(
+        F.max("event_time").alias("period_end"), F.min("event_time").alias("period_start"))
+    plan = score_days(readings, inp.labs(spark, SF), periods, CFG)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(simulated_day#\d+, \d+\)", plan)
