@@ -100,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, longest: int
 
     These bound what reaches the driver; which rows they are is fixed by a hash of the id. Held out rows, null labels
     and ids whose labels disagree are not used. Half of the texts make the dictionaries, the other half the
-    calibration. Without labels of both classes every text gets 1.0, or 0.0 if all labels are 0.
+    calibration, whose odds are set to those of all usable labels. Without labels of both classes every text gets 1.0, or 0.0 if all labels are 0.
     """
     known = labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__y"))
     known = known.filter("__id IS NOT NULL AND __y IN (0, 1)").filter(~held_out(F.col("__id")))
@@ -122,7 +122,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, longest: int
     rest = {y: t[1::2] or t for y, t in texts.items()}
     x = model.features([*rest[1], *rest[0]])
     y = np.array([1.0] * len(rest[1]) + [0.0] * len(rest[0]))
-    return QualityModel(made[1], made[0], tuple(logistic(x, y)))
+    weights = logistic(x, y)
+    # the sample holds the classes about evenly; the odds are those of all labels
+    total = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
+    weights[0] += np.log(total[1] / total[0]) - np.log(len(rest[1]) / len(rest[0]))
+    return QualityModel(made[1], made[0], tuple(map(float, weights)))
 
 
 def score(model: QualityModel, text: Column) -> Column:
