@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from bedwatch.llm.common import components, per_text, stage, whole_text
 
 BITS = 64
+DENSE_ROWS = BITS + 1  # rows a fingerprint of a full bucket writes
 
 
 def fingerprint_of(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -75,21 +76,21 @@ def correlated_parts(bits: np.ndarray, m: int) -> list[list[int]]:
 def thresholds(bits: np.ndarray, parts: list[list[int]], tau: int, n: int) -> tuple[list[int], float]:
     """Thresholds per part with the least estimated work for ``n`` fingerprints, and that work.
 
-    The work of threshold t in a part is the rows it writes (its probes) and the candidate pairs it meets,
-    estimated from the distances in the sample; dynamic programming over the parts allocates the total.
+    The work of threshold t in a part is the rows it writes (index and probes) and the candidates it meets. Candidates
+    are estimated per fingerprint of a sample, from its distances to the others, and count at most what the way for
+    full buckets costs instead; dynamic programming over the parts allocates the total.
     """
-    m, pairs = len(parts), n * (n - 1) / 2
-    half = len(bits) // 2
+    m, half = len(parts), len(bits) // 2
     cost = []
     for part in parts:
-        probes, one = {-1: 0.0}, bits[:, part].astype(np.int32)
-        a, b = one[:half], one[half:2 * half]
-        apart = (a[:, None, :] != b[None, :, :]).sum(2) if half else np.zeros((0, 0))
+        one = bits[:, part].astype(np.int32)
+        apart = (one[:half, None, :] != one[None, half:2 * half, :]).sum(2)
+        spent = {-1: 0.0}
         for t in range(tau + 1):
             ways = sum(_choose(len(part), k) for k in range(t + 1))
-            chance = ((apart <= t).mean() if apart.size else 0.0) + 2.0 ** -len(part) * ways
-            probes[t] = n * (1 + ways) + pairs * chance
-        cost.append(probes)
+            met = (apart <= t).sum(1) * (n / max(1, half)) + n * ways * 2.0 ** -len(part)
+            spent[t] = n * ways + n * (float(np.minimum(met, DENSE_ROWS).mean()) if half else 0.0)
+        cost.append(spent)
     goal = tau - m + 1
     best = {0: (0.0, [])}
     for k in range(m):
