@@ -11,6 +11,7 @@ file part and block) and ``ranks`` (the ids by rank).
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,13 +71,27 @@ class WordIds:
     """Ids of whole texts, encoding each distinct word once.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words in a row; words
-    are split at ASCII white space only, which every such tokenizer treats as white space.
+    are split at ASCII white space only, which every such tokenizer treats as white space. It also lower-cases, and
+    parts letters and digits from the punctuation behind them, so a word is looked up in small letters and without
+    its last marks before it is encoded. A word of Latin letters only is one unit that no normaliser changes but for its
+    case: it goes to the tokenizer's model at once, if samples show that this gives the ids of the whole tokenizer.
     """
 
+    MARKS = b".,;:!?"
+    SAMPLES = ("a", "licence", "internationalisation", "étaient", "straße", "añosćž")
+
     def __init__(self, file: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.remembered = Tokenizer.from_file(file), {}, remembered
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.model, plain = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: plain.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x250)}
+        self.direct = all(self._unit(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in self.SAMPLES)
+
+    def _unit(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.bytes_of))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -84,14 +99,37 @@ class WordIds:
         known = self.known
         if len(known) > self.remembered:
             known.clear()  # bounded memory; forgetting costs time, never results
-        new = list(set().union(*split).difference(known))
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(
-                    [w.decode("utf-8") for w in some], add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
+        new, made_of = set().union(*split).difference(known), {}
+        learn = set()
+        for word in new:
+            small = word if b"<|" in word else word.lower()  # a special token is told by its case
+            core = small.rstrip(self.MARKS)
+            if len(core) < len(small) and core[-1:].isalnum() and b"<|" not in word:
+                made_of[word] = pair = core, small[len(core):]
+                learn.update(pair)
+            else:
+                learn.add(small)
+                if small != word:
+                    made_of[word] = small, b""
+        self._learn(learn.difference(known))
+        known[b""] = b""
+        for word, (core, marks) in made_of.items():
+            known[word] = known[core] + known[marks]
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
+    def _learn(self, words: set[bytes]) -> None:
+        others = []
+        for word in words:
+            text = word.decode("utf-8")
+            if self.direct and text.isalpha() and max(text) < "\u0250" and (small := text.lower()).isalpha():
+                self.known[word] = array("I", self._unit(small)).tobytes()
+            else:
+                others.append(text)
+        for at in range(0, len(others), 2048):
+            some = others[at:at + 2048]
+            for text, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[text.encode("utf-8")] = np.array(found.ids, "<u4").tobytes()
+
 
 def encoded_blocks(docs: DataFrame, file: str, end_id: int, block_ids: int, id_col: str, text_col: str) -> DataFrame:
     """Runs of documents in ascending order of id (then text): part, block, doc_ids, lengths and ids as bytes."""
