@@ -2,8 +2,10 @@
 
 The pieces and scores of a SentencePiece BPE model are applied by agenda: neighbouring symbols that form a piece are
 candidates, the best scored one (leftmost of equals) is taken first. With dropout every candidate taken from the
-agenda is skipped with a fixed probability (in steps of 1/256), decided by a keyed hash of seed, word, variant and
-place, never by a random generator: the same seed gives the same ids on any machine and in any order.
+agenda is skipped with a fixed probability, every occurrence of a word for itself: a keyed hash of seed, document and
+place gives how many candidates are taken before the next one is skipped (geometric gaps, by integer arithmetic), never
+a random generator: the same seed gives the same ids on any machine and in any order. What a word gives without a
+skip, and with one or two at given candidates, is remembered; which of these an occurrence gets is always drawn.
 
 Lossless by construction: no normalisation, a space is the marker, and what the vocabulary lacks (a marker that
 stands in the text itself included) is written as UTF-8 bytes, for which the model has 256 pieces.
@@ -25,13 +27,27 @@ from bedwatch.llm.common import per_text
 MARK = "▁"
 #: leading spaces with the word behind them, no piece reaches over the start of a word
 CHUNK = re.compile(r" *[^ ]+| +")
-_MASK = (1 << 64) - 1
+#: longest gap told apart; a chunk of SHORT symbols never takes so many candidates (63 merges, 2 new ones each, 63 first)
+GAPS, SHORT = 192, 64
+BLOCK = 4096  # places whose draws are made at once
+_NEVER = "\ud800"  # in no piece
+_MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The finaliser of splitmix64."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
 
 class Encoder:
-    """Encode and decode with one model. ``dropout`` 0 gives the model's own segmentation."""
+    """Encode and decode with one model. ``dropout`` 0 gives the model's own segmentation.
+
+    ``variants`` 0: every occurrence is drawn for itself; above, a word has so many segmentations at most.
+    """
 
-    def __init__(self, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 4,
+    def __init__(self, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 0,
                  remembered: int = 300_000):
         import sentencepiece
 
@@ -48,50 +64,99 @@ class Encoder:
         self.raw = [bytes([int(p[3:5], 16)]) if self.bytes_of[i] else
                     p.replace(MARK, " ").encode("utf-8") if plain[i] else b"" for i, p in enumerate(pieces)]
         self.limit = round(dropout * 256)  # of the 256 values of a byte of the hash
-        self.seed, self.variants, self.remembered = seed, max(1, variants if dropout else 1), remembered
-        self.known: dict[tuple[str, int], list[int]] = {}
-
-    def word(self, word: str, variant: int) -> list[int]:
-        """Ids of one chunk. Every candidate taken from the agenda is skipped if its keyed hash says so."""
+        self.skip = round(dropout * (1 << 32))  # of 2 ** 32
+        reached, left = [], 1 << 53
+        for _ in range(GAPS if self.skip else 0):
+            left = left * ((1 << 32) - self.skip) >> 32
+            reached.append(left)
+        self.reached = np.array(reached[::-1], np.uint64)  # of 2 ** 53, how often a gap is j or longer; from j = GAPS
+        self.seed, self.variants, self.remembered = seed, variants if self.skip else 0, remembered
+        self.known: dict = {}  # word, (word, skip) or (word, skip, skip): (candidates taken, ids)
+
+    def gaps(self, key: int, places, numbers) -> np.ndarray:
+        """How many candidates are taken before the next skip, by place and number of the skip; GAPS: so many or more."""
+        step = np.uint64(_STEP)
+        at = _mixed(np.asarray(places, np.uint64) * step + np.uint64(key & _MASK))
+        at = _mixed(np.asarray(numbers, np.uint64) * step + at)
+        return GAPS - np.searchsorted(self.reached, at >> np.uint64(11), "right")
+
+    def skips(self, key: int, place: int):
+        """Which candidates one occurrence skips, counted as they are taken from the agenda; without end."""
+        at, number = -1, 0
+        while self.skip:
+            for gap in self.gaps(key, [place & _MASK], np.arange(number, number + 16)).tolist():
+                at += gap
+                if gap < GAPS:
+                    at += 1
+                    yield at
+            number += 16
+
+    def segment(self, word: str, skips, bits: bytes | None = None) -> tuple[int, list[int]]:
+        """Number of candidates taken from the agenda, and ids of one chunk; ``skips`` are those to skip."""
         if MARK in word:  # such a character is no marker: it may not take part in a merge
-            symbols = ["" if c == MARK else MARK if c == " " else c for c in word]
+            symbols = [_NEVER if c == MARK else MARK if c == " " else c for c in word]
         else:
             symbols = list(word.replace(" ", MARK))
-        bits = None
-        if self.limit:
-            raw, key = word.encode("utf-8", "surrogatepass"), 2 * (self.seed * self.variants + variant)
-            bits = xxhash.xxh3_128_digest(raw, key) + xxhash.xxh3_128_digest(raw, key + 1)
-        symbols = (self._short if len(symbols) <= 64 else self._long)(symbols, bits)
+        taken, symbols = self._short(symbols, iter(skips)) if len(symbols) <= SHORT else (0, self._long(symbols, bits))
         out, ids, at = [], self.ids, 0
         for symbol in symbols:
-            found = ids.get(symbol) if symbol else None
+            found = ids.get(symbol)
             if found is None:  # a single character
                 out += [self.byte_ids[b] for b in word[at].encode("utf-8", "surrogatepass")]
                 at += 1
             else:
                 out.append(found)
                 at += len(symbol)
-        return out
+        return taken, out
 
-    def _short(self, symbols: list[str], bits: bytes | None) -> list[str]:
+    def word(self, word: str, variant: int) -> list[int]:
+        """Ids of one chunk by draws of its own for every ``variant``."""
+        raw, bits = word.encode("utf-8", "surrogatepass"), None
+        if self.limit and len(word) > SHORT:
+            key = 2 * (self.seed + variant) & _MASK
+            bits = xxhash.xxh3_128_digest(raw, key) + xxhash.xxh3_128_digest(raw, key + 1)
+        return self.segment(word, self.skips(xxhash.xxh3_64_intdigest(raw, self.seed & _MASK), variant), bits)[1]
+
+    def _occurrence(self, word: str, first: int, second: int, third: int, key: int, place: int) -> list[int]:
+        """Ids of one occurrence by its gaps: remembered ones, or those of one run of the agenda."""
+        get, second = self.known.get, first + 1 + second
+        third += second + 1
+        found = get(word)
+        if found and first < found[0]:
+            found = get((word, first))
+            if found and second < found[0]:
+                found = get((word, first, second))
+                if found and third < found[0]:
+                    found = None
+        if found is None:
+            found = taken, ids = self.segment(word, (first, second, third))
+            if third < taken:  # there may be more skips than three
+                return self.segment(word, self.skips(key, place))[1]
+            if len(self.known) >= self.remembered:
+                self.known.clear()  # bounded memory; forgetting costs time, never results
+            self.known[word if first >= taken else (word, first) if second >= taken else (word, first, second)] = found
+        return found[1]
+
+    def _short(self, symbols: list[str], skips) -> tuple[int, list[str]]:
         """The agenda as a list with a score per neighbouring pair, its least the next candidate."""
-        score, limit, none = self.scores.get, self.limit, float("inf")
-        agenda = [score(a + b, none) if a and b else none for a, b in zip(symbols, symbols[1:])]
+        score, none, taken, skip = self.scores.get, float("inf"), 0, next(skips, -1)
+        agenda = [score(a + b, none) for a, b in zip(symbols, symbols[1:])]
         while agenda:
             best = min(agenda)
             if best == none:
                 break
             i = agenda.index(best)
-            if bits and bits[7 * i + 13 * len(symbols) & 31] < limit:
-                agenda[i] = none
+            taken += 1
+            if taken > skip >= 0:
+                agenda[i], skip = none, next(skips, -1)
                 continue
             merged = symbols[i] = symbols[i] + symbols.pop(i + 1)
             agenda.pop(i)
             if i:
-                agenda[i - 1] = score(symbols[i - 1] + merged, none) if symbols[i - 1] else none
+                agenda[i - 1] = score(symbols[i - 1] + merged, none)
             if i < len(agenda):
-                agenda[i] = score(merged + symbols[i + 1], none) if symbols[i + 1] else none
-        return symbols
+                agenda[i] = score(merged + symbols[i + 1], none)
+        return taken, symbols
 
     def _long(self, symbols: list[str], bits: bytes | None) -> list[str]:
         """The same with a heap, for chunks in which looking through all pairs would not do."""
@@ -125,31 +190,37 @@ class Encoder:
         return [symbols[i] for i in range(n) if stop[i]]
 
     def encode(self, text: str, key: int = 0) -> list[int]:
-        """Ids of a whole text. ``key`` (a document's hash) and a word's place choose among its variants."""
-        out, known, n = [], self.known, self.variants
-        for k, word in enumerate(CHUNK.findall(text)):
-            at = (word, (key + k * 0x9E3779B1 >> 7) % n if n > 1 else 0)
-            found = known.get(at)
-            if found is None:
-                found = self.word(*at)
-                if len(word) <= 64:
-                    if len(known) >= self.remembered:
-                        known.clear()  # bounded memory; forgetting costs time, never results
-                    known[at] = found
-            out += found
+        """Ids of a whole text. ``key`` (a document's hash), the text and a word's place decide what is skipped."""
+        out, known, words, n = [], self.known, CHUNK.findall(text), self.variants
+        key = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), key + self.seed * _STEP & _MASK)
+        for start in range(0, len(words), BLOCK):
+            some = words[start:start + BLOCK]
+            if not self.skip or n:
+                draws = [[GAPS] * len(some)] * 3
+            else:
+                draws = self.gaps(key, np.arange(start, start + len(some)), np.arange(3)[:, None]).tolist()
+            for place, (word, first, second, third) in enumerate(zip(some, *draws), start):
+                if n or len(word) > SHORT:
+                    out += self.word(word, (key + place) % n if n else key + place)
+                    continue
+                found = known.get(word)
+                if found and first >= found[0]:
+                    out += found[1]
+                else:
+                    out += self._occurrence(word, first, second, third, key, place)
         return out
 
     def decode(self, ids) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")
 
 
-def encode_documents(docs: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 4,
+def encode_documents(docs: DataFrame, model_file: str, dropout: float = 0.1, seed: int = 0, variants: int = 0,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, n_tokens, n_chars, text_crc32, lossless), one row per row of ``docs``.
 
     ``ids`` is decoded again in the same task; text_crc32 is the unsigned checksum of the decoded UTF-8 and lossless
     says that it equals the text. A null text counts as empty: no ids. Repeated rows get equal ids (the hash is
-    keyed by doc_id, a null one as 0). ``model_file`` has to be readable by executors.
+    keyed by doc_id, a null one as the empty id, and the text). ``model_file`` has to be readable by executors.
     """
     def make():
         encoder = Encoder(model_file, dropout, seed, variants)

@@ -277,6 +277,30 @@ def test_dropout_varies_and_decodes_losslessly(documents):
     assert len({tuple(encoder.word(word, v)) for v in range(16)}) > 3
 
 
+def test_every_occurrence_is_drawn_for_itself():
+    encoder, rng = Encoder(MODEL, dropout=0.1), np.random.default_rng(2)
+    for word in (" the", " of", " international"):
+        own = encoder.segment(word, ())[1]
+        found = [encoder.encode(word, key) for key in range(4000)]
+        want = [encoder.segment(word, np.nonzero(rng.random(99) < 0.1)[0].tolist())[1] for _ in range(4000)]
+        assert own in found and found.count(own) < 4000
+        assert abs(found.count(own) - want.count(own)) < 0.03 * 4000
+        for text in (encoder.encode(word * 4000, 1), sum(found, [])):
+            assert abs(len(text) - len(sum(want, []))) < 0.1 * 4000
+    assert len({*map(tuple, found)}) > 20
+
+
+def test_what_is_remembered_never_decides_the_draw():
+    text = "".join(f" word{i % 7} international the" for i in range(300))
+    forgetful, other = Encoder(MODEL, dropout=0.3, remembered=1), Encoder(MODEL, dropout=0.3)
+    other.encode(text, 4)
+    assert forgetful.encode(text, 5) == other.encode(text, 5)
+    word = " internationalization"
+    for place in range(500):
+        draws = other.gaps(9, [place], np.arange(3)).tolist()
+        assert other._occurrence(word, *draws, 9, place) == other.segment(word, other.skips(9, place))[1]
+
+
 def test_encoding_odd_rows(odd_docs, no_docs):
     rows = encode_documents(odd_docs, MODEL).collect()
     assert len(rows) == 9 and all(r["lossless"] for r in rows)
