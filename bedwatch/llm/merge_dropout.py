@@ -63,7 +63,6 @@ class Encoder:
                 self.byte_ids[int(p[3:5], 16)] = i
         self.raw = [bytes([int(p[3:5], 16)]) if self.bytes_of[i] else
                     p.replace(MARK, " ").encode("utf-8") if plain[i] else b"" for i, p in enumerate(pieces)]
-        self.limit = round(dropout * 256)  # of the 256 values of a byte of the hash
         self.skip = round(dropout * (1 << 32))  # of 2 ** 32
         reached, left = [], 1 << 53
         for _ in range(GAPS if self.skip else 0):
@@ -91,13 +90,13 @@ class Encoder:
                     yield at
             number += 16
 
-    def segment(self, word: str, skips, bits: bytes | None = None) -> tuple[int, list[int]]:
+    def segment(self, word: str, skips) -> tuple[int, list[int]]:
         """Number of candidates taken from the agenda, and ids of one chunk; ``skips`` are those to skip."""
         if MARK in word:  # such a character is no marker: it may not take part in a merge
             symbols = [_NEVER if c == MARK else MARK if c == " " else c for c in word]
         else:
             symbols = list(word.replace(" ", MARK))
-        taken, symbols = self._short(symbols, iter(skips)) if len(symbols) <= SHORT else (0, self._long(symbols, bits))
+        taken, symbols = (self._short if len(symbols) <= SHORT else self._long)(symbols, iter(skips))
         out, ids, at = [], self.ids, 0
         for symbol in symbols:
             found = ids.get(symbol)
@@ -111,11 +110,8 @@ class Encoder:
 
     def word(self, word: str, variant: int) -> list[int]:
         """Ids of one chunk by draws of its own for every ``variant``."""
-        raw, bits = word.encode("utf-8", "surrogatepass"), None
-        if self.limit and len(word) > SHORT:
-            key = 2 * (self.seed + variant) & _MASK
-            bits = xxhash.xxh3_128_digest(raw, key) + xxhash.xxh3_128_digest(raw, key + 1)
-        return self.segment(word, self.skips(xxhash.xxh3_64_intdigest(raw, self.seed & _MASK), variant), bits)[1]
+        key = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed & _MASK)
+        return self.segment(word, self.skips(key, variant))[1]
 
     def _occurrence(self, word: str, first: int, second: int, third: int, key: int, place: int) -> list[int]:
         """Ids of one occurrence by its gaps: remembered ones, or those of one run of the agenda."""
@@ -158,18 +154,17 @@ class Encoder:
                 agenda[i] = score(merged + symbols[i + 1], none)
         return taken, symbols
 
-    def _long(self, symbols: list[str], bits: bytes | None) -> list[str]:
+    def _long(self, symbols: list[str], skips) -> tuple[int, list[str]]:
         """The same with a heap, for chunks in which looking through all pairs would not do."""
-        n, score, limit = len(symbols), self.scores.get, self.limit
+        n, score, taken, skip = len(symbols), self.scores.get, 0, next(skips, -1)
         stop = list(range(1, n + 1))  # end of the symbol that starts here; 0 once merged into its left neighbour
-        before, left_over = list(range(-1, n - 1)), n
+        before = list(range(-1, n - 1))
         agenda = []
 
         def offer(start: int, mid: int, end: int) -> None:
-            if symbols[start] and symbols[mid]:
-                found = score(symbols[start] + symbols[mid])
-                if found is not None:
-                    heapq.heappush(agenda, (found, start, mid, end))
+            found = score(symbols[start] + symbols[mid])
+            if found is not None:
+                heapq.heappush(agenda, (found, start, mid, end))
 
         for i in range(n - 1):
             offer(i, i + 1, i + 2)
@@ -177,17 +172,18 @@ class Encoder:
             _, start, mid, end = heapq.heappop(agenda)
             if stop[start] != mid or stop[mid] != end:
                 continue
-            if bits and bits[7 * start + 13 * left_over + 29 * end & 31] < limit:
+            taken += 1
+            if taken > skip >= 0:
+                skip = next(skips, -1)
                 continue
             symbols[start] += symbols[mid]
             symbols[mid], stop[start], stop[mid] = "", end, 0
-            left_over -= 1
             if end < n:
                 before[end] = start
                 offer(start, end, stop[end])
             if before[start] >= 0:
                 offer(before[start], start, end)
-        return [symbols[i] for i in range(n) if stop[i]]
+        return taken, [symbols[i] for i in range(n) if stop[i]]
 
     def encode(self, text: str, key: int = 0) -> list[int]:
         """Ids of a whole text. ``key`` (a document's hash), the text and a word's place decide what is skipped."""

@@ -301,6 +301,25 @@ def test_what_is_remembered_never_decides_the_draw():
         assert other._occurrence(word, *draws, 9, place) == other.segment(word, other.skips(9, place))[1]
 
 
+def test_long_chunks_skip_at_the_given_rate():
+    encoder = Encoder(MODEL, dropout=0.1)
+    text, rates = "internationalhousekeepingofunderstatements" * 40, []
+    for key in range(40):
+        seen = []
+        skips = encoder.skips(key, 0)
+        taken, ids = encoder.segment(text, (seen.append(at) or at for at in skips))
+        assert encoder.decode(ids) == text
+        rates.append(sum(at < taken for at in seen) / taken)
+        assert len({tuple(encoder.word(text, v)) for v in (key, key + 1)}) == 2
+    assert taken > 1000 and abs(np.mean(rates) - 0.1) < 0.005 and np.std(rates) < 0.015
+    lengths = [len(encoder.word(text, v)) for v in range(40)]
+    assert np.std(lengths) < 0.03 * np.mean(lengths)  # by 32 values per chunk it was 0.092
+    some = ("▁ab éinternational house" * 2)[:60]  # the heap and the list are one method
+    for key in range(50):
+        short, long = list(some.replace(" ", "▁")), list(some.replace(" ", "▁"))
+        assert encoder._short(short, encoder.skips(key, 1)) == encoder._long(long, encoder.skips(key, 1))
+
+
 def test_encoding_odd_rows(odd_docs, no_docs):
     rows = encode_documents(odd_docs, MODEL).collect()
     assert len(rows) == 9 and all(r["lossless"] for r in rows)
