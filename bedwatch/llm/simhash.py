@@ -198,12 +198,18 @@ def near_duplicates(docs: DataFrame, tau: int = 2, id_col: str = "doc_id", text_
 
 
 def keep_first(docs: DataFrame, tau: int = 2) -> DataFrame:
-    """The rows of ``docs`` (all its columns) with the smallest doc_id of their component.
+    """One row of ``docs`` (all its columns) per component: the smallest doc_id, of equal ones the smallest text hash.
 
     Of repeated rows (same doc_id and text) one stays. Rows without a doc_id stay only if a component holds no id.
+    Texts are told apart by a 64-bit hash, and components are named by it, since ids may be missing or repeated.
     """
-    found = near_duplicates(docs, tau)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
-    return out.withColumn("__text", F.xxhash64(whole_text())).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    own = docs.withColumn("__text", F.xxhash64(whole_text()))
+    found = near_duplicates(own, tau, "__text").select(
+        F.col("doc_id").alias("__text"), F.col("component_id").alias("__component")).distinct()
+    least = own.groupBy("__text").agg(F.min(F.col("doc_id").cast("long")).alias("__id"))
+    kept = found.join(least, "__text").groupBy("__component").agg(F.min(F.struct(
+        F.col("__id").isNull().alias("none"), "__id", "__text")).alias("k")).select(
+        F.col("k.__id").alias("__id"), F.col("k.__text").alias("__kept"))
+    out = own.join(kept, (F.col("__text") == F.col("__kept"))
+                   & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return out.dropDuplicates(["doc_id", "__text"]).drop("__text")

@@ -240,6 +240,17 @@ def test_simhash_odd_rows(odd_docs, no_docs):
     assert simhash.keep_first(no_docs).count() == 0
 
 
+def test_one_row_stays_of_each_component_whatever_its_ids(spark):
+    rows = [(1, "alpha beta gamma delta"), (None, "ALPHA beta gamma delta"),  # near copies, one without an id
+            (None, "no id at all here"), (None, "no ID at all here"), (None, "no id at all here"),
+            (5, "one two three four"), (5, "six seven eight nine"), (2, "SIX seven eight nine"),  # 5 has two texts
+            (8, "left right up down"), (8, "LEFT right up down")]  # one component, one id, two texts
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"].lower()) for r in simhash.keep_first(df).collect()]
+    assert sorted(kept, key=str) == sorted([
+        (1, rows[0][1]), (None, rows[2][1]), (5, rows[5][1]), (2, rows[6][1]), (8, rows[8][1])], key=str)
+
+
 # ---- token files
 
 def test_token_files_equal_the_tokenizer(spark, sf, documents):
