@@ -1,4 +1,4 @@
-"""Secret scan with corpus-wide ownership: values copied by several owners are examples, others look live.
+"""Secret scan with corpus-wide ownership: values copied by many owners, repositories or rows are examples, others look live.
 
 DataFrame functions only. Spark has no function that tells where matches of a pattern are, but splitting a text at
 the pattern and extracting all matches walk over the same matches in the same order; the lengths of the pieces in
@@ -74,12 +74,13 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """(kind, hash, owners, repos, places): how many distinct owners and repositories hold each secret.
+    """(kind, hash, owners, repos, places): how many distinct owners, repositories and rows hold each secret.
 
-    Occurrences are first counted per secret, owner and repository, which Spark combines before the shuffle, so a value
+    Rows are first counted per secret, owner and repository, which Spark combines before the shuffle, so a value
     that fills a third of the corpus is a few rows by then. Unknown owners or repositories count as one each.
     """
-    held = spans.select("owner", "repo", F.explode("spans").alias("s")).select(
+    held = spans.select("owner", "repo", F.explode(F.array_distinct(F.transform(
+        "spans", lambda s: F.struct(s.kind.alias("kind"), s.secret.alias("secret"))))).alias("s")).select(
         "owner", "repo", F.col("s.kind").alias("kind"), F.sha2("s.secret", 256).alias("hash"))
     each = held.groupBy("kind", "hash", "owner", "repo").agg(F.count("*").alias("places"))
     by_owner = each.groupBy("kind", "hash", "owner").agg(F.sum("places").alias("places"), F.count("*").alias("repos"))
@@ -87,6 +88,10 @@ def ownership(spans: DataFrame) -> DataFrame:
         F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("places").alias("places"))
 
 
+def _is_live(owners: int, repos: int, places: int) -> Column:
+    return (F.col("owners") < owners) & (F.col("repos") < repos) & (F.col("places") < places)
+
+
 def _listed(spans: str, bases: bool = False) -> Column:
     kept = F.filter(spans, lambda s: s.rank < sum(k.base for k in KINDS)) if bases else F.col(spans)
     return F.concat_ws(",", F.transform(kept, lambda s: F.concat_ws(
@@ -94,12 +99,13 @@ def _listed(spans: str, bases: bool = False) -> Column:
 
 
 def scan_secrets(docs: DataFrame, repo: Column | None = None, owner: Column | None = None,
-                 example_owners: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 example_owners: int = 3, id_col: str = "doc_id", text_col: str = "text", example_repos: int = 5,
+                 example_places: int = 1000) -> DataFrame:
     """One row per row of ``docs``: its spans, each with a verdict from the whole corpus.
 
-    A secret held by ``example_owners`` distinct owners or more is an ``example`` (copied from documentation or a
-    template); one with fewer owners is ``live``. Columns: row, doc_id, repo, owner, spans (start, rank, stop, kind,
-    secret), verdicts (start, stop, kind, live). Null texts and texts without secrets have empty arrays; repeated rows
+    A secret held by ``example_owners`` distinct owners, ``example_repos`` repositories or ``example_places`` rows, or
+    more, is an ``example`` (copied from documentation or a template); one below all three is ``live``. Columns: row, doc_id, repo, owner, spans (start, rank, stop, kind,
+    secret), verdicts (start, rank, stop, kind, live, owners, repos, places). Null texts and texts without secrets have empty arrays; repeated rows
     come out repeated; a null doc_id stays null.
     """
     found = stage(find_spans(docs, id_col, text_col, repo, owner).withColumn(
@@ -108,14 +114,16 @@ def scan_secrets(docs: DataFrame, repo: Column | None = None, owner: Column | No
     hits = found.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s"))
     hits = hits.select("row", "s", F.col("s.kind").alias("kind"), F.sha2("s.secret", 256).alias("hash"))
     judged = hits.join(known, ["kind", "hash"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
-        "s.start", "s.rank", "s.stop", "s.kind", (F.col("owners") < example_owners).alias("live"))))
+        "s.start", "s.rank", "s.stop", "s.kind", _is_live(example_owners, example_repos, example_places).alias("live"),
+        "owners", "repos", "places")))
         .alias("verdicts"))
-    none = F.expr("cast(array() as array<struct<start:int,rank:int,stop:int,kind:string,live:boolean>>)")
+    none = F.expr("cast(array() as array<struct<start:int,rank:int,stop:int,kind:string,live:boolean,"
+                  "owners:bigint,repos:bigint,places:bigint>>)")
     return found.join(judged, "row", "left").withColumn("verdicts", F.coalesce("verdicts", none))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """The columns of the contract, and how many spans look live or copied."""
+    """The columns of the contract, how many spans look live or copied, and each span's owners, repositories and rows."""
     def count(kind):
         return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
 
@@ -123,19 +131,22 @@ def digest(scanned: DataFrame) -> DataFrame:
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(_listed("spans", True), 256).alias("base_sha256"), _listed("spans").alias("spans"),
         F.size(F.filter("verdicts", lambda v: v.live)).cast("long").alias("n_live"),
-        F.size(F.filter("verdicts", lambda v: ~v.live)).cast("long").alias("n_example"))
+        F.size(F.filter("verdicts", lambda v: ~v.live)).cast("long").alias("n_example"),
+        F.concat_ws(",", F.transform("verdicts", lambda v: F.concat_ws(":", v.kind, *[
+            v[c].cast("string") for c in ("start", "stop", "owners", "repos", "places")]))).alias("frequency"))
 
 
 def redact(docs: DataFrame, repo: Column | None = None, owner: Column | None = None,
-           example_owners: int = 3, mark: str = "<secret>") -> DataFrame:
-    """``docs`` with every live-looking secret replaced by ``mark``; no row is dropped, other columns stay.
+           example_owners: int = 3, mark: str = "<secret>", example_repos: int = 5,
+           example_places: int = 1000) -> DataFrame:
+    """``docs`` with every secret that looks live (as in ``scan_secrets``) replaced by ``mark``; no row is dropped, other columns stay.
 
     The secret's value is replaced wherever it stands in a text, so copies of a row need no row number, and values
     of examples stay. Texts without live secrets (null ones too) are unchanged; n_chars is set anew where the
     text changes.
     """
     found = stage(find_spans(docs, repo=repo, owner=owner).filter(F.size("spans") > 0), "secret-spans")
-    live = ownership(found).filter(F.col("owners") < example_owners).select("kind", "hash")
+    live = ownership(found).filter(_is_live(example_owners, example_repos, example_places)).select("kind", "hash")
     hits = found.select("doc_id", F.explode("spans").alias("s")).select(
         "doc_id", F.col("s.kind").alias("kind"), F.sha2("s.secret", 256).alias("hash"), F.col("s.secret").alias("word"))
     # rows sharing a doc_id share the list; a value that is not in a text changes nothing there

@@ -126,6 +126,25 @@ def test_secrets_owned_by_many_are_examples(spark):
     assert clean[1]["text"] == rows[1][1] and clean[1]["n_chars"] == 10
 
 
+def test_repositories_and_rows_take_part_in_the_verdict(spark):
+    many, often, own = "password = " + "a1x2" * 5, "password = " + "b7y8" * 5, "password = " + "zz99" * 5
+    rows = [(i, f"{many} {often}", "hot", f"r{i}") for i in range(5)]
+    rows += [(i, often, "hot", "r0") for i in range(5, 12)] + [(12, f"{own} {own} {own} {own}", "hot", "r0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, repo string")
+    for how, live in (({}, {own}), ({"example_repos": 6}, {many, often, own}),
+                      ({"example_repos": 6, "example_places": 12}, {many, own})):
+        got = by_id(secrets.digest(secrets.scan_secrets(df, F.col("repo"), F.col("source"), **how)))
+        clean = by_id(secrets.redact(df, F.col("repo"), F.col("source"), **how))
+        for doc_id, text, *_ in rows:
+            spans = ["password = " + x for x in re.findall("password = ([a-z0-9]+)", text)]
+            assert got[doc_id]["n_live"] == sum(x in live for x in spans)
+            for x in live:
+                text = text.replace(x, "password = <secret>")
+            assert clean[doc_id]["text"] == text
+    assert got[0]["frequency"] == "assign:0:31:1:5:5,assign:32:63:1:5:12"
+    assert got[12]["frequency"].startswith("assign:0:31:1:1:1,")  # one row, however often it repeats the value
+
+
 def test_secrets_odd_rows(odd_docs, no_docs):
     rows = secrets.digest(secrets.scan_secrets(odd_docs, owner=F.col("source"))).collect()
     assert len(rows) == 9
