@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bedwatch.llm import compression_quality, mixing, resharding, secrets, simhash
+from bedwatch.llm import byte_merges, compression_quality, mixing, resharding, secrets, simhash
 from bedwatch.llm.common import table
 from bedwatch.llm.epsilon_join import near_vectors
 from bedwatch.llm.license_spans import scan_licenses
@@ -70,6 +70,12 @@ def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.score_documents(docs, compression_quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = vocabulary("byte_bpe_50k.json")
+    encoded = byte_merges.encode_documents(table(spark, sf_dir, "documents"), file)
+    return byte_merges.digest(byte_merges.decode_documents(encoded, file))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secret_scan,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_quality_score": quality_score,
+    "op12_byte_bpe": byte_bpe,
     "pipeline": pipeline,
 }
 
