@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bedwatch.llm import byte_merges, compression_quality, mixing, resharding, secrets, simhash
+from bedwatch.llm import byte_merges, compression_quality, mixing, periodic_runs, resharding, secrets, simhash
 from bedwatch.llm.common import table
 from bedwatch.llm.epsilon_join import near_vectors
 from bedwatch.llm.license_spans import scan_licenses
@@ -76,6 +77,21 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_merges.digest(byte_merges.decode_documents(encoded, file))
 
 
+def repeat_tail(doc_id: int | None, words: list) -> list:
+    """The words that `op13` looks at: in one document of ten the tail repeats its first words; a null id changes nothing."""
+    hashed, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or hashed % 10 or not n:
+        return words
+    turn = hashed // 10
+    first = turn % n
+    period = 1 + (n - first) // (3 + turn % 8)
+    return words[:first] + [words[first + k % period] for k in range(n - first)]
+
+
+def run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find_runs(table(spark, sf_dir, "documents"), least=12, change=repeat_tail))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_quality_score": quality_score,
     "op12_byte_bpe": byte_bpe,
+    "op13_periodic_runs": run_detection,
     "pipeline": pipeline,
 }
 

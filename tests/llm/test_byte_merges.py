@@ -5,7 +5,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from bedwatch.llm.byte_merges import Encoder, Vocabulary, decode_documents, digest, encode_documents
