@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bedwatch.llm import byte_merges, compression_quality, mixing, periodic_runs, resharding, secrets, simhash
+from bedwatch.llm import byte_merges, compression_quality, mixing, periodic_runs, resharding, secrets, segment_bounds, simhash
 from bedwatch.llm.common import table
 from bedwatch.llm.epsilon_join import near_vectors
 from bedwatch.llm.license_spans import scan_licenses
@@ -71,6 +71,11 @@ def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.score_documents(docs, compression_quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return segment_bounds.mine_negatives(table(spark, sf_dir, "embeddings").withColumn("label", turned))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = vocabulary("byte_bpe_50k.json")
     encoded = byte_merges.encode_documents(table(spark, sf_dir, "documents"), file)
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secret_scan,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_quality_score": quality_score,
+    "op11_hard_negatives": hard_negatives,
     "op12_byte_bpe": byte_bpe,
     "op13_periodic_runs": run_detection,
     "pipeline": pipeline,
@@ -116,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op4_source_mix": mixing.ORACLE,
+    "op11_hard_negatives": segment_bounds.ORACLE,
 }
