@@ -77,6 +77,17 @@ FRESHNESS_LIMITS = (
     ("batch_layer", 900, "warning"),
 )
 
+# How long a condition has to last before its alarm fires, in seconds: rule, what it is about, hold.
+RULE_HOLDS = (
+    ("stale", "vitals_producer", 30),
+    ("stale", "lab_generator", 30),
+    ("stale", "speed_layer", 30),
+    ("stale", "batch_layer", 60),
+    ("error_rate", "vitals_producer", 60),
+    ("patient_data_age", "ward", 30),
+    ("open_critical_alerts", "ward", 0),
+)
+
 ALERT_TYPE_VITAL = "VITAL_THRESHOLD"
 ALERT_TYPE_STALE = "DATA_STALENESS"
 ALERT_TYPE_ERRORS = "HIGH_ERROR_RATE"
@@ -149,6 +160,7 @@ class Settings:
     error_rate_limit: float = 0.05
     min_records_per_second: float = 1.0
     freshness_limits: tuple[tuple[str, int, str], ...] = FRESHNESS_LIMITS
+    rule_holds: tuple[tuple[str, str, int], ...] = RULE_HOLDS
     # batch runs
     max_days_per_run: int = 3
     # stream triggers

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bedwatch.config import (
     ALERT_TYPE_ERRORS, DEFAULTS, RISK_LEVELS, SYSTEM_PATIENT, Settings, TEXT_ERRORS,
 )
 from bedwatch.functions.numeric import age_seconds, round_to, seconds_between
+from bedwatch.operators.counters import COUNTER_KEYS, per_window
 
 
 def error_rate(metrics: DataFrame, errors: str = "send_errors", total: str = "records_sent") -> DataFrame:
@@ -70,22 +71,14 @@ def error_rate_alert(rate: DataFrame, alerts: DataFrame, as_of: Column,
 def throughput(metrics: DataFrame, window: str) -> DataFrame:
     """Increase per second of each counter, window by window.
 
-    Each window keeps only its last snapshot (combined before the shuffle);
-    the increase is taken against the previous window's. A counter that went
-    down was restarted from zero.
+    The increase is the sum of the steps since the last snapshot before the window, so restarts inside a
+    window count as well; the first window of a counter has none.
     """
-    keys = ["component", "metric_name"]
-    last = F.max(F.struct("recorded_at", "metric_value"))
-    points = (
-        metrics.groupBy(*keys, F.window("recorded_at", window).alias("w")).agg(last.alias("p"))
-        .select(*keys, F.col("w.start").alias("window_start"), "p.*")
-    )
-    by_time = Window.partitionBy(*keys).orderBy("window_start")
-    value, before = F.col("metric_value"), F.lag("metric_value").over(by_time)
-    increase = F.when(value >= before, value - before).when(before.isNotNull(), value)
-    elapsed = seconds_between(F.lag("recorded_at").over(by_time), F.col("recorded_at"))
-    return points.select(
-        *keys, "window_start", "metric_value", increase.alias("increase"),
+    rows = per_window(metrics, window)
+    increase = F.when(F.col("before_at").isNotNull(), F.col("increase"))
+    elapsed = seconds_between(F.col("before_at"), F.col("last.recorded_at"))
+    return rows.select(
+        *COUNTER_KEYS, "window_start", F.col("last.metric_value").alias("metric_value"), increase.alias("increase"),
         F.try_divide(increase, elapsed).alias("rate_per_second"))
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bedwatch.config import DEFAULTS, LAB_PANEL, VITALS
 from bedwatch.operators.features import assign_aligned_day, daily_features
 from bedwatch.operators.panel import latest_labs, panel_scores
 from bedwatch.operators.risk import score_patients
+from bedwatch.operators.rules import Grid
 from bedwatch.operators.windows import window_aggregates
 from bedwatch.sources.labs import flatten_reports
 from bedwatch.session import new_folder
@@ -25,6 +28,20 @@ CFG = DEFAULTS.with_(
 )
 
 
+HOUR = 3_600
+#: conditions are looked at every hour; limits and holds are hours as well
+GRID = Grid(datetime(2024, 1, 1), datetime(2024, 1, 31), HOUR)
+RULES_CFG = CFG.with_(
+    freshness_limits=(("vitals_producer", 1_200, "critical"), ("lab_generator", 600, "warning"),
+                      ("speed_layer", HOUR, "critical"), ("batch_layer", 2 * HOUR, "warning")),
+    patient_age_limit_seconds=12 * DAY,
+    rule_holds=(("stale", "vitals_producer", HOUR), ("stale", "lab_generator", 2 * HOUR), ("stale", "speed_layer", 2 * HOUR),
+                ("stale", "batch_layer", 0), ("error_rate", "vitals_producer", HOUR),
+                ("patient_data_age", "ward", 6 * HOUR), ("open_critical_alerts", "ward", 0)),
+    min_records_per_second=0.0002,
+)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -180,6 +197,20 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
         F.sum("n").over(w).cast("double").alias("metric_value"), "recorded_at")
 
 
+def restarting_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counters of processes that are restarted every eight hours: twice inside a day, once at its start."""
+    from pyspark.sql import Window
+
+    at = F.col("ts").cast("timestamp")
+    hourly = table(spark, sf, "events").groupBy(
+        F.col("event_type").alias("metric_name"), F.date_trunc("hour", at).alias("recorded_at")).agg(F.count("*").alias("n"))
+    run = F.floor(F.unix_timestamp("recorded_at") / (8 * HOUR))
+    w = Window.partitionBy("metric_name", run).orderBy("recorded_at")
+    return hourly.select(
+        F.lit("vitals_producer").alias("component"), "metric_name",
+        F.sum("n").over(w).cast("double").alias("metric_value"), "recorded_at")
+
+
 def heartbeats(spark: SparkSession, sf: str) -> DataFrame:
     """Event types stand for the components' signs of life; the lab generator is never heard of."""
     component = (

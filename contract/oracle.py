@@ -696,3 +696,102 @@ ORACLE["health_summary"] = f"""WITH {STALE}
 SELECT *, CASE WHEN value > "limit" THEN 'degraded' ELSE 'healthy' END AS status FROM (
   SELECT 'stale_patients' AS "check", CAST(count(*) AS DOUBLE) AS value, 0e0 AS "limit" FROM stale
   UNION ALL SELECT 'error_rate', {_r(f'{ERRORS} / count(*)', 6)}, 0.05e0 FROM events)"""
+
+
+# ---- rules with hold times -------------------------------------------------
+
+RULE_STATES = WINDOWS + f""", {_episodes()},
+ticks AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 HOUR)) AS moment),
+heard AS (
+  SELECT moment, component, limit_seconds, max(ts) AS last_seen
+  FROM ticks CROSS JOIN (VALUES ('vitals_producer', 1200, 'view'), ('lab_generator', 600, 'none'),
+                                ('speed_layer', 3600, 'purchase'), ('batch_layer', 7200, 'signup')) c(component, limit_seconds, event_type)
+  LEFT JOIN events e ON e.event_type = c.event_type AND e.ts <= moment GROUP BY ALL
+),
+hours AS (
+  SELECT date_trunc('hour', ts) AS hour, count(*) FILTER (WHERE event_type = 'error') / 3600e0 AS errors, count(*) / 3600e0 AS total
+  FROM events GROUP BY 1
+),
+silences AS (
+  SELECT window_end + INTERVAL 12 DAY AS old_at, lead(window_end) OVER (PARTITION BY patient_id ORDER BY window_end) AS next_end FROM windows
+),
+looked AS (
+  SELECT 'stale' AS rule, component AS subject, moment, last_seen IS NULL OR moment - last_seen > to_seconds(limit_seconds) AS active FROM heard
+  UNION ALL SELECT 'error_rate', 'vitals_producer', hour + INTERVAL 1 HOUR, errors / greatest(total, 0.0002e0) > 0.05e0 FROM hours
+  UNION ALL SELECT 'patient_data_age', 'ward', moment,
+    moment IN (SELECT t.moment FROM ticks t JOIN silences s ON t.moment > old_at AND (next_end IS NULL OR t.moment < next_end)) FROM ticks
+  UNION ALL SELECT 'open_critical_alerts', 'ward', moment,
+    moment IN (SELECT t.moment FROM ticks t JOIN episodes e ON vital_name = 'temperature' AND severity = 'CRITICAL'
+           AND t.moment >= triggered_at AND t.moment < last_seen_at + INTERVAL 1 HOUR) FROM ticks
+),
+sampled AS (
+  SELECT *, lag(active) OVER w AS was, lag(moment) OVER w AS before_at, lead(moment) OVER w AS next_at
+  FROM looked WHERE moment <= {AS_OF} WINDOW w AS (PARTITION BY rule, subject ORDER BY moment)
+),
+numbered AS (
+  SELECT *, sum(CASE WHEN was AND moment - before_at <= INTERVAL 3 HOUR THEN 0 ELSE 1 END)
+              OVER (PARTITION BY rule, subject ORDER BY moment ROWS UNBOUNDED PRECEDING) AS island
+  FROM sampled WHERE active
+),
+begun AS (SELECT *, min(moment) OVER (PARTITION BY rule, subject, island) AS active_at FROM numbered),
+islands AS (
+  SELECT rule, subject, severity, active_at, min(moment) FILTER (WHERE moment >= active_at + to_hours(hold)) AS fired_at, max(moment) AS last_at,
+         arg_max_null(next_at, moment) AS next_at, count(*) AS samples
+  FROM begun JOIN (VALUES ('stale', 'vitals_producer', 1, 'critical'), ('stale', 'lab_generator', 2, 'warning'),
+                          ('stale', 'speed_layer', 2, 'critical'), ('stale', 'batch_layer', 0, 'warning'),
+                          ('error_rate', 'vitals_producer', 1, 'critical'), ('patient_data_age', 'ward', 6, 'critical'),
+                          ('open_critical_alerts', 'ward', 0, 'critical')) h(rule, subject, hold, severity) USING (rule, subject)
+  GROUP BY rule, subject, severity, active_at
+),
+ended AS (
+  SELECT *, CASE WHEN next_at <= last_at + INTERVAL 3 HOUR THEN next_at
+                 WHEN last_at + INTERVAL 3 HOUR < {AS_OF} THEN last_at + INTERVAL 3 HOUR END AS ended_at FROM islands
+),
+states AS (
+  SELECT *, CASE WHEN ended_at IS NULL THEN CASE WHEN fired_at IS NULL THEN 'pending' ELSE 'firing' END
+                 WHEN fired_at IS NULL THEN 'dropped' ELSE 'resolved' END AS state FROM ended
+)"""
+ORACLE["rule_states"] = f"""WITH {RULE_STATES}
+SELECT rule, subject, severity, {_t('active_at')} AS active_at, {_t('fired_at')} AS fired_at, {_t('last_at')} AS last_active_at,
+       {_t('ended_at')} AS ended_at, samples, state FROM states"""
+ORACLE["rule_transitions"] = f"""WITH {RULE_STATES}
+SELECT rule, subject, severity, {_t('moment')} AS "at", CAST(step AS BIGINT) AS step, state FROM (
+  SELECT rule, subject, severity, active_at AS moment, 0 AS step, 'pending' AS state FROM states
+  UNION ALL SELECT rule, subject, severity, fired_at, 1, 'firing' FROM states WHERE fired_at IS NOT NULL
+  UNION ALL SELECT rule, subject, severity, ended_at, 2, CASE WHEN fired_at IS NULL THEN 'dropped' ELSE 'resolved' END FROM states
+  WHERE ended_at IS NOT NULL)"""
+
+
+# ---- counters that restart -------------------------------------------------
+
+ORACLE["counter_rates"] = f"""WITH hourly AS (
+  SELECT event_type AS metric_name, date_trunc('hour', ts) AS recorded_at, count(*) AS n FROM events GROUP BY 1, 2
+),
+snapshots AS (
+  SELECT metric_name, recorded_at, CAST(sum(n) OVER (PARTITION BY metric_name, floor(epoch(recorded_at) / 28800e0) ORDER BY recorded_at) AS DOUBLE) AS v
+  FROM hourly
+),
+steps AS (
+  SELECT *, date_trunc('day', recorded_at) AS day, lag(v) OVER w AS before_v, lag(recorded_at) OVER w AS before_at
+  FROM snapshots WINDOW w AS (PARTITION BY metric_name ORDER BY recorded_at)
+),
+grown AS (
+  SELECT *, CASE WHEN v >= before_v THEN v - before_v WHEN before_v IS NOT NULL THEN v END AS step,
+         before_at >= day AS inside FROM steps
+),
+days AS (
+  SELECT metric_name, day, count(*) AS samples, count(*) FILTER (WHERE v < before_v) AS restarts,
+         COALESCE(sum(step), 0e0) AS increase, sum(step) FILTER (WHERE inside) AS own, arg_min(v, recorded_at) AS first_v,
+         epoch(max(recorded_at)) - epoch(min(recorded_at)) AS sampled,
+         epoch(min(recorded_at)) - epoch(day) AS head, epoch(day) + 86400 - epoch(max(recorded_at)) AS tail
+  FROM grown GROUP BY metric_name, day
+),
+usual AS (SELECT *, sampled / (samples - 1) AS gap FROM days),
+reached AS (
+  SELECT *, CASE WHEN head >= 1.1e0 * gap THEN gap / 2 ELSE head END AS to_start, CASE WHEN tail >= 1.1e0 * gap THEN gap / 2 ELSE tail END AS to_end
+  FROM usual
+)
+SELECT 'vitals_producer' AS component, metric_name, {_t('day')} AS window_start, samples, restarts, increase,
+       CASE WHEN samples > 1 THEN {_r('''own * (sampled + to_end + CASE WHEN own > 0 AND first_v >= 0 AND sampled * first_v / own < to_start
+                                    THEN sampled * first_v / own ELSE to_start END) / sampled / 86400e0''', 9)} END AS rate_per_second
+FROM reached"""

@@ -14,8 +14,8 @@ from bedwatch.config import VITALS
 from bedwatch.functions import scoring
 from bedwatch.functions.numeric import render_time, round_to
 from bedwatch.functions.vitals import breaches_any, vital_status
-from bedwatch.operators import alerts as al, changes, episodes, features as fe, health, panel, risk as rk
-from bedwatch.operators import staleness as st, windows as wn
+from bedwatch.operators import alerts as al, changes, counters, episodes, features as fe, health, panel, risk as rk
+from bedwatch.operators import rules, staleness as st, windows as wn
 from bedwatch.plans import daily, health as hp, reports as rp, ward
 from bedwatch.session import new_folder, stage
 from bedwatch.sinks import tables as tb
@@ -766,6 +766,14 @@ def throughput(spark, sf):
         "component", "metric_name", txt("window_start"), "metric_value", "increase", num("rate_per_second", 9))
 
 
+@query
+def counter_rates(spark, sf):
+    """Counters that restart twice a day, per day."""
+    return counters.counter_rates(inp.restarting_snapshots(spark, sf), "1 day").select(
+        "component", "metric_name", txt("window_start"), big("samples"), big("restarts"), "increase",
+        num("rate_per_second", 9))
+
+
 @query
 def metric_snapshot(spark, sf):
     return hp.metric_snapshot(inp.snapshots(spark, sf)).select(
@@ -794,3 +802,30 @@ def health_alerts(spark, sf):
 def health_summary(spark, sf):
     return hp.health_summary(inp.patients(spark, sf), inp.windows(spark, sf), inp.counters(spark, sf), as_of(),
                              CFG).select("check", num("value"), "limit", "status")
+
+
+def _rule_states(spark, sf):
+    """Heartbeats, error rates, patients' data and open critical alerts, looked at every hour."""
+    cfg, grid = inp.RULES_CFG, inp.GRID
+    hourly = health.windowed_error_rate(inp.counters(spark, sf), inp.HOUR, cfg)
+    alerts = _episodes(spark, sf).withColumn(
+        "acked_at", F.when(F.col("vital_name") == "temperature", F.col("last_seen_at") + F.expr("INTERVAL 1 HOUR")))
+    alerts = alerts.filter(F.col("vital_name") == "temperature")
+    samples = rules.freshness_samples(inp.heartbeats(spark, sf), grid, cfg).unionByName(
+        rules.rate_samples(hourly, inp.HOUR)).unionByName(
+        rules.patient_age_samples(inp.windows(spark, sf), grid, cfg)).unionByName(
+        rules.open_alert_samples(alerts, grid))
+    return rules.rule_states(samples, rules.holds_of(spark, cfg), as_of(), 3 * inp.HOUR)
+
+
+@query
+def rule_states(spark, sf):
+    return _rule_states(spark, sf).select(
+        "rule", "subject", "severity", txt("active_at"), txt("fired_at"), txt("last_active_at"), txt("ended_at"),
+        big("samples"), "state")
+
+
+@query
+def rule_transitions(spark, sf):
+    return rules.rule_transitions(_rule_states(spark, sf)).select(
+        "rule", "subject", "severity", txt("at"), big("step"), "state")
