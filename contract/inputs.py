@@ -34,7 +34,7 @@ GRID = Grid(datetime(2024, 1, 1), datetime(2024, 1, 31), HOUR)
 RULES_CFG = CFG.with_(
     freshness_limits=(("vitals_producer", 1_200, "critical"), ("lab_generator", 600, "warning"),
                       ("speed_layer", HOUR, "critical"), ("batch_layer", 2 * HOUR, "warning")),
-    patient_age_limit_seconds=12 * DAY,
+    patient_age_limit_seconds=2 * DAY,
     rule_holds=(("stale", "vitals_producer", HOUR), ("stale", "lab_generator", 2 * HOUR), ("stale", "speed_layer", 2 * HOUR),
                 ("stale", "batch_layer", 0), ("error_rate", "vitals_producer", HOUR),
                 ("patient_data_age", "ward", 6 * HOUR), ("open_critical_alerts", "ward", 0)),

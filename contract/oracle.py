@@ -713,7 +713,7 @@ hours AS (
   FROM events GROUP BY 1
 ),
 silences AS (
-  SELECT window_end + INTERVAL 12 DAY AS old_at, lead(window_end) OVER (PARTITION BY patient_id ORDER BY window_end) AS next_end FROM windows
+  SELECT window_end + INTERVAL 2 DAY AS old_at, lead(window_end) OVER (PARTITION BY patient_id ORDER BY window_end) AS next_end FROM windows
 ),
 looked AS (
   SELECT 'stale' AS rule, component AS subject, moment, last_seen IS NULL OR moment - last_seen > to_seconds(limit_seconds) AS active FROM heard
