@@ -90,23 +90,71 @@ def as_payload(events: DataFrame) -> DataFrame:
 SLICES = 8
 
 
-def in_slices(df: DataFrame, time: str, label: str, bounds: tuple | None = None) -> tuple[str, tuple]:
-    """``df`` as files in time order, one per slice of time; empty slices have a file as well."""
-    low, high = bounds or df.agg(F.min(time), F.max(time)).first()
-    step = (high - low) / SLICES
-    path = new_folder(df.sparkSession, label)
-    number = F.least(F.lit(SLICES - 1), F.floor((F.unix_micros(time) - F.unix_micros(F.lit(low)))
-                                                / F.lit(step.total_seconds() * 1e6)))
-    for k in range(SLICES):  # the file source reads in order of modification
-        df.filter(number == k).coalesce(1).write.mode("append").parquet(path)
-    return path, (low, high)
-
-
-def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table as a stream of several files in time order, one per micro-batch."""
-    rows = table(spark, sf, name).withColumn("ts", F.col("ts").cast("timestamp"))
-    path, _ = in_slices(rows, "ts", "stream-input")
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def bounds_of(df: DataFrame, time: str) -> tuple:
+    return tuple(df.agg(F.min(time), F.max(time)).first())
+
+
+def slice_of(time: str, bounds: tuple):
+    """The number of the slice of time a row lies in; slices are equally long, and one if there is only one instant."""
+    low, high = bounds
+    if low is None or low == high:
+        return F.lit(0)
+    step = (high - low).total_seconds() * 1e6 / SLICES
+    return F.least(F.lit(SLICES - 1), F.floor((F.unix_micros(time) - F.unix_micros(F.lit(low))) / F.lit(step))).cast("int")
+
+
+def streamed(df: DataFrame, number, label: str, slices: int = SLICES) -> DataFrame:
+    """``df`` as a stream that gives one slice per micro-batch, in the order of ``number``; empty slices are batches too.
+
+    Written once by all tasks, a large slice by several. The file source goes by the time of modification and
+    takes a fixed number of files at a time, so the files of a slice get its time, and empty ones up to the same number.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.withColumn("_slice", number).hint("rebalance", "_slice").write.partitionBy("_slice").parquet(path)
+    spark.createDataFrame([], df.schema).coalesce(1).write.parquet(f"{path}-empty")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    store, conf = folder.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jsc.hadoopConfiguration()
+    empty = store.globStatus(hadoop.Path(f"{path}-empty/part-*"))[0].getPath()
+    files = {k: [f.getPath() for f in store.globStatus(hadoop.Path(f"{path}/_slice={k}/part-*")) or []] for k in range(slices)}
+    most = max(1, *map(len, files.values()))
+    for k, own in files.items():
+        for n in range(most - len(own)):
+            own.append(hadoop.Path(f"{path}/_slice={k}/part-empty-{n}.parquet"))
+            hadoop.FileUtil.copy(store, empty, store, own[-1], False, conf)
+        for f in own:
+            store.setTimes(f, 1_600_000_000_000 + 1_000 * k, -1)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", most).parquet(f"{path}/_slice=*")
+
+
+def events_in_time(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def stream_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The events in time order, in eight micro-batches."""
+    rows = events_in_time(spark, sf)
+    return streamed(rows, slice_of("ts", bounds_of(rows, "ts")), "stream-input")
+
+
+def repeated_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event sent twice, the second time with the slice after its own."""
+    rows = events_in_time(spark, sf)
+    twice = rows.withColumn("_again", F.explode(F.array(F.lit(0), F.lit(1))))
+    number = (slice_of("ts", bounds_of(rows, "ts")) + F.col("_again")).cast("int")
+    return streamed(twice, number, "stream-repeated", SLICES + 1).drop("_again")
+
+
+def held_back():
+    """Events of the first five slices that arrive at the very end, long after their windows have closed."""
+    return F.col("event_id") % 10 == 3
+
+
+def late_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = events_in_time(spark, sf)
+    number = slice_of("ts", bounds_of(rows, "ts"))
+    return streamed(rows, F.when(held_back() & (number < 5), F.lit(SLICES)).otherwise(number), "stream-late", SLICES + 1)
 
 
 def lab_reports(spark: SparkSession, sf: str) -> DataFrame:

@@ -119,7 +119,7 @@ def vitals_windows(spark, sf):
 
 
 def _stream(spark, sf):
-    return rd.valid_readings(rd.parse_payload(inp.as_payload(inp.stream_of(spark, sf, "events"))))
+    return rd.valid_readings(rd.parse_payload(inp.as_payload(inp.stream_of(spark, sf))))
 
 
 @query
@@ -640,15 +640,12 @@ def stream_alert_episodes(spark, sf):
 def stream_alerts_acked(spark, sf):
     """The acknowledgements of ``alert_episodes_acked`` arriving in the stream, in step with the readings."""
     folders = sl.Folders.under(new_folder(spark, "stream-acks"))
-    events = inp.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    readings, bounds = inp.in_slices(inp.as_readings(events), "event_time", "stream-readings", (low, high))
-    acks, _ = inp.in_slices(_acks(spark, sf), "acked_at", "stream-acks-input", bounds)
-
-    def stream(path):
-        return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-    sl.start_alerts(stream(readings), folders, CFG, stream(acks), drain=True).awaitTermination()
+    events = inp.events_in_time(spark, sf)
+    bounds = inp.bounds_of(events, "ts")
+    acks = _acks(spark, sf)
+    readings = inp.streamed(inp.as_readings(events), inp.slice_of("event_time", bounds), "stream-readings")
+    acked = inp.streamed(acks, inp.slice_of("acked_at", bounds), "stream-acks-input")
+    sl.start_alerts(readings, folders, CFG, acked, drain=True).awaitTermination()
     return read_alerts(spark, folders.alerts).select(*_alert_columns())
 
 
@@ -656,7 +653,7 @@ def stream_alerts_acked(spark, sf):
 def stream_metrics(spark, sf):
     """What the queries of the speed layer counted, batch by batch, and how many batches that were."""
     root = new_folder(spark, "speed-layer")
-    parsed = rd.parse_payload(inp.as_payload(inp.stream_of(spark, sf, "events")))
+    parsed = rd.parse_payload(inp.as_payload(inp.stream_of(spark, sf)))
     sl.start_speed_layer(rd.valid_readings(parsed), root, CFG, drain=True, parsed=parsed)
     metrics = sl.read_metrics(spark, sl.Folders.under(root))
     wanted = ["rows_read", "rows_late", "raw_records_archived", "breaches_seen", "records_rejected"]
