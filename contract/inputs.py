@@ -138,23 +138,30 @@ def stream_of(spark: SparkSession, sf: str) -> DataFrame:
     return streamed(rows, slice_of("ts", bounds_of(rows, "ts")), "stream-input")
 
 
+UNIQUE_CFG = CFG.with_(watermark="10 days")
+
+
 def repeated_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event sent twice, the second time with the slice after its own."""
-    rows = events_in_time(spark, sf)
-    twice = rows.withColumn("_again", F.explode(F.array(F.lit(0), F.lit(1))))
-    number = (slice_of("ts", bounds_of(rows, "ts")) + F.col("_again")).cast("int")
-    return streamed(twice, number, "stream-repeated", SLICES + 1).drop("_again")
+    """Every reading sent twice, the second time with the slice after its own; some have no id and come once."""
+    events = events_in_time(spark, sf)
+    nameless = F.col("event_id") % 17 == 0
+    copies = F.when(nameless, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    rows = as_readings(events).withColumn("_again", F.explode(copies))
+    number = (slice_of("event_time", bounds_of(events, "ts")) + F.col("_again")).cast("int")
+    sent = rows.withColumn("event_id", F.when(~nameless, F.col("event_id")))
+    return streamed(sent, number, "stream-repeated", SLICES + 1).drop("_again")
 
 
-def held_back():
-    """Events of the first five slices that arrive at the very end, long after their windows have closed."""
-    return F.col("event_id") % 10 == 3
+def held_back(spark: SparkSession, sf: str, time: str = "event_time"):
+    """Is a reading one of the first five slices that arrives at the very end, long after its window has closed."""
+    number = slice_of(time, bounds_of(events_in_time(spark, sf), "ts"))
+    return (F.col("event_id") % 10 == 3) & (number < 5)
 
 
 def late_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = events_in_time(spark, sf)
-    number = slice_of("ts", bounds_of(rows, "ts"))
-    return streamed(rows, F.when(held_back() & (number < 5), F.lit(SLICES)).otherwise(number), "stream-late", SLICES + 1)
+    events = events_in_time(spark, sf)
+    number = F.when(held_back(spark, sf), F.lit(SLICES)).otherwise(slice_of("event_time", bounds_of(events, "ts")))
+    return streamed(as_readings(events), number, "stream-late", SLICES + 1)
 
 
 def lab_reports(spark: SparkSession, sf: str) -> DataFrame:

@@ -795,3 +795,15 @@ SELECT 'vitals_producer' AS component, metric_name, {_t('day')} AS window_start,
        CASE WHEN samples > 1 THEN {_r('''own * (sampled + to_end + CASE WHEN own > 0 AND first_v >= 0 AND sampled * first_v / own < to_start
                                     THEN sampled * first_v / own ELSE to_start END) / sampled / 86400e0''', 9)} END AS rate_per_second
 FROM reached"""
+
+
+# ---- streams with copies and late readings ---------------------------------
+
+ORACLE["stream_windows_deduped"] = ORACLE["vitals_windows"]
+ORACLE["stream_late_corrections"] = ORACLE["vitals_windows"]
+ORACLE["stream_corrected_features"] = ORACLE["daily_features"]
+ORACLE["stream_alerts_deduped"] = f"SELECT * EXCLUDE (event_id, message) FROM ({ORACLE['alert_episodes']})"
+ORACLE["stream_late_rows"] = """WITH bounds AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events),
+held AS (SELECT e.* FROM events e, bounds WHERE event_id % 10 = 3 AND floor((epoch_us(ts) - low) / ((high - low) / 8)) < 5)
+SELECT 'windows dropped as late' AS what, count(DISTINCT (user_id, CAST(ts AS DATE))) AS n FROM held
+UNION ALL SELECT 'late readings kept', count(*) FROM held"""

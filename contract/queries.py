@@ -22,6 +22,8 @@ from bedwatch.sinks import tables as tb
 from bedwatch.sources import labs as lb, patients as pt, readings as rd
 from bedwatch.streaming import speed_layer as sl
 from bedwatch.streaming.alerts import read_alerts
+from bedwatch.streaming.corrections import corrected_features, late_readings
+from bedwatch.streaming.metrics import BatchMetrics
 from contract import inputs as inp
 from contract.inputs import CFG, as_of
 
@@ -129,6 +131,53 @@ def stream_vitals_windows(spark, sf):
     return sl.read_windows(spark, folders).select("patient_id", *_window_columns())
 
 
+@query
+def stream_windows_deduped(spark, sf):
+    """Windows of a stream in which every reading with an id arrives twice, in different batches."""
+    folders = sl.Folders.under(new_folder(spark, "stream-deduped"))
+    sl.start_windows(inp.repeated_stream(spark, sf), folders, inp.UNIQUE_CFG, drain=True, unique=True).awaitTermination()
+    return sl.read_windows(spark, folders).select("patient_id", *_window_columns())
+
+
+def _late_run(spark, sf):
+    """Readings of the first days arriving last: archive and windows drained, then what they missed put right."""
+    folders = sl.Folders.under(new_folder(spark, "stream-late"))
+    readings = inp.late_stream(spark, sf)
+    sl.start_archive(readings, folders, CFG, drain=True).awaitTermination()
+    watcher = BatchMetrics(folders.metrics)
+    spark.streams.addListener(watcher)
+    windows = watcher.watch(sl.start_windows(readings, folders, CFG, drain=True))
+    windows.awaitTermination()
+    watcher.settle(windows)
+    spark.streams.removeListener(watcher)
+    sl.start_corrections(sl.archived_stream(spark, folders), folders, CFG, drain=True, origin=inp.ORIGIN).awaitTermination()
+    return folders
+
+
+@query
+def stream_late_corrections(spark, sf):
+    return sl.read_windows(spark, _late_run(spark, sf)).select("patient_id", *_window_columns())
+
+
+@query
+def stream_corrected_features(spark, sf):
+    """Daily features as computed before the late readings came, with what the corrections put in their place."""
+    before = inp.readings(spark, sf).filter(~inp.held_back(spark, sf))
+    before = fe.daily_features(fe.assign_aligned_day(rd.dedupe_readings(before), inp.ORIGIN, CFG), CFG)
+    return corrected_features(spark, _late_run(spark, sf), before).select(*_feature_columns())
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Patient windows the window query was too late for, and the readings held back that the late log has."""
+    folders = _late_run(spark, sf)
+    dropped = sl.read_metrics(spark, folders).filter("metric_name = 'rows_late'").agg(
+        F.lit("windows dropped as late").alias("what"), F.sum("metric_value").cast("long").alias("n"))
+    kept = late_readings(spark, folders).filter(inp.held_back(spark, sf)).agg(
+        F.lit("late readings kept").alias("what"), F.countDistinct("event_id").alias("n"))
+    return dropped.unionByName(kept)
+
+
 @query
 def stream_raw_archive(spark, sf):
     folders = sl.Folders.under(new_folder(spark, "stream-archive"))
@@ -636,6 +685,14 @@ def stream_alert_episodes(spark, sf):
     return read_alerts(spark, folders.alerts).select(*_alert_columns())
 
 
+@query
+def stream_alerts_deduped(spark, sf):
+    """Alerts of readings that arrive twice: a copy neither opens nor escalates one."""
+    folders = sl.Folders.under(new_folder(spark, "stream-alerts-deduped"))
+    sl.start_alerts(inp.repeated_stream(spark, sf), folders, inp.UNIQUE_CFG, drain=True, unique=True).awaitTermination()
+    return read_alerts(spark, folders.alerts).select(*_alert_columns()).drop("event_id")
+
+
 @query
 def stream_alerts_acked(spark, sf):
     """The acknowledgements of ``alert_episodes_acked`` arriving in the stream, in step with the readings."""

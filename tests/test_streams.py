@@ -239,3 +239,79 @@ def test_all_three_queries_share_one_stream(spark, folder):
     for q in sl.start_speed_layer(stream(spark, folder + "/in"), folder, drain=True):
         q.awaitTermination()
     assert rd.scan_archive(spark, folders.archive).count() == 100
+
+
+def test_copies_count_once_and_readings_without_an_id_each(spark, folder):
+    """Every message again one file later, out of order; those without an id are different readings."""
+    rows = messages(11, 120, 10_000)
+    for k in range(0, 120, 30):
+        again = rows[max(0, k - 30):k]
+        put(folder + "/in", f"f{k:06d}", [*reversed(rows[k:k + 30]), *again])
+    put(folder + "/in", "f900000", rows[90:])
+    nameless = [dict(rows[-1], event_id=None) for _ in range(3)]
+    put(folder + "/in", "f900001", nameless)
+    put(folder + "/once", "f1", rows + nameless)
+    cfg = DEFAULTS.with_(watermark="20 minutes")
+    queries = sl.start_speed_layer(stream(spark, folder + "/in"), folder, cfg, drain=True, unique=True)
+    assert len(queries) == 3
+    folders = sl.Folders.under(folder)
+    key = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    want = window_aggregates(batch(spark, folder + "/once"), cfg)
+    assert key(sl.read_windows(spark, folders).select(*want.columns)) == key(want)
+    alerts = ep.alert_episodes(ep.breach_events(batch(spark, folder + "/once"), cfg), None, cfg)
+    columns = ["patient_id", "vital_name", "severity", "occurrences", "triggered_at", "last_seen_at"]
+    assert key(sa.read_alerts(spark, folders.alerts).select(*columns)) == key(alerts.select(*columns))
+    assert rd.scan_archive(spark, folders.archive).count() == 120 + 120 + 3  # the archive keeps what was sent
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_late_readings_are_put_right(spark, folder, unique):
+    """Corrections run after every few batches, one of them twice; a second late reading corrects the same window again."""
+    rows = messages(5, 90, 10_000)
+    late = [dict(rows[k], event_id=f"late-{k}", heart_rate=150.0) for k in (0, 1, 2, 20)]
+    split(folder + "/in", rows, 30)
+    folders = sl.Folders.under(folder)
+
+    def run():
+        sl.start_speed_layer(stream(spark, folder + "/in"), folder, DEFAULTS, drain=True, unique=unique)
+        sl.start_corrections(sl.archived_stream(spark, folders), folders, DEFAULTS, drain=True, unique=unique,
+                             origin="2024-01-01 00:00:00").awaitTermination()
+
+    def keyed(df):
+        return {(r["patient_id"], r["window_start"]): r["reading_count"] for r in df.collect()}
+
+    run()
+    before = keyed(sl.read_windows(spark, folders))
+    assert before == keyed(window_aggregates(batch(spark, folder + "/in"), DEFAULTS))
+    for k, some in enumerate((late[:2], late[2:])):
+        put(folder + "/in", f"f{900_000 + k}", some)
+        run()
+        assert keyed(sl.read_windows(spark, folders)) == keyed(window_aggregates(batch(spark, folder + "/in"), DEFAULTS))
+    after = keyed(sl.read_windows(spark, folders))
+    assert sum(after.values()) == sum(before.values()) + 4
+    from bedwatch.operators.features import assign_aligned_day, daily_features
+    from bedwatch.streaming.corrections import corrected_features, late_readings
+
+    assert late_readings(spark, folders).filter("event_id like 'late%'").count() == 4
+    of_days = lambda df: daily_features(assign_aligned_day(rd.dedupe_readings(df), "2024-01-01 00:00:00"), DEFAULTS)
+    early = of_days(batch(spark, folder + "/in").filter("event_id not like 'late%'"))
+    got = corrected_features(spark, folders, early)
+    key = lambda df: sorted((r["patient_id"], r["simulated_day"], r["total"], r["abnormal"], round(r["avg_heart_rate"], 9)) for r in df.collect())
+    assert key(got) == key(of_days(batch(spark, folder + "/in")))
+
+
+def test_a_replayed_correction_gives_the_same(spark, folder):
+    rows = messages(6, 60, 10_000)
+    split(folder + "/in", rows, 60)
+    folders = sl.Folders.under(folder)
+    sl.start_archive(stream(spark, folder + "/in"), folders, DEFAULTS, drain=True).awaitTermination()
+    from bedwatch.streaming.corrections import correction_writer, corrected_windows
+
+    write = correction_writer(folders)
+    archived = spark.read.parquet(folders.archive)
+    write(archived, 0)
+    once = sorted(map(tuple, corrected_windows(spark, folders).collect()), key=str)
+    write(archived, 0)
+    assert sorted(map(tuple, corrected_windows(spark, folders).collect()), key=str) == once
+    write(archived.limit(0), 1)
+    assert sorted(map(tuple, corrected_windows(spark, folders).collect()), key=str) == once
