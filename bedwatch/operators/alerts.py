@@ -26,7 +26,7 @@ def unite_alerts(*tables: DataFrame) -> DataFrame:
 
 
 def acknowledge(alerts: DataFrame, requests: DataFrame) -> DataFrame:
-    """Acknowledgement rows for ``requests`` (alert_id, acked_at); unknown ids drop out.
+    """Acknowledgement rows for ``requests`` (alert_id, acked_at); unknown ids drop out (``acknowledge_answers`` tells of them).
 
     Alerts that are not about a vital have no vital name.
     """
@@ -36,6 +36,17 @@ def acknowledge(alerts: DataFrame, requests: DataFrame) -> DataFrame:
     ).select("alert_id", "patient_id", "vital_name", "triggered_at", "acked_at")
 
 
+def acknowledge_answers(alerts: DataFrame, requests: DataFrame) -> DataFrame:
+    """An answer to every request (alert_id, acked_at): ``acknowledged``, or ``not found`` for an id no alert has.
+
+    Acknowledging an alert again is accepted again. A request without an id is answered as not found. One row per
+    request; alerts are reduced to their ids, so several rows of one alert answer once.
+    """
+    known = alerts.select("alert_id").distinct().withColumn("_known", F.lit(True))
+    return requests.join(known, "alert_id", "left").withColumn(
+        "status", F.when(F.col("_known"), F.lit("acknowledged")).otherwise(F.lit("not found"))).drop("_known")
+
+
 def with_acknowledged(alerts: DataFrame, acks: DataFrame | None) -> DataFrame:
     """Adds the ``acknowledged`` flag; several acknowledgements of one alert count once.
 

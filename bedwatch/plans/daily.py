@@ -41,14 +41,12 @@ def score_days(readings: DataFrame, labs: DataFrame, periods: DataFrame,
     """
     in_period = dedupe_readings(assign_period(readings, periods, cfg), "simulated_day")
     risk = score_patients(daily_features(in_period, cfg), panel_scores(labs, cfg), cfg)
-    bounds = {r["simulated_day"]: r for r in periods.select(
-        "simulated_day", "period_start", "period_end", F.to_date("period_end").alias("report_date")).collect()}
+    rows = periods.select("simulated_day", "period_start", "period_end", F.to_date("period_end").alias("report_date")).collect()
 
     def of_day(column: str, kind: str):
-        value = F.lit(None).cast(kind)
-        for day, r in bounds.items():
-            value = F.when(F.col("simulated_day") == day, F.lit(r[column])).otherwise(value)
-        return value.cast(kind)
+        """One constant map, however many days there are."""
+        pairs = [F.lit(x) for r in rows for x in (r["simulated_day"], r[column])]
+        return F.try_element_at(F.create_map(*pairs), F.col("simulated_day")).cast(kind) if rows else F.lit(None).cast(kind)
 
     return risk.withColumns({"period_start": of_day("period_start", "timestamp"),
                              "period_end": of_day("period_end", "timestamp"),
@@ -60,7 +58,8 @@ def run_days(spark: SparkSession, days: list[int], lab_folder: str, archive: str
              metrics_table: str | None = None, reject_table: str | None = None) -> DataFrame:
     """Ingest, score and store the given days; running a day again gives the same rows.
 
-    Unusable reports and tests go to ``reject_table``. Staged tables are removed at the end.
+    Unusable reports and tests go to ``reject_table``; a day that no longer has any loses those of its run before.
+    Staged tables are removed at the end.
     """
     with temporary_stages(spark):
         reports = stage(read_lab_files(spark, lab_folder, days), "lab-reports")
@@ -70,7 +69,7 @@ def run_days(spark: SparkSession, days: list[int], lab_folder: str, archive: str
                            "is_abnormal", "collected_at", "simulated_day")
         upsert_days(kept, lab_table, LAB_KEYS, staged=True)
         if reject_table:
-            replace_days(rejects, reject_table)
+            replace_days(rejects, reject_table, days=days)
         periods = stage(lab_periods(reports, cfg), "periods")
         first, last = periods.agg(F.min("period_start"), F.max("period_end")).first()
         readings = scan_archive(spark, archive, first, last)
@@ -90,9 +89,12 @@ def run_days(spark: SparkSession, days: list[int], lab_folder: str, archive: str
 
 def catch_up(spark: SparkSession, lab_folder: str, archive: str, lab_table: str, risk_table: str,
              patients: DataFrame, report_folder: str, cfg: Settings = DEFAULTS,
-             reject_table: str | None = None, finished_table: str | None = None) -> list[int]:
+             reject_table: str | None = None, finished_table: str | None = None,
+             metrics_table: str | None = None) -> list[int]:
     """Score the pending days and add their reports to those already there; returns the days done.
 
+    The totals of every run are appended to ``metrics_table``. Tables that are not named lie in the report folder.
+
     Days are finished when a run has dealt with them, whether or not they gave a row:
     a day whose reports are all unusable does not come up again.
     """
@@ -104,12 +106,12 @@ def catch_up(spark: SparkSession, lab_folder: str, archive: str, lab_table: str,
     if not todo:
         return []
     risk = run_days(spark, todo, lab_folder, archive, lab_table, risk_table, cfg,
-                    reject_table=reject_table or f"{report_folder}/rejects")
+                    metrics_table or f"{report_folder}/metrics", reject_table or f"{report_folder}/rejects")
     stored = spark.read.schema(risk.schema).parquet(risk_table)
     with temporary_stages(spark):
         report = stage(daily_report(stored, patients, todo), "report")
-        export_report_csv(report, f"{report_folder}/csv")
-        export_documents_json(report_documents(report), f"{report_folder}/json")
+        export_report_csv(report, f"{report_folder}/csv", todo)
+        export_documents_json(stage(report_documents(report), "documents"), f"{report_folder}/json", todo)
     # last, so that a run that broke off is done again
     replace_days(spark.createDataFrame([(d,) for d in todo], "simulated_day int").withColumn(
         "finished_at", F.current_timestamp()), finished_table)

@@ -21,8 +21,8 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None =
         raise
 
 
-def replace_days(rows: DataFrame, path: str, day: str = "simulated_day") -> None:
-    """Replace exactly the days present in ``rows``; other days stay untouched.
+def replace_days(rows: DataFrame, path: str, day: str = "simulated_day", days: Sequence[int] | None = None) -> None:
+    """Replace exactly the days present in ``rows``, and empty those of ``days`` that have none; others stay untouched.
 
     The rebalance hint lets AQE size the output files and split a day that
     holds a large share of the rows.
@@ -32,6 +32,16 @@ def replace_days(rows: DataFrame, path: str, day: str = "simulated_day") -> None
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day).parquet(path)
     )
+    if days:
+        clear_days(rows, path, day, days, day)
+
+
+def clear_days(rows: DataFrame, path: str, day: str, days: Sequence[int], folder: str) -> None:
+    """Remove the stored folders of those ``days`` that ``rows`` has nothing for; a run has few days."""
+    spark = rows.sparkSession
+    left = set(days) - {r[0] for r in rows.select(day).distinct().collect()}
+    for number in left.intersection(numbered_folders(spark, path, folder)):
+        remove_folder(spark, f"{path}/{folder}={number}")
 
 
 def upsert_days(rows: DataFrame, path: str, keys: Sequence[str], day: str = "simulated_day",
@@ -139,11 +149,13 @@ def _by_day(rows: DataFrame):
         "partitionOverwriteMode", "dynamic").partitionBy("day")
 
 
-def export_report_csv(report: DataFrame, path: str) -> None:
-    """Report rows with a header, columns in the fixed order, in a folder per day."""
+def export_report_csv(report: DataFrame, path: str, days: Sequence[int] = ()) -> None:
+    """Report rows with a header, columns in the fixed order, in a folder per day; none for those of ``days`` without rows."""
     _by_day(report.select(*REPORT_COLUMNS)).option("header", True).csv(path)
+    clear_days(report, path, "simulated_day", days, "day")
 
 
-def export_documents_json(documents: DataFrame, path: str) -> None:
-    """Report documents as JSON lines in a folder per day."""
+def export_documents_json(documents: DataFrame, path: str, days: Sequence[int] = ()) -> None:
+    """Report documents as JSON lines in a folder per day; none for those of ``days`` without documents."""
     _by_day(documents).json(path)
+    clear_days(documents, path, "simulated_day", days, "day")

@@ -26,16 +26,19 @@ class BatchMetrics(StreamingQueryListener):
     def __init__(self, path: str, compact_every: int = COMPACT_EVERY):
         self.path, self.compact_every = path, compact_every
         self.names: dict[str, str] = {}  # id of a watched query -> its name
-        self.early: list = []  # reported before the query was watched
+        self.early: dict[str, list] | None = {}  # by query id, reported before the query was watched; None once all are
         self.done: dict[str, int] = {}
 
     def watch(self, query: StreamingQuery) -> StreamingQuery:
         self.names[str(query.id)] = query.name
-        waiting, self.early = self.early, []
-        for progress in waiting:
+        for progress in (self.early or {}).pop(str(query.id), []):
             self._store(progress)
         return query
 
+    def all_watched(self) -> None:
+        """No further query will be watched: reports of others are not kept from now on."""
+        self.early = None
+
     def onQueryStarted(self, event) -> None:
         pass
 
@@ -43,7 +46,8 @@ class BatchMetrics(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self.early = [p for p in self.early if str(p.id) != str(event.id)]
+        if self.early is not None:
+            self.early.pop(str(event.id), None)
 
     def onQueryProgress(self, event) -> None:
         self._store(event.progress)
@@ -51,7 +55,8 @@ class BatchMetrics(StreamingQueryListener):
     def _store(self, progress) -> None:
         name = self.names.get(str(progress.id))
         if name is None:
-            self.early.append(progress)
+            if self.early is not None:
+                self.early.setdefault(str(progress.id), []).append(progress)
             return
         if "addBatch" not in progress.durationMs:  # nothing ran
             return

@@ -144,6 +144,7 @@ def start_speed_layer(readings: DataFrame, root: str, cfg: Settings = DEFAULTS,
         queries.append(start_rejects(parsed, folders, cfg, drain))
     for q in queries:
         watcher.watch(q)
+    watcher.all_watched()
     if drain:
         for q in queries:
             q.awaitTermination()

@@ -807,3 +807,22 @@ ORACLE["stream_late_rows"] = """WITH bounds AS (SELECT epoch_us(min(ts)) AS low,
 held AS (SELECT e.* FROM events e, bounds WHERE event_id % 10 = 3 AND floor((epoch_us(ts) - low) / ((high - low) / 8)) < 5)
 SELECT 'windows dropped as late' AS what, count(DISTINCT (user_id, CAST(ts AS DATE))) AS n FROM held
 UNION ALL SELECT 'late readings kept', count(*) FROM held"""
+
+
+# ---- runs of the daily job, answers to requests ----------------------------
+
+ORACLE["run_days_risk"] = f"WITH {RISK} SELECT {RISK_COLUMNS}, CAST(0 AS BIGINT) AS rejects_left FROM risk WHERE simulated_day <= 3"
+ORACLE["catch_up_totals"] = f"""WITH {RISK},
+totals AS (
+  SELECT 'raw_readings_processed' AS metric_name, CAST(sum(readings_analyzed) AS DOUBLE) AS metric_value FROM risk
+  WHERE simulated_day <= 6 AND simulated_day <> 4
+  UNION ALL SELECT 'risk_reports_written', CAST(count(*) AS DOUBLE) FROM risk WHERE simulated_day <= 6 AND simulated_day <> 4
+  UNION ALL SELECT 'lab_records_ingested', CAST(count(*) AS DOUBLE) FROM labs WHERE simulated_day <> 4
+  UNION ALL SELECT 'records_rejected', CAST(count(*) AS DOUBLE) FROM labs WHERE simulated_day = 4
+  UNION ALL SELECT 'labs_without_bounds', 0e0
+  UNION ALL SELECT 'last_simulated_day', 6e0
+)
+SELECT 'batch_layer' AS component, metric_name, metric_value, CAST(2 AS BIGINT) AS runs FROM totals"""
+ORACLE["acknowledge_answers"] = f"""WITH {EPISODES}
+SELECT patient_id, vital_name, {_t('triggered_at')} AS triggered_at,
+       CASE WHEN patient_id % 3 = 0 THEN 'not found' ELSE 'acknowledged' END AS status FROM episodes"""

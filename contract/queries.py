@@ -347,6 +347,21 @@ def run_totals(spark, sf):
 
 def _daily_job(spark, sf):
     """Lab files and an archive for the job: day 4 has reports nobody can be given, days 5 and 6 come as lines."""
+    root, reports = _daily_inputs(spark, sf)
+    for day in [r[0] for r in reports.select("simulated_day").distinct().orderBy("simulated_day").collect()]:
+        given = F.when(F.lit(day) != 4, F.col("patient_id")).alias("patient_id")
+        reports.filter(F.col("simulated_day") == day).withColumn("patient_id", given).write.json(
+            lb.lab_lines_path(f"{root}/labs", day))
+    patients = inp.patients(spark, sf).withColumn("patient_id", F.col("patient_id").cast("string"))
+    steps = []
+    while done := daily.catch_up(spark, f"{root}/labs", f"{root}/archive", f"{root}/lab_table", f"{root}/risk_table",
+                                 patients, f"{root}/reports", CFG):
+        steps.append(done)
+    return root, steps
+
+
+def _daily_inputs(spark, sf):
+    """The archive the job reads, and the reports of its lab files."""
     root = new_folder(spark, "daily-job")
     labs = stage(inp.labs(spark, sf), "labs")
     test = F.struct("test_type", "result_value", F.lit("u").alias("unit"), "reference_min", "reference_max",
@@ -355,21 +370,49 @@ def _daily_job(spark, sf):
                           "yyyy-MM-dd'T'HH:mm:ssXXX")
     reports = labs.select(
         F.concat_ws("-", "patient_id", "test_type", "simulated_day").alias("report_id"),
-        F.when(F.col("simulated_day") != 4, F.col("patient_id").cast("string")).alias("patient_id"),
+        F.col("patient_id").cast("string").alias("patient_id"),
         "simulated_day", taken.alias("collected_at"), F.array(test).alias("tests"))
-    for day in [r[0] for r in labs.select("simulated_day").distinct().orderBy("simulated_day").collect()]:
-        reports.filter(F.col("simulated_day") == day).write.json(lb.lab_lines_path(f"{root}/labs", day))
     readings = inp.readings(spark, sf).withColumns({
         "event_id": F.col("event_id").cast("string"), "patient_id": F.col("patient_id").cast("string"),
         "timestamp": F.lit(None).cast("string"), "is_abnormal": F.lit(None).cast("boolean"),
         "event_date": F.to_date("event_time")})
     readings.write.partitionBy("event_date").parquet(f"{root}/archive")
-    patients = inp.patients(spark, sf).withColumn("patient_id", F.col("patient_id").cast("string"))
-    steps = []
-    while done := daily.catch_up(spark, f"{root}/labs", f"{root}/archive", f"{root}/lab_table", f"{root}/risk_table",
-                                 patients, f"{root}/reports", CFG):
-        steps.append(done)
-    return root, steps
+    return root, reports
+
+
+@query
+def run_days_risk(spark, sf):
+    """Three days, of which the second has wrong values and reports of nobody at first; then it is corrected and run again."""
+    root, reports = _daily_inputs(spark, sf)
+    reports = stage(reports.filter("simulated_day <= 3"), "reports")
+    wrong = F.transform("tests", lambda t: t.withField("result_value", t["result_value"] * 3 + 1))
+
+    def deliver(rows, day):
+        rows.filter(F.col("simulated_day") == day).write.mode("overwrite").json(lb.lab_lines_path(f"{root}/labs", day))
+
+    def run(days):
+        return daily.run_days(spark, days, f"{root}/labs", f"{root}/archive", f"{root}/lab_table", f"{root}/risk_table",
+                              CFG, reject_table=f"{root}/rejects")
+
+    deliver(reports, 1), deliver(reports, 3)
+    deliver(reports.withColumn("tests", wrong).unionByName(reports.withColumn("patient_id", F.lit(None).cast("string"))), 2)
+    run([1, 2, 3])
+    deliver(reports, 2)
+    run([2])
+    run([2])
+    rejects = spark.read.schema("report_id string, simulated_day int").parquet(f"{root}/rejects").filter("simulated_day = 2")
+    risk = spark.read.parquet(f"{root}/risk_table").withColumn("patient_id", F.col("patient_id").cast("long"))
+    return risk.select(*_risk_columns()).withColumn("rejects_left", F.lit(rejects.count()).cast("long"))
+
+
+@query
+def catch_up_totals(spark, sf):
+    """What the runs of the daily job counted, added up over the runs."""
+    root, _ = _daily_job(spark, sf)
+    totals = spark.read.parquet(f"{root}/reports/metrics")
+    return totals.groupBy("component", "metric_name").agg(
+        F.when(F.col("metric_name") == "last_simulated_day", F.max("metric_value")).otherwise(F.sum("metric_value"))
+        .alias("metric_value"), F.countDistinct("recorded_at").alias("runs"))
 
 
 @query
@@ -665,6 +708,16 @@ def alert_episodes(spark, sf):
     return _episodes(spark, sf).select(*_alert_columns(), "message")
 
 
+@query
+def acknowledge_answers(spark, sf):
+    """Requests for every alert, one in three with an id that no alert has, and how they were answered."""
+    found = stage(_episodes(spark, sf), "episodes")
+    requests = found.select(
+        "patient_id", "vital_name", txt("triggered_at"),
+        F.when(F.col("patient_id") % 3 == 0, F.xxhash64("alert_id", F.lit("unknown"))).otherwise(F.col("alert_id")).alias("alert_id"))
+    return al.acknowledge_answers(found, requests).select("patient_id", "vital_name", "triggered_at", "status")
+
+
 @query
 def alert_episodes_acked(spark, sf):
     """Every SpO2 and heart-rate alert acknowledged 30 hours after it opened, in the middle of longer runs."""

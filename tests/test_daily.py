@@ -202,3 +202,45 @@ def test_hot_event_id_combines_before_the_shuffle(spark):
     plan = dedupe_readings(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Aggregate") >= 2 and "partial" in plan.lower() or "keys=[event_id" in plan
     assert dedupe_readings(df).count() == 1
+
+
+def test_a_thousand_days_in_one_run(spark):
+    """The bounds of the days are one map, so the plan does not get deeper with their number."""
+    n = 1000
+    periods = [(d, T0 + timedelta(seconds=300 * d), T0 + timedelta(seconds=300 * (d + 1))) for d in range(1, n + 1)]
+    periods = spark.createDataFrame(periods, "simulated_day int, period_start timestamp, period_end timestamp")
+    rows = [reading(str(d), "P", 300 * d + 5) for d in range(1, n + 1)]
+    labs = spark.createDataFrame([], "patient_id string, test_type string, result_value double, reference_min double, "
+                                     "reference_max double, is_abnormal boolean, collected_at timestamp, simulated_day int")
+    got = daily.score_days(with_date(spark.createDataFrame(rows, READING)), labs, periods).collect()
+    assert len(got) == n
+    for r in got:
+        assert r["period_start"] == T0 + timedelta(seconds=300 * r["simulated_day"])
+        assert r["report_date"] == (T0 + timedelta(seconds=300 * (r["simulated_day"] + 1))).date()
+
+
+def test_a_day_run_again_without_rows_leaves_none(spark, folder):
+    """Rejects and exports of a day's run before are gone; those of other days stay."""
+    rejects = spark.createDataFrame([("a", 1), ("b", 2)], "report_id string, simulated_day int")
+    tb.replace_days(rejects, f"{folder}/rejects", days=[1, 2])
+    tb.replace_days(rejects.limit(0), f"{folder}/rejects", days=[2, 3])
+    assert [tuple(r) for r in spark.read.parquet(f"{folder}/rejects").collect()] == [("a", 1)]
+    documents = spark.createDataFrame([("x", 1), ("y", 2)], "text string, simulated_day int")
+    tb.export_documents_json(documents, f"{folder}/json", [1, 2])
+    tb.export_documents_json(documents.filter("simulated_day = 1"), f"{folder}/json", [1, 2])
+    assert [r["text"] for r in spark.read.json(f"{folder}/json").collect()] == ["x"]
+
+
+def test_catch_up_stores_the_totals_of_its_runs(spark, folder):
+    import os
+    os.makedirs(f"{folder}/labs")
+    make_day(spark, f"{folder}/labs", 1)
+    make_day(spark, f"{folder}/labs", 2)
+    patients = spark.createDataFrame([("P1", "A", "W", "1"), ("P2", "B", "W", "2")],
+                                     "patient_id string, name string, ward string, bed_number string")
+    args = (f"{folder}/labs", f"{folder}/archive", f"{folder}/lab_table", f"{folder}/risk", patients, f"{folder}/reports")
+    assert daily.catch_up(spark, *args, DEFAULTS.with_(max_days_per_run=1)) == [1]
+    assert daily.catch_up(spark, *args, DEFAULTS.with_(max_days_per_run=1)) == [2]
+    totals = spark.read.parquet(f"{folder}/reports/metrics")
+    assert totals.filter("metric_name = 'risk_reports_written'").count() == 2
+    assert totals.filter("metric_name = 'last_simulated_day'").agg(F.max("metric_value")).first()[0] == 2.0
