@@ -53,12 +53,12 @@ def targets(sources: DataFrame, most: float = 3.0) -> DataFrame:
 
 def mix(docs: DataFrame, seed: str = "mix", buckets: int = 4096, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
-    """(doc_id, source, key, size, source_size, target, taken), one row per row of ``docs``.
+    """(doc_id, source, text_hash, key, size, source_size, target, taken), one row per row of ``docs``.
 
     ``taken`` is the document's words times the number of times the mix takes it. The last document of the fractional
     part is taken if at least half of it fits. Null or empty texts have size 0 and are never taken; a null source is
-    a source; repeated rows share a key and are drawn one after the other. Documents with equal keys go by doc_id,
-    then size.
+    a source; repeated rows share a key and are drawn one after the other, each on what those before it left. Documents
+    with equal keys go by doc_id, then size, then text.
 
     No source is gathered: keys are dealt into ``buckets`` ranges, sizes are summed per source and range (combined
     before the shuffle), and only the rows of one range are ordered at a time, however large the source is.
@@ -66,7 +66,7 @@ def mix(docs: DataFrame, seed: str = "mix", buckets: int = 4096, id_col: str = "
     text = whole_text(text_col)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(text).alias("text_hash"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         sampling_key(F.col(id_col).cast("long"), quality_weight(text), seed).alias("key"))
     # 1 - exp(-key * w) is uniform for weight w; any monotonous function of the key would do
     rows = rows.withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("key") * 0.8)) * buckets).cast("int"))
@@ -83,32 +83,33 @@ def mix(docs: DataFrame, seed: str = "mix", buckets: int = 4096, id_col: str = "
         F.col("source").alias("__source"), F.col("bucket").alias("__bucket"), "source_size", "before", "target")
     drawn = rows.join(plan, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bucket") == F.col("__bucket")))
 
-    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    # by rows: the default frame would put equal rows behind all of each other
+    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "text_hash").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     start = F.col("before") + F.sum("size").over(within) - F.col("size")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     drawn = drawn.withColumns({"start": start, "epochs": epochs.cast("long")})
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     again = (F.col("start") + F.col("size") / F.lit(2.0) <= rest) & (rest > 0)
     taken = F.col("size") * (F.col("epochs") + again.cast("long"))
-    return drawn.select("doc_id", "source", "key", "size", "source_size", "target", taken.alias("taken"))
+    return drawn.select("doc_id", "source", "text_hash", "key", "size", "source_size", "target", taken.alias("taken"))
 
 
 def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """``docs`` (same columns) with each document as often as ``mixed`` takes it: not at all, or up to 3 times.
 
-    Rows sharing a doc_id, size and source are told apart by nothing, so each takes an equal part of their sum, the
-    remainder going to none of them twice: their repeats are the sum of taken over size, dealt to one of them.
+    Rows are told apart by doc_id, source and text. Rows equal in these three come as often as ``mixed`` takes them
+    together, all as copies of one of them, whose other columns they have.
     """
-    times = mixed.filter("taken > 0").groupBy("doc_id", "source", "size").agg(
-        (F.sum("taken") / F.col("size")).cast("int").alias("__times")).select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__times")
+    times = mixed.filter("taken > 0").groupBy("doc_id", "source", "text_hash").agg(
+        F.sum((F.col("taken") / F.col("size")).cast("long")).alias("__times")).select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash"), "__times")
     one = docs.withColumn("__text", F.xxhash64(whole_text()))
-    one = one.withColumn("__n", F.regexp_count(whole_text(), F.lit(WORD)).cast("long"))
     joined = one.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
                       & F.col("source").cast("string").eqNullSafe(F.col("__source"))
-                      & (F.col("__n") == F.col("__size")))
-    first = joined.dropDuplicates(["doc_id", "source", "__n", "__text"])
-    return first.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+                      & (F.col("__text") == F.col("__hash")))
+    first = joined.dropDuplicates(["doc_id", "source", "__text"])
+    return first.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select(docs.columns)
 
 
 ORACLE = r"""
