@@ -75,7 +75,8 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = 10,
 
     Queries are the rows of ``queries``, or those of ``vectors`` whose id is divisible by ``every``; a row with the
     query's own id is no candidate. Ties go to the smaller id. Vectors that are null, empty or zero, or hold null or
-    non-finite components, have a null id, or another length than most, take no part; repeated rows are candidates each.
+    non-finite components, have a null id, or another length than most, take no part; repeated rows are candidates each. A
+    query row that is repeated is asked once; different vectors under one id are queries of their own, each with its ranks.
 
     The codebooks are fitted on at most ``sample`` vectors; every row is indexed. A query looks at cells holding at least
     ``share`` of all rows, and never at fewer than ``top`` + 1. (Test vectors are close to isotropic, where no cell order
@@ -95,6 +96,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = 10,
     length = usual["length"]
     rows = rows.filter(F.size("v") == length)
     asked = typed(queries).filter(F.size("v") == length) if queries is not None else rows.filter(F.col("vec_id") % every == 0)
+    asked = asked.distinct().withColumn("query_key", F.xxhash64("vec_id", "v"))
 
     fitted = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()], float)
     cut = (length + 1) // 2
@@ -128,23 +130,25 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = 10,
                 yield pd.DataFrame({"cell": cells, "part": parts, "ask": np.repeat(
                     spread(some["vec_id"].to_numpy()), sizes).astype(np.int32),
                     "query_id": np.repeat(some["vec_id"].to_numpy(), sizes),
+                    "query_key": np.repeat(some["query_key"].to_numpy(), sizes),
                     "q": [v for v, n in zip(some["v"], sizes) for _ in range(n)]})
 
-    looked = asked.select("vec_id", "v").mapInPandas(
-        look, "cell int, part int, ask int, query_id long, q array<double>")
+    looked = asked.select("vec_id", "query_key", "v").mapInPandas(
+        look, "cell int, part int, ask int, query_id long, query_key long, q array<double>")
     per_cell = F.element_at(F.array(*[F.lit(int(c)) for c in chunks]), F.col("cell") + 1)
     held = index.withColumn("part", F.pmod(F.xxhash64("vec_id"), per_cell).cast("int"))
     held = held.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1))))
 
     def rank(queries_: pd.DataFrame, rows_: pd.DataFrame) -> pd.DataFrame:
         if not len(queries_) or not len(rows_):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            return pd.DataFrame({"query_id": [], "query_key": [], "vec_id": [], "score": []}).astype(
+                {"query_id": "int64", "query_key": "int64", "vec_id": "int64", "score": "float64"})
         q, x = np.stack(queries_["q"].to_numpy()), np.stack(rows_["v"].to_numpy())
         ids, norms = rows_["vec_id"].to_numpy(), (x ** 2).sum(1)
         found = []
         for at in range(0, len(q), 256):
             part, names = q[at:at + 256], queries_["query_id"].to_numpy()[at:at + 256]
+            keys = queries_["query_key"].to_numpy()[at:at + 256]
             own = (part ** 2).sum(1)
             rough = own[:, None] + norms[None] - 2 * part @ x.T
             rough[names[:, None] == ids[None]] = np.inf
@@ -154,12 +158,12 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = 10,
                 near = np.nonzero((rough[i] <= last[i] + slack) & (rough[i] < np.inf))[0]
                 exact = np.sqrt(((x[near] - part[i]) ** 2).sum(1))
                 best = np.lexsort((ids[near], exact))[:top]
-                found.append(pd.DataFrame({"query_id": name, "vec_id": ids[near][best], "score": exact[best]}))
+                found.append(pd.DataFrame({"query_id": name, "query_key": keys[i], "vec_id": ids[near][best], "score": exact[best]}))
         return pd.concat(found, ignore_index=True)
 
     keys = ["cell", "part", "ask"]
     ranked = looked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
-        rank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        rank, "query_id long, query_key long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "query_key").orderBy("score", "vec_id")
     return ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
