@@ -10,6 +10,7 @@ file part and block) and ``ranks`` (the ids by rank).
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -67,10 +68,20 @@ def read_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(block, "<u4", docs, 16), unpack(block[body:body + size], block[body + size:], n)
 
 
+# The normaliser and the word split of the tokenizers for which ``WordIds`` takes texts apart, as their files spell them.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 class WordIds:
     """Ids of whole texts, encoding each distinct word once.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in a row; words
+    That holds for tokenizers with the normaliser and word split above, and special tokens spelled ``<|...|>``; the file
+    says so. With any other tokenizer whole texts are encoded by it. The known one drops white space and never joins across it, so a text's ids are those of its words in a row; words
     are split at ASCII white space only, which every such tokenizer treats as white space. It also lower-cases, and
     parts letters and digits from the punctuation behind them, so a word is looked up in small letters and without
     its last marks before it is encoded. A word of Latin letters only is one unit that no normaliser changes but for its
@@ -84,6 +95,18 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.remembered = Tokenizer.from_file(file), {}, remembered
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(file, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.by_words = (
+            spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == SPLIT
+            and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
+            and all(t["content"].startswith("<|") and not any(c.isspace() for c in t["content"])
+                    and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"])
+                    for t in spec.get("added_tokens") or []))
+        if not self.by_words:
+            return
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.model, plain = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
@@ -95,6 +118,9 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if not self.by_words:
+            return [np.array(found.ids, "<u4").tobytes()
+                    for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.encode("utf-8").split() for t in texts]
         known = self.known
         if len(known) > self.remembered:
