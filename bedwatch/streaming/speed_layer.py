@@ -27,7 +27,6 @@ class Folders(NamedTuple):
     rejects: str
     metrics: str
     corrections: str
-    silences: str
 
     @classmethod
     def under(cls, root: str) -> "Folders":

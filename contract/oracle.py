@@ -826,3 +826,4 @@ SELECT 'batch_layer' AS component, metric_name, metric_value, CAST(2 AS BIGINT)
 ORACLE["acknowledge_answers"] = f"""WITH {EPISODES}
 SELECT patient_id, vital_name, {_t('triggered_at')} AS triggered_at,
        CASE WHEN patient_id % 3 = 0 THEN 'not found' ELSE 'acknowledged' END AS status FROM episodes"""
+ORACLE["stream_staleness"] = ORACLE["staleness_alerts"]

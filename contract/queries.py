@@ -7,6 +7,7 @@ through DECIMAL, counts as long.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +21,7 @@ from bedwatch.plans import daily, health as hp, reports as rp, ward
 from bedwatch.session import new_folder, stage
 from bedwatch.sinks import tables as tb
 from bedwatch.sources import labs as lb, patients as pt, readings as rd
-from bedwatch.streaming import speed_layer as sl
+from bedwatch.streaming import speed_layer as sl, staleness as sst
 from bedwatch.streaming.alerts import read_alerts
 from bedwatch.streaming.corrections import corrected_features, late_readings
 from bedwatch.streaming.metrics import BatchMetrics
@@ -846,6 +847,25 @@ def _no_alerts(spark):
                                      "message string, triggered_at timestamp, acknowledged boolean")
 
 
+@query
+def stream_staleness(spark, sf):
+    """The same two checks by a timer per patient, over the readings as a stream; the clock goes on to the second one."""
+    path = new_folder(spark, "silences")
+    cfg = CFG.with_(watermark="0 seconds")
+    signs = sst.signs_of_life(inp.as_readings(inp.stream_of(spark, sf)), cfg)
+    people = sst.roster(inp.patients(spark, sf), F.lit(inp.ORIGIN))
+    ends = sst.clock(spark.createDataFrame([(inp.AS_OF,), ("2024-02-01 00:00:00",)], "at string"))
+
+    def once(df, slice_number, label):
+        return inp.streamed(df, F.lit(slice_number), label)
+
+    sources = signs.unionByName(once(people, 0, "stream-roster")).unionByName(once(ends, inp.SLICES - 1, "stream-clock"))
+    checks = sst.Checks(datetime(2024, 1, 20), 11 * inp.DAY)
+    sst.start_staleness(sources, f"{path}/alerts", f"{path}/checkpoint", checks, cfg, {"availableNow": True}).awaitTermination()
+    return sst.read_silences(spark, f"{path}/alerts", inp.patients(spark, sf), cfg).select(
+        "patient_id", "alert_type", "severity", "message", txt("triggered_at"), "acknowledged")
+
+
 @query
 def risk_level_distribution(spark, sf):
     return health.level_distribution(inp.risk(spark, sf)).select("risk_level", big("patients"), "avg_combined_risk")
