@@ -93,18 +93,17 @@ class WordIds:
 
     def __init__(self, file: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer, self.known, self.remembered = Tokenizer.from_file(file), {}, remembered
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        with open(file, encoding="utf-8") as f:
-            spec = json.load(f)
         self.by_words = (
-            spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == SPLIT
-            and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
-            and all(t["content"].startswith("<|") and not any(c.isspace() for c in t["content"])
-                    and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"])
-                    for t in spec.get("added_tokens") or []))
+            self._spelled(self.tokenizer.normalizer) == NORMALIZER and self._spelled(self.tokenizer.pre_tokenizer) == SPLIT
+            and isinstance(self.tokenizer.model, BPE) and not self.tokenizer.model.dropout
+            and all(t.content.startswith("<|") and not any(c.isspace() for c in t.content)
+                    and not (t.single_word or t.lstrip or t.rstrip or t.normalized)
+                    for t in self.tokenizer.get_added_tokens_decoder().values()))
         if not self.by_words:
             return
         from tokenizers.pre_tokenizers import ByteLevel
@@ -113,6 +112,11 @@ class WordIds:
         self.bytes_of = {c: plain.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x250)}
         self.direct = all(self._unit(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in self.SAMPLES)
 
+    @staticmethod
+    def _spelled(part) -> dict | None:
+        """A part of the tokenizer as its file spells it, without reading the vocabulary again."""
+        return None if part is None else json.loads(part.__getstate__())
+
     def _unit(self, word: str) -> list[int]:
         return [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.bytes_of))]
 
