@@ -152,6 +152,7 @@ class Settings:
     alert_rules: tuple[AlertRule, ...] = ALERT_RULES
     cooldown_seconds: int = 300
     escalate_after: int = 3
+    state_buckets: int = 32
     # reports
     direction_step: float = 5.0
     # health

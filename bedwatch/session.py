@@ -115,3 +115,9 @@ def matching_names(spark: SparkSession, path: str, pattern: str) -> set[str]:
         return set()
     found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
     return {f.getPath().getName() for f in found}
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Whole paths of the files and folders that match a glob pattern."""
+    store, folder = _at(spark, pattern)
+    return [f.getPath().toString() for f in store.globStatus(folder) or []]

@@ -7,9 +7,9 @@ grow, and written back. Results do not depend on how the input was cut into
 micro-batches or on the order of rows, as long as a reading is not later than
 the watermark.
 
-Open episodes are a change log with one row per patient and vital: batch N reads
-the rows of the keys it touches as they were before N and stores those keys
-anew, other keys stay as they are. A replayed batch therefore sees the same
+Open episodes are a change log with one row per patient and vital, in buckets by key:
+batch N reads the buckets of the keys it touches as they were before N and stores those
+keys anew, other keys stay as they are and other buckets are not read. A replayed batch therefore sees the same
 state again, and its change folders are rewritten, not appended to.
 
 An episode leaves the state by its own key's clock: after ``IDLE_BATCHES`` batches
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 from bedwatch.config import DEFAULTS, Settings
@@ -29,6 +29,7 @@ from bedwatch.operators.alerts import with_acknowledged
 from bedwatch.operators.episodes import (
     ACK_COLUMNS, BREACH_KEYS, breach_events, breach_summaries, chain_summaries, episode_rows,
 )
+from bedwatch.sinks.buckets import BucketLog
 from bedwatch.sinks.tables import has_changes, latest_rows, write_changes
 
 _SUMMARY = ("first", "last", "n", "n_critical")
@@ -51,12 +52,25 @@ def _delay(cfg: Settings):
     return F.expr(f"INTERVAL {cfg.watermark}") + F.make_dt_interval(secs=F.lit(cfg.cooldown_seconds))
 
 
-def _state_before(spark: SparkSession, path: str, batch_id: int, keys: DataFrame) -> DataFrame | None:
-    """The stored episodes of these keys as of the batch before, one row each."""
-    if not has_changes(spark, f"{path}/state", batch_id):
-        return None
-    known = latest_rows(spark, f"{path}/state", BREACH_KEYS, below=batch_id)
-    return known.join(keys, list(BREACH_KEYS), "left_semi").select(*BREACH_KEYS, F.inline("episodes"))
+def _state_log(path: str, cfg: Settings) -> BucketLog:
+    return BucketLog(f"{path}/state", BREACH_KEYS, cfg.state_buckets, COMPACT_EVERY)
+
+
+def _state_schema(summaries: DataFrame) -> T.StructType:
+    """Keys, and the episodes that can still grow."""
+    episode = [*(summaries.schema[c] for c in _SUMMARY), T.StructField("acked_at", T.TimestampType()),
+               T.StructField("idle", T.IntegerType())]
+    return T.StructType([*(summaries.schema[k] for k in BREACH_KEYS),
+                         T.StructField("episodes", T.ArrayType(T.StructType(episode)))])
+
+
+def _state_before(log: BucketLog, batch: DataFrame, batch_id: int, schema: T.StructType) -> DataFrame | None:
+    """The stored episodes of this batch's keys as of the batch before; only the buckets of these keys are read."""
+    spark = batch.sparkSession
+    keys = batch.select(*BREACH_KEYS).distinct()
+    touched = sorted(r["bucket"] for r in keys.select(log.bucket().alias("bucket")).distinct().collect())  # the buckets at most
+    known = log.read(spark, schema, touched, batch_id) if touched else None
+    return None if known is None else known.join(keys, list(BREACH_KEYS), "left_semi").select(*BREACH_KEYS, F.inline("episodes"))
 
 
 def _kept(merged: DataFrame, cfg: Settings) -> DataFrame:
@@ -108,8 +122,8 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
             batch.unpersist()
 
     def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        state = _state_before(spark, path, batch_id, batch.select(*BREACH_KEYS).distinct())
-        breaches = batch.filter("kind = 'breach'")
+        log, breaches = _state_log(path, cfg), batch.filter("kind = 'breach'")
+        state = _state_before(log, batch, batch_id, _state_schema(breach_summaries(breaches, None, cfg)))
         acks = None
         if "acked_at" in batch.columns:
             acks = batch.filter("kind = 'ack'").select(*ACK_COLUMNS)
@@ -126,7 +140,7 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
             gone.withColumn("first", F.col("first").withField("event_time", F.col("_old"))), cfg, "acked_at",
         ).withColumn("deleted", F.lit(True))
         write_changes(changes.unionByName(removed), path, batch_id, ALERT_KEYS, COMPACT_EVERY)
-        write_changes(_kept(merged, cfg), f"{path}/state", batch_id, BREACH_KEYS, COMPACT_EVERY)
+        log.write(_kept(merged, cfg), batch_id)
         merged.unpersist()
 
     return write

@@ -25,6 +25,7 @@ CFG = DEFAULTS.with_(
     period_seconds=5 * DAY, window="1 day", watermark="1 day", slope_unit_seconds=float(DAY),
     hr_rise_limit=5.0, spo2_fall_limit=-1.0, live_hr_rise_limit=6.0, live_spo2_fall_limit=-1.0,
     cooldown_seconds=2 * DAY, stale_after_seconds=DAY // 2, min_records_per_second=0.0039,
+    state_buckets=4,
 )
 
 
