@@ -15,10 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from bedwatch.llm.common import components, discard, stage
+from bedwatch.llm.common import components, stage
 
 AXES = 8  # leading principal axes of the grid
 LEAF = 256  # rows below which an interval is not halved further
+SIDE = 1 / 256  # least side of a grid cell: for cosines near 1 cells may be wider than eps, never so many that listing them hurts
 SLACK = 1e-6  # added to eps when skipping, against rounding of the rotation
 
 
@@ -194,7 +195,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, block_rows: int = 4096
     eps = float(np.sqrt(max(0.0, 2 - 2 * least)))
     axes = principal_axes(classes, sample)
     width = "f4" if "float" in classes.schema["v"].dataType.simpleString() else "f8"
-    blocks = stage(_intervals(_placed(classes, axes, max(eps, 1e-9)), axes, block_rows), "intervals")
+    blocks = stage(_intervals(_placed(classes, axes, max(eps, SIDE)), axes, block_rows), "intervals")
 
     # intervals that meet in the first axis: neighbours hold the same or the next cell; then their boxes are compared
     boxes = blocks.select("block", "length", "low", "high", "first", "last")

@@ -85,3 +85,28 @@ def test_other_tokenizers_encode_whole_texts(tmp_path):
         assert encoder.by_words == apart
         got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts], name
+
+
+@pytest.mark.parametrize("least", [1.0, 0.999999, 0.99])
+def test_near_vectors_up_to_equal_directions(spark, least):
+    """Cosines up to 1 need few cells; copies, scaled copies and vectors a little apart are linked as brute force says."""
+    from bedwatch.llm.epsilon_join import near_vectors
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(-8, 9, size=(150, 5)).astype(float)
+    x[0] = 1
+    apart = x.copy()
+    apart[:, 0] += 1e-4
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, x, 4 * x, apart]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(df, least=least, block_rows=64).collect()}
+    v = np.array([r[1] for r in rows])
+    norm = np.linalg.norm(v, axis=1)
+    cos = (v @ v.T) / np.maximum(norm[:, None] * norm[None], 1e-300)
+    sure, open_ = cos >= least + 1e-12, np.abs(cos - least) < 1e-12  # either answer is right within rounding
+    usable = norm > 0
+    for k in range(len(v)):
+        low = sum(sure[k][j] for j in range(len(v)) if j != k and usable[j]) if usable[k] else 0
+        high = low + sum(open_[k][j] for j in range(len(v)) if j != k and usable[j] and not sure[k][j]) if usable[k] else 0
+        assert low <= got[k][0] <= high, k
+    assert got[0][0] >= 1 and got[150][1] == got[0][1] == 0
