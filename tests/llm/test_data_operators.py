@@ -5,12 +5,13 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from bedwatch.llm import compression_quality as cq
 from bedwatch.llm import mixing, resharding
 from bedwatch.llm.epsilon_join import near_vectors
-from bedwatch.llm.merge_dropout import Encoder, encode_documents
+from bedwatch.llm.merge_dropout import CHUNK, Encoder, encode_documents
 from bedwatch.llm.multi_index import nearest, traverse
 from bedwatch.llm.queries import QUERIES, vocabulary
 
@@ -295,10 +296,63 @@ def test_what_is_remembered_never_decides_the_draw():
     forgetful, other = Encoder(MODEL, dropout=0.3, remembered=1), Encoder(MODEL, dropout=0.3)
     other.encode(text, 4)
     assert forgetful.encode(text, 5) == other.encode(text, 5)
-    word = " internationalization"
-    for place in range(500):
-        draws = other.gaps(9, [place], np.arange(3)).tolist()
-        assert other._occurrence(word, *draws, 9, place) == other.segment(word, other.skips(9, place))[1]
+    text = " internationalization" * 500
+    assert other.encode(text, 9) == [i for ids in occurrences(other, text, 9) for i in ids]
+
+
+def occurrences(encoder, text, key):
+    """The ids of each chunk, run by itself with all its skips."""
+    key = xxhash.xxh3_64_intdigest(text.encode(), key + encoder.seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    for place, word in enumerate(CHUNK.findall(text)):
+        yield encoder.segment(word, encoder.skips(key, place))[1] if len(word) <= 64 else encoder.word(word, key + place)
+
+
+def plain_agenda(model, scores, word, skips):
+    """Merge the best scored neighbours, leftmost of equals, but for the candidates in ``skips``; every step looks at all pairs."""
+    parts, dead, taken = [(c, k) for k, c in enumerate(word.replace("▁", "\ud800").replace(" ", "▁"))], set(), 0
+    while True:
+        found = [(-scores[a[0] + b[0]], k) for k, (a, b) in enumerate(zip(parts, parts[1:]))
+                 if a[0] + b[0] in scores and (a, b) not in dead]
+        if not found:
+            break
+        at = min(found)[1]
+        if taken in skips:
+            dead.add((parts[at], parts[at + 1]))
+        else:
+            parts[at:at + 2] = [(parts[at][0] + parts[at + 1][0], parts[at][1])]
+        taken += 1
+    ids = []
+    for part, start in parts:
+        ids += [model.piece_to_id(part)] if part in scores else [
+            model.piece_to_id(f"<0x{b:02X}>") for b in word[start].encode()]
+    return taken, ids
+
+
+def test_agenda_equals_one_that_looks_at_all_pairs(documents):
+    import sentencepiece
+
+    model, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), np.random.default_rng(5)
+    scores = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size())
+              if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+    encoder = Encoder(MODEL, dropout=0.2, seed=1)
+    words = [" the", " ▁ab▁", "  é漢字🙂x", " \x00\ta\x00", " internationalization", "aaaaaaaa", " ", "   ", " straße\n\nin"]
+    words += [w for _, text, _ in documents[:3] for w in CHUNK.findall(text)[:40]]
+    draws = np.sort(rng.integers(0, 14, (len(words), 5)) + np.arange(5) * 3, axis=1)
+    taken, ids = encoder._runs(words, draws)
+    for k, word in enumerate(words):
+        want = plain_agenda(model, scores, word, set(draws[k].tolist()))
+        assert want == encoder.segment(word, sorted({*draws[k].tolist()}))
+        if len({*draws[k].tolist()}) == 5:
+            assert want == (taken[k], np.frombuffer(ids[k], "<i4").tolist())
+
+
+def test_whole_texts_equal_their_occurrences_one_by_one(documents):
+    texts = [text or "" for _, text, _ in documents[:60]] + ["", " ", "▁ ▁▁ a▁b", "🙂 漢字 x" * 50, "z" * 200, " the" * 17_000]
+    for dropout in (0.0, 0.1, 0.6):
+        encoder = Encoder(MODEL, dropout=dropout, seed=2, remembered=3000)
+        for key, (text, got) in enumerate(zip(texts, encoder.encode_many(texts, list(range(len(texts)))))):
+            assert got.tolist() == [i for ids in occurrences(encoder, text, key) for i in ids], (dropout, key)
+            assert encoder.decode(got.tolist()) == text
 
 
 def test_long_chunks_skip_at_the_given_rate():
