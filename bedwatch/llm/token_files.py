@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from bedwatch.llm.common import discard, stage, whole_text
+from bedwatch.llm.common import discard, kept, stage, whole_text
 from bedwatch.session import new_folder
 
 MAGIC = b"FVB1"
@@ -91,11 +91,13 @@ class WordIds:
     MARKS = b".,;:!?"
     SAMPLES = ("a", "licence", "internationalisation", "étaient", "straße", "añosćž")
 
-    def __init__(self, file: str, remembered: int = 400_000):
+    def __init__(self, file: str, remembered: int = 200_000):
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
-        self.tokenizer, self.known, self.remembered = Tokenizer.from_file(file), {}, remembered
+        self.tokenizer, self.remembered = Tokenizer.from_file(file), remembered
+        self.known: dict = {}
+        self.older: dict = {}  # what is met again goes back to ``known``, the rest is forgotten
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_words = (
@@ -126,10 +128,13 @@ class WordIds:
             return [np.array(found.ids, "<u4").tobytes()
                     for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.encode("utf-8").split() for t in texts]
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()  # bounded memory; forgetting costs time, never results
-        new, made_of = set().union(*split).difference(known), {}
+        if len(self.known) > self.remembered:  # bounded memory; forgetting costs time, never results
+            self.known, self.older = {}, self.known
+        known, made_of = self.known, {}
+        new = set().union(*split).difference(known)
+        again = new.intersection(self.older)
+        known.update(zip(again, map(self.older.__getitem__, again)))
+        new -= again
         learn = set()
         for word in new:
             small = word if b"<|" in word else word.lower()  # a special token is told by its case
@@ -166,7 +171,7 @@ def encoded_blocks(docs: DataFrame, file: str, end_id: int, block_ids: int, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        encoder, end = WordIds(file), np.array([end_id], "<u4").tobytes()
+        encoder, end = kept(file, "word ids", lambda: WordIds(file)), np.array([end_id], "<u4").tobytes()
         part, block, names, parts, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def row():
