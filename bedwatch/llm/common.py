@@ -41,24 +41,6 @@ def per_text(docs: DataFrame, make: Callable[[], Callable], fields: list[tuple[s
     return read.mapInArrow(run, ", ".join(["doc_id long", *[f"{name} {kind}" for name, kind, _ in fields]]))
 
 
-def kept(file: str, name: str, make: Callable):
-    """``make()``, kept by the Python worker for the tasks it runs later; only the last one is, and only while its file is as it was.
-
-    For objects that remember what they derived from a file: what is remembered saves time and never changes a result.
-    """
-    import os
-    import sys
-    import types
-
-    memory = sys.modules.setdefault("bedwatch_worker_memory", types.ModuleType("bedwatch_worker_memory"))
-    state = os.stat(file)
-    key = name, file, state.st_mtime_ns, state.st_size
-    if getattr(memory, "key", None) != key:
-        memory.key, memory.held = key, None
-        memory.held = make()
-    return memory.held
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
