@@ -31,7 +31,8 @@ KINDS = (
     Kind("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 24),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
     Kind("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
-    Kind("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27),
+    Kind("private_key", r"""-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:\s*Proc-Type:[^\n]*\s+DEK-Info:[^\n]*)?[A-Za-z0-9+/=\s\\]*+"""
+         r"""-----END [A-Z ]*PRIVATE KEY-----)?""", 0, 27),  # to its end; a header alone where there is none
 )
 
 
@@ -63,14 +64,21 @@ def spans_of(kind: Kind, rank: int) -> Column:
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None,
                owner: Column | None = None, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """(doc_id, repo, owner, spans): every row's spans by start, then kind as listed. Null texts have none."""
+    """(doc_id, text_hash, repo, owner, spans): every row's spans by start, then kind as listed. Null texts have none.
+
+    A span is (start, rank, stop, kind, size, hash): the secret itself, the last ``size`` characters of the span, is
+    hashed and never written anywhere.
+    """
+    text = whole_text(text_col)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), (F.lit(None) if repo is None else repo).cast("string").alias("repo"),
-        (F.lit(None) if owner is None else owner).cast("string").alias("owner"), whole_text(text_col).alias("text"))
-    rows = rows.select("doc_id", "repo", "owner",
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), (F.lit(None) if repo is None else repo).cast("string").alias("repo"),
+        (F.lit(None) if owner is None else owner).cast("string").alias("owner"), text.alias("text"))
+    rows = rows.select("doc_id", "text_hash", "repo", "owner",
                        *[spans_of(k, i).alias(f"k{i}") for i, k in enumerate(kinds)])
-    return rows.select("doc_id", "repo", "owner",
-                       F.array_sort(F.concat(*[f"k{i}" for i in range(len(kinds))])).alias("spans"))
+    found = F.array_sort(F.concat(*[f"k{i}" for i in range(len(kinds))]))
+    return rows.select("doc_id", "text_hash", "repo", "owner", F.transform(found, lambda s: F.struct(
+        s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"),
+        F.length(s["secret"]).alias("size"), F.sha2(s["secret"], 256).alias("hash"))).alias("spans"))
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -80,8 +88,8 @@ def ownership(spans: DataFrame) -> DataFrame:
     that fills a third of the corpus is a few rows by then. Unknown owners or repositories count as one each.
     """
     held = spans.select("owner", "repo", F.explode(F.array_distinct(F.transform(
-        "spans", lambda s: F.struct(s.kind.alias("kind"), s.secret.alias("secret"))))).alias("s")).select(
-        "owner", "repo", F.col("s.kind").alias("kind"), F.sha2("s.secret", 256).alias("hash"))
+        "spans", lambda s: F.struct(s["kind"].alias("kind"), s["hash"].alias("hash"))))).alias("s")).select(
+        "owner", "repo", "s.kind", "s.hash")
     each = held.groupBy("kind", "hash", "owner", "repo").agg(F.count("*").alias("places"))
     by_owner = each.groupBy("kind", "hash", "owner").agg(F.sum("places").alias("places"), F.count("*").alias("repos"))
     return by_owner.groupBy("kind", "hash").agg(
@@ -104,15 +112,15 @@ def scan_secrets(docs: DataFrame, repo: Column | None = None, owner: Column | No
     """One row per row of ``docs``: its spans, each with a verdict from the whole corpus.
 
     A secret held by ``example_owners`` distinct owners, ``example_repos`` repositories or ``example_places`` rows, or
-    more, is an ``example`` (copied from documentation or a template); one below all three is ``live``. Columns: row, doc_id, repo, owner, spans (start, rank, stop, kind,
-    secret), verdicts (start, rank, stop, kind, live, owners, repos, places). Null texts and texts without secrets have empty arrays; repeated rows
+    more, is an ``example`` (copied from documentation or a template); one below all three is ``live``. Columns: row, doc_id, text_hash, repo, owner, spans (start, rank,
+    stop, kind, size, hash), verdicts (start, rank, stop, kind, live, owners, repos, places). Null texts and texts without secrets have empty arrays; repeated rows
     come out repeated; a null doc_id stays null.
     """
     found = stage(find_spans(docs, id_col, text_col, repo, owner).withColumn(
         "row", F.monotonically_increasing_id()), "secret-spans")  # written, so the row numbers stay as they are
     known = ownership(found.filter(F.size("spans") > 0))
     hits = found.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s"))
-    hits = hits.select("row", "s", F.col("s.kind").alias("kind"), F.sha2("s.secret", 256).alias("hash"))
+    hits = hits.select("row", "s", "s.kind", "s.hash")
     judged = hits.join(known, ["kind", "hash"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "s.start", "s.rank", "s.stop", "s.kind", _is_live(example_owners, example_repos, example_places).alias("live"),
         "owners", "repos", "places")))
@@ -147,13 +155,19 @@ def redact(docs: DataFrame, repo: Column | None = None, owner: Column | None = N
     """
     found = stage(find_spans(docs, repo=repo, owner=owner).filter(F.size("spans") > 0), "secret-spans")
     live = ownership(found).filter(_is_live(example_owners, example_repos, example_places)).select("kind", "hash")
-    hits = found.select("doc_id", F.explode("spans").alias("s")).select(
-        "doc_id", F.col("s.kind").alias("kind"), F.sha2("s.secret", 256).alias("hash"), F.col("s.secret").alias("word"))
-    # rows sharing a doc_id share the list; a value that is not in a text changes nothing there
-    lists = hits.join(live, ["kind", "hash"]).groupBy("doc_id").agg(F.array_sort(
-        F.collect_set("word"), lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a))
-        .when(a < b, -1).when(a > b, 1).otherwise(0)).alias("__words")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(lists, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
+    hits = found.select("doc_id", "text_hash", F.explode("spans").alias("s")).select(
+        "doc_id", "text_hash", "s.kind", "s.hash", "s.stop", "s.size")
+    # rows equal in id and text share the list, so it is as long as the text has secrets
+    lists = hits.join(live, ["kind", "hash"]).groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.struct("stop", "size")).alias("__at")).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "__at")
+    joined = docs.join(lists, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+                       & (F.xxhash64(whole_text()) == F.col("__text")), "left")
+    words = F.array_distinct(F.transform("__at", lambda s: F.substring(
+        F.col("text"), s["stop"] - s["size"] + 1, s["size"])))
+    joined = joined.withColumn("__words", F.array_sort(
+        words, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a))
+        .when(a < b, -1).when(a > b, 1).otherwise(0)))
     clean = F.when(F.col("__words").isNull(), F.col("text")).otherwise(F.aggregate(
         "__words", F.col("text"), lambda t, w: F.replace(t, w, F.lit(mark))))
     changed = F.col("__words").isNotNull() & F.col("text").isNotNull()

@@ -319,3 +319,31 @@ def test_token_files_odd_rows(spark, odd_docs, no_docs):
     for a, b in zip(ordered, ordered[1:]):
         assert b["start"] == a["start"] + a["n_tokens"]
     assert read_token_files(spark, write_token_files(no_docs, file)).count() == 0
+
+
+def test_private_keys_are_told_apart_and_redacted_whole(spark):
+    def key(k, head="RSA "):
+        body = "\n".join(f"MIIEpAIBAAKCAQEA{k}{line}+/=" + "x" * 40 for line in range(30))
+        return f"-----BEGIN {head}PRIVATE KEY-----\n{body}\n-----END {head}PRIVATE KEY-----"
+
+    wrapped = key(9).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n", 1)
+    rows = [(k, f"é before {key(k)} after {k}", f"o{k}") for k in range(5)]
+    rows += [(10 + k, f"docs {key('same')} end", f"o{k}") for k in range(5)]  # an example of five owners
+    rows += [(20, f"a {wrapped} b", "o0"), (21, "-----BEGIN PRIVATE KEY----- no end. " * 3, "o1"),
+             (None, f"n {key(30)} n", "o2"), (None, f"m {key(31, '')} m", "o2"), (22, key(40) + key(41), "o3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    clean = {(r["doc_id"], r["source"], r["text"]) for r in secrets.redact(docs, owner=F.col("source")).collect()}
+    want = {(k, f"o{k}", f"é before <secret> after {k}") for k in range(5)}
+    want |= {(10 + k, f"o{k}", f"docs {key('same')} end") for k in range(5)}
+    want |= {(20, "o0", "a <secret> b"), (None, "o2", "n <secret> n"), (None, "o2", "m <secret> m"), (22, "o3", "<secret><secret>")}
+    assert {c for c in clean if c[0] != 21} == want
+    spans = {r["doc_id"]: r for r in secrets.scan_secrets(docs, owner=F.col("source")).collect() if r["doc_id"] is not None}
+    found = [s for s in spans[3]["spans"] if s["kind"] == "private_key"]
+    assert [(s["start"], s["stop"]) for s in found] == [(9, 9 + len(key(3)))]
+
+
+def test_no_secret_is_staged_in_clear(spark):
+    docs = spark.createDataFrame([(1, "password = hunter2hunter2hunter2")], "doc_id long, text string")
+    found = secrets.find_spans(docs)
+    assert "secret" not in found.schema.simpleString()
+    assert not any("hunter2" in str(r) for r in found.collect())
