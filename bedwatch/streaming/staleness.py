@@ -10,18 +10,23 @@ patient silent, resolved at the first one that finds windows again, never opened
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from datetime import datetime, timezone
 from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from bedwatch.config import ALERT_TYPE_STALE, DEFAULTS, Settings, TEXT_STALE
 from bedwatch.sinks.tables import latest_rows, write_changes
 
+# The processor, and what it uses, goes to the Python workers whole: they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ALERT_KEYS = ("patient_id", "triggered_at")
 COMPACT_EVERY = 100
 #: stands for the clock among the patients; their own ids are never empty

@@ -1,9 +1,12 @@
 """The timer per patient against a check of everybody at every instant."""
 
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from bedwatch.config import DEFAULTS
@@ -101,3 +104,17 @@ def test_stream_over_several_starts(spark, folder):
             want[patient, (opened - START) // 1000] = resolved >= 0
     assert got == want
     assert {("never", 0): False, ("quiet", 120): False, ("back", 120): True}.items() <= got.items()
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """What is sent to a Python worker is rebuilt and used where bedwatch cannot be imported."""
+    checks = st.Checks(T0, 30)
+    sent = cloudpickle.dumps((st.silence_processor(checks, 60_000), st._once_per_window, st.Silence(listed=True), checks))
+    (tmp_path / "sent").write_bytes(sent)
+    use = ("import importlib.util, pickle; assert importlib.util.find_spec('bedwatch') is None; "
+           "p, once, s, c = pickle.load(open('sent', 'rb')); at = s.next_check(c, 60_000); "
+           "print(type(p).__name__, once.__name__, s.after_check(at, 60_000)[1])")
+    # -I: neither PYTHONPATH nor the folder of the call is searched
+    said = subprocess.run([sys.executable, "-I", "-c", use], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr
+    assert said.stdout.split() == ["Processor", "_once_per_window", f"({START},", "-1)"]
