@@ -89,6 +89,8 @@ def as_payload(events: DataFrame) -> DataFrame:
 
 
 SLICES = 8
+#: a file is read by one task, so a slice has as many files as its rows are worth
+ROWS_PER_FILE = 50_000
 
 
 def bounds_of(df: DataFrame, time: str) -> tuple:
@@ -107,12 +109,14 @@ def slice_of(time: str, bounds: tuple):
 def streamed(df: DataFrame, number, label: str, slices: int = SLICES) -> DataFrame:
     """``df`` as a stream that gives one slice per micro-batch, in the order of ``number``; empty slices are batches too.
 
-    Written once by all tasks, a large slice by several. The file source goes by the time of modification and
+    Written once by all tasks, a large slice by several, in files of ``ROWS_PER_FILE`` rows at most: a batch of one file would
+    be one task, however many rows it has. The file source goes by the time of modification and
     takes a fixed number of files at a time, so the files of a slice get its time, and empty ones up to the same number.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.withColumn("_slice", number).hint("rebalance", "_slice").write.partitionBy("_slice").parquet(path)
+    df.withColumn("_slice", number).hint("rebalance", "_slice").write.option(
+        "maxRecordsPerFile", ROWS_PER_FILE).partitionBy("_slice").parquet(path)
     spark.createDataFrame([], df.schema).coalesce(1).write.parquet(f"{path}-empty")
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)
