@@ -64,13 +64,14 @@ def _state_schema(summaries: DataFrame) -> T.StructType:
                          T.StructField("episodes", T.ArrayType(T.StructType(episode)))])
 
 
-def _state_before(log: BucketLog, batch: DataFrame, batch_id: int, schema: T.StructType) -> DataFrame | None:
-    """The stored episodes of this batch's keys as of the batch before; only the buckets of these keys are read."""
-    spark = batch.sparkSession
-    keys = batch.select(*BREACH_KEYS).distinct()
-    touched = sorted(r["bucket"] for r in keys.select(log.bucket().alias("bucket")).distinct().collect())  # the buckets at most
+def _state_before(log: BucketLog, rows: DataFrame, batch_id: int, schema: T.StructType) -> DataFrame | None:
+    """The stored episodes of the keys in ``rows`` as of the batch before; only the buckets of these keys are read."""
+    spark = rows.sparkSession
+    touched = sorted(r["bucket"] for r in rows.select(log.bucket().alias("bucket")).distinct().collect())  # the buckets at most
     known = log.read(spark, schema, touched, batch_id) if touched else None
-    return None if known is None else known.join(keys, list(BREACH_KEYS), "left_semi").select(*BREACH_KEYS, F.inline("episodes"))
+    if known is None:
+        return None
+    return known.join(rows.select(*BREACH_KEYS), list(BREACH_KEYS), "left_semi").select(*BREACH_KEYS, F.inline("episodes"))
 
 
 def _kept(merged: DataFrame, cfg: Settings) -> DataFrame:
@@ -114,25 +115,31 @@ def alert_writer(path: str, cfg: Settings = DEFAULTS) -> Callable[[DataFrame, in
     """``foreachBatch`` function maintaining the alerts under ``path``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.DISK_ONLY)
+        # Without acknowledgements the state has no say in the summaries: they are made in one pass over the
+        # batch, and kept in its place.
+        acked = "acked_at" in batch.columns
+        rows = batch if acked else breach_summaries(batch.filter("kind = 'breach'"), None, cfg)
+        rows = rows.persist(StorageLevel.DISK_ONLY)
         try:
-            _write_batch(spark, batch, batch_id)
+            _write_batch(rows, acked, batch_id)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
-    def _write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        log, breaches = _state_log(path, cfg), batch.filter("kind = 'breach'")
-        state = _state_before(log, batch, batch_id, _state_schema(breach_summaries(breaches, None, cfg)))
+    def _write_batch(rows: DataFrame, acked: bool, batch_id: int) -> None:
+        """``rows`` are the batch if it has acknowledgements, else its summaries."""
+        log, spark = _state_log(path, cfg), rows.sparkSession
+        plain = breach_summaries(rows.filter("kind = 'breach'"), None, cfg) if acked else rows
+        state = _state_before(log, rows, batch_id, _state_schema(plain))
         acks = None
-        if "acked_at" in batch.columns:
-            acks = batch.filter("kind = 'ack'").select(*ACK_COLUMNS)
+        if acked:
+            acks = rows.filter("kind = 'ack'").select(*ACK_COLUMNS)
             write_changes(acks, f"{path}/acks", batch_id, (*ALERT_KEYS, "acked_at"), COMPACT_EVERY)
             if state is not None:
                 kept = state.filter(F.col("acked_at").isNotNull()).select(
                     *BREACH_KEYS, F.col("first.event_time").alias("triggered_at"), "acked_at")
                 acks = acks.unionByName(kept, allowMissingColumns=True)
-        merged = _merge(breach_summaries(breaches, acks, cfg), state, acks, cfg).persist(StorageLevel.DISK_ONLY)
+        summaries = breach_summaries(rows.filter("kind = 'breach'"), acks, cfg) if acked else rows
+        merged = _merge(summaries, state, acks, cfg).persist(StorageLevel.DISK_ONLY)
         gone = merged.select("*", F.explode("_knowns").alias("_old")).filter(
             F.col("_old") != F.col("first.event_time"))
         changes = episode_rows(merged.filter("_changed"), cfg, "acked_at").withColumn("deleted", F.lit(False))

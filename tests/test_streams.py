@@ -315,3 +315,21 @@ def test_a_replayed_correction_gives_the_same(spark, folder):
     assert sorted(map(tuple, corrected_windows(spark, folders).collect()), key=str) == once
     write(archived.limit(0), 1)
     assert sorted(map(tuple, corrected_windows(spark, folders).collect()), key=str) == once
+
+
+def test_a_batch_keeps_its_summaries_not_its_breaches(spark, folder, monkeypatch):
+    """Without acknowledgements what is stored between the steps of a batch grows with its episodes, not its rows."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") / 1000)
+    rows = spark.range(3000).select(
+        F.lit("p").alias("patient_id"), F.col("id").alias("event_id"), at.alias("event_time"), F.lit(200.0).alias("heart_rate"),
+        F.lit(97.0).alias("spo2"), F.lit(120.0).alias("systolic_bp"), F.lit(80.0).alias("diastolic_bp"), F.lit(36.8).alias("temperature"))
+    kept, persist = [], type(rows).persist
+
+    def counted(df, *level):
+        kept.append(df.count())
+        return persist(df, *level)
+
+    monkeypatch.setattr(type(rows), "persist", counted)
+    sa.alert_writer(folder + "/alerts")(sa.alert_inputs(rows), 0)
+    assert kept and max(kept) < 10
+    assert [r["occurrences"] for r in sa.read_alerts(spark, folder + "/alerts").collect()] == [3000]
