@@ -38,6 +38,8 @@ def replace_days(rows: DataFrame, path: str, day: str = "simulated_day", days: S
 
 def clear_days(rows: DataFrame, path: str, day: str, days: Sequence[int], folder: str) -> None:
     """Remove the stored folders of those ``days`` that ``rows`` has nothing for; a run has few days."""
+    if not days:  # looking for the days of ``rows`` would compute them once more
+        return
     spark = rows.sparkSession
     left = set(days) - {r[0] for r in rows.select(day).distinct().collect()}
     for number in left.intersection(numbered_folders(spark, path, folder)):
