@@ -15,7 +15,7 @@ from bedwatch.sinks.tables import (
 from bedwatch.operators.health import run_totals
 from bedwatch.session import stage, temporary_stages
 from bedwatch.sources.labs import (
-    available_days, flatten_reports, lab_periods, read_lab_files, rejected_reports, without_bounds,
+    available_days, flatten_reports, lab_periods, read_lab_files, rejected_reports, with_time, without_bounds,
 )
 from bedwatch.sources.readings import dedupe_readings, scan_archive
 
@@ -62,18 +62,20 @@ def run_days(spark: SparkSession, days: list[int], lab_folder: str, archive: str
     Staged tables are removed at the end.
     """
     with temporary_stages(spark):
-        reports = stage(read_lab_files(spark, lab_folder, days), "lab-reports")
+        reports = stage(with_time(read_lab_files(spark, lab_folder, days)), "lab-reports")
         rejects = stage(rejected_reports(reports), "lab-rejects")
-        labs = stage(latest_labs(flatten_reports(reports)), "labs")
-        kept = labs.select("patient_id", "test_type", "result_value", "reference_min", "reference_max",
-                           "is_abnormal", "collected_at", "simulated_day")
-        upsert_days(kept, lab_table, LAB_KEYS, staged=True)
+        labs = stage(latest_labs(flatten_reports(reports)).select(
+            "patient_id", "test_type", "result_value", "reference_min", "reference_max",
+            "is_abnormal", "collected_at", "simulated_day"), "labs")
+        upsert_days(labs, lab_table, LAB_KEYS, staged=True)
         if reject_table:
             replace_days(rejects, reject_table, days=days)
         periods = stage(lab_periods(reports, cfg), "periods")
         first, last = periods.agg(F.min("period_start"), F.max("period_end")).first()
         readings = scan_archive(spark, archive, first, last)
-        stored = spark.read.schema(kept.schema).parquet(lab_table).filter(F.col("simulated_day").isin(days))
+        # a day is few files, and scoring is the work: it is done behind the shuffle that grouping needs anyhow
+        stored = spark.read.schema(labs.schema).parquet(lab_table).filter(
+            F.col("simulated_day").isin(days)).repartition(*RISK_KEYS)
         risk = stage(score_days(readings, stored, periods, cfg), "risk")
         upsert_days(risk, risk_table, RISK_KEYS, staged=True)
         if metrics_table:
@@ -111,7 +113,7 @@ def catch_up(spark: SparkSession, lab_folder: str, archive: str, lab_table: str,
     with temporary_stages(spark):
         report = stage(daily_report(stored, patients, todo), "report")
         export_report_csv(report, f"{report_folder}/csv", todo)
-        export_documents_json(stage(report_documents(report), "documents"), f"{report_folder}/json", todo)
+        export_documents_json(report_documents(report), f"{report_folder}/json", todo, report)
     # last, so that a run that broke off is done again
     replace_days(spark.createDataFrame([(d,) for d in todo], "simulated_day int").withColumn(
         "finished_at", F.current_timestamp()), finished_table)

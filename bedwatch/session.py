@@ -99,6 +99,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     store.delete(folder, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """``source`` in the place of ``target``, which need not exist."""
+    store, folder = _at(spark, target)
+    store.delete(folder, True)
+    store.mkdirs(folder.getParent())
+    if not store.rename(_at(spark, source)[1], folder):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def numbered_folders(spark: SparkSession, path: str, key: str) -> list[int]:
     """The numbers n of the folders ``path``/key=n, ascending; none if there is no such path."""
     store, folder = _at(spark, path)

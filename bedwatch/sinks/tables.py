@@ -37,7 +37,10 @@ def replace_days(rows: DataFrame, path: str, day: str = "simulated_day", days: S
 
 
 def clear_days(rows: DataFrame, path: str, day: str, days: Sequence[int], folder: str) -> None:
-    """Remove the stored folders of those ``days`` that ``rows`` has nothing for; a run has few days."""
+    """Remove the stored folders of those ``days`` that ``rows`` has nothing for; a run has few days.
+
+    Only the days of ``rows`` matter, so it may be what the stored rows were made from.
+    """
     if not days:  # looking for the days of ``rows`` would compute them once more
         return
     spark = rows.sparkSession
@@ -50,11 +53,11 @@ def upsert_days(rows: DataFrame, path: str, keys: Sequence[str], day: str = "sim
                 staged: bool = False) -> None:
     """Insert or replace by key inside day partitions; ``rows`` must be unique on the keys.
 
-    Stored rows of the touched days whose key is not in ``rows`` are kept. The
-    merged days are staged first, because a plan must not read the partitions
+    Stored rows of the touched days whose key is not in ``rows`` are kept. They
+    are staged first, because a plan must not read the partitions
     it overwrites; so are the input rows, which are read several times, unless
     the caller has already stored them. The first and last touched day prune
-    partitions before anything is read.
+    partitions before anything is read; where nothing is stored there, nothing is compared.
     """
     spark = rows.sparkSession
     with temporary_stages(spark):
@@ -63,9 +66,10 @@ def upsert_days(rows: DataFrame, path: str, keys: Sequence[str], day: str = "sim
         if stored is not None:
             first, last = rows.agg(F.min(day), F.max(day)).first()
             near = stored.filter(F.col(day).between(first, last)) if first is not None else stored.limit(0)
-            touched = near.join(rows.select(day).distinct(), day, "left_semi")
-            kept = touched.join(rows.select(*keys), list(keys), "left_anti")
-            rows = stage(rows.unionByName(kept, allowMissingColumns=True), "upsert-merged")
+            if not near.isEmpty():
+                touched = near.join(rows.select(day).distinct(), day, "left_semi")
+                kept = touched.join(rows.select(*keys), list(keys), "left_anti")
+                rows = rows.unionByName(stage(kept, "upsert-kept"), allowMissingColumns=True)
         replace_days(rows, path, day)
 
 
@@ -157,7 +161,11 @@ def export_report_csv(report: DataFrame, path: str, days: Sequence[int] = ()) ->
     clear_days(report, path, "simulated_day", days, "day")
 
 
-def export_documents_json(documents: DataFrame, path: str, days: Sequence[int] = ()) -> None:
-    """Report documents as JSON lines in a folder per day; none for those of ``days`` without documents."""
+def export_documents_json(documents: DataFrame, path: str, days: Sequence[int] = (),
+                          report: DataFrame | None = None) -> None:
+    """Report documents as JSON lines in a folder per day; none for those of ``days`` without documents.
+
+    Given the ``report`` they were made of, its days are looked at, and the documents are computed once.
+    """
     _by_day(documents).json(path)
-    clear_days(documents, path, "simulated_day", days, "day")
+    clear_days(documents if report is None else report, path, "simulated_day", days, "day")

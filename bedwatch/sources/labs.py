@@ -82,7 +82,10 @@ def _report_reason() -> Column:
     )
 
 
-def _with_time(reports: DataFrame) -> DataFrame:
+def with_time(reports: DataFrame) -> DataFrame:
+    """Reports with their time as ``collected_ts``, read from the text once; null where it is none."""
+    if "collected_ts" in reports.columns:
+        return reports
     is_text = isinstance(reports.schema["collected_at"].dataType, T.StringType)
     ts = F.try_to_timestamp("collected_at") if is_text else F.col("collected_at").cast("timestamp")
     return reports.withColumn("collected_ts", ts)
@@ -91,9 +94,9 @@ def _with_time(reports: DataFrame) -> DataFrame:
 def _exploded(reports: DataFrame) -> DataFrame:
     # The outer form keeps the optimizer from adding a "size(tests) > 0" filter, which would
     # compute a derived array twice; reports without tests drop out on the missing position.
-    carried = [c for c in reports.columns if c not in ("tests", "collected_at")]
+    carried = [c for c in reports.columns if c not in ("tests", "collected_at", "collected_ts")]
     tests = (
-        _with_time(reports).filter(_report_reason().isNull())
+        with_time(reports).filter(_report_reason().isNull())
         .select(*carried, F.col("collected_ts").alias("collected_at"),
                 F.posexplode_outer("tests").alias("test_pos", "test"))
         .filter(F.col("test_pos").isNotNull())
@@ -116,20 +119,18 @@ def flatten_reports(reports: DataFrame) -> DataFrame:
 def rejected_reports(reports: DataFrame) -> DataFrame:
     """One row per unusable report or test with the reason (quarantine).
 
-    One pass: a report gives an array of reasons, its own or those of its tests.
+    One pass over the tests: a report that is unusable as a whole is told at its first test, or where it has none.
     """
-    timed = _with_time(reports).withColumn("_reason", _report_reason())
-    at = "struct<test_pos:int,reject_reason:string>"
-    test_reason = F.transform("tests", lambda t, i: F.struct(
-        i.cast("int").alias("test_pos"),
-        F.when(t["test_type"].isNull(), F.lit("missing_test_type"))
-        .when(t["result_value"].isNull() | F.isnan(t["result_value"]), F.lit("missing_value"))
-        .alias("reject_reason")))
-    own = F.array(F.struct(F.lit(None).cast("int").alias("test_pos"), F.col("_reason").alias("reject_reason")))
-    reasons = F.when(F.col("_reason").isNotNull(), own.cast(f"array<{at}>")).otherwise(
-        F.filter(test_reason, lambda r: r["reject_reason"].isNotNull()).cast(f"array<{at}>"))
-    return timed.select("report_id", "simulated_day", F.explode_outer(reasons).alias("r")).filter(
-        F.col("r").isNotNull()).select("report_id", "simulated_day", "r.*")
+    at, test = F.col("_pos"), F.col("_test")
+    own, test_reason = F.col("_reason").isNotNull(), (
+        F.when(at.isNull(), F.lit(None))
+        .when(test["test_type"].isNull(), F.lit("missing_test_type"))
+        .when(test["result_value"].isNull() | F.isnan(test["result_value"]), F.lit("missing_value")))
+    reason = F.when(own, F.when(at.isNull() | (at == 0), F.col("_reason"))).otherwise(test_reason)
+    return with_time(reports).withColumn("_reason", _report_reason()).select(
+        "report_id", "simulated_day", "_reason", F.posexplode_outer("tests").alias("_pos", "_test")
+    ).select("report_id", "simulated_day", F.when(~own, at).alias("test_pos"), reason.alias("reject_reason")).filter(
+        F.col("reject_reason").isNotNull())
 
 
 def without_bounds(labs: DataFrame) -> DataFrame:
@@ -145,7 +146,7 @@ def lab_periods(reports: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """
     length = F.make_dt_interval(secs=F.lit(cfg.period_seconds))
     return (
-        _with_time(reports).filter(_report_reason().isNull())
+        with_time(reports).filter(_report_reason().isNull())
         .groupBy("simulated_day")
         .agg(F.max("collected_ts").alias("period_end"), F.count("*").alias("reports"))
         .withColumns({

@@ -18,7 +18,7 @@ from bedwatch.functions.vitals import breaches_any, vital_status
 from bedwatch.operators import alerts as al, changes, counters, episodes, features as fe, health, panel, risk as rk
 from bedwatch.operators import rules, staleness as st, windows as wn
 from bedwatch.plans import daily, health as hp, reports as rp, ward
-from bedwatch.session import new_folder, stage
+from bedwatch.session import move_folder, new_folder, numbered_folders, stage
 from bedwatch.sinks import tables as tb
 from bedwatch.sources import labs as lb, patients as pt, readings as rd
 from bedwatch.streaming import speed_layer as sl, staleness as sst
@@ -349,10 +349,7 @@ def run_totals(spark, sf):
 def _daily_job(spark, sf):
     """Lab files and an archive for the job: day 4 has reports nobody can be given, days 5 and 6 come as lines."""
     root, reports = _daily_inputs(spark, sf)
-    for day in [r[0] for r in reports.select("simulated_day").distinct().orderBy("simulated_day").collect()]:
-        given = F.when(F.lit(day) != 4, F.col("patient_id")).alias("patient_id")
-        reports.filter(F.col("simulated_day") == day).withColumn("patient_id", given).write.json(
-            lb.lab_lines_path(f"{root}/labs", day))
+    _deliver(reports.withColumn("patient_id", F.when(F.col("simulated_day") != 4, F.col("patient_id"))), root)
     patients = inp.patients(spark, sf).withColumn("patient_id", F.col("patient_id").cast("string"))
     steps = []
     while done := daily.catch_up(spark, f"{root}/labs", f"{root}/archive", f"{root}/lab_table", f"{root}/risk_table",
@@ -361,10 +358,18 @@ def _daily_job(spark, sf):
     return root, steps
 
 
+def _deliver(reports, root):
+    """The lab files of all days of ``reports``, in place of those already there; the rows are computed and written once."""
+    drop = new_folder(reports.sparkSession, "lab-drop")
+    reports.withColumn("day", F.col("simulated_day")).write.partitionBy("day").json(drop)
+    for day in numbered_folders(reports.sparkSession, drop, "day"):
+        move_folder(reports.sparkSession, f"{drop}/day={day}", lb.lab_lines_path(f"{root}/labs", day))
+
+
 def _daily_inputs(spark, sf):
     """The archive the job reads, and the reports of its lab files."""
     root = new_folder(spark, "daily-job")
-    labs = stage(inp.labs(spark, sf), "labs")
+    labs = inp.labs(spark, sf)
     test = F.struct("test_type", "result_value", F.lit("u").alias("unit"), "reference_min", "reference_max",
                     F.lit("").alias("reference_range"), "is_abnormal")
     taken = F.date_format(F.lit(inp.ORIGIN).cast("timestamp") + F.make_dt_interval(F.col("simulated_day") * 5),
@@ -385,20 +390,18 @@ def _daily_inputs(spark, sf):
 def run_days_risk(spark, sf):
     """Three days, of which the second has wrong values and reports of nobody at first; then it is corrected and run again."""
     root, reports = _daily_inputs(spark, sf)
-    reports = stage(reports.filter("simulated_day <= 3"), "reports")
+    reports = stage(reports.filter("simulated_day <= 3"), "reports", "simulated_day")
     wrong = F.transform("tests", lambda t: t.withField("result_value", t["result_value"] * 3 + 1))
-
-    def deliver(rows, day):
-        rows.filter(F.col("simulated_day") == day).write.mode("overwrite").json(lb.lab_lines_path(f"{root}/labs", day))
+    second = reports.filter("simulated_day = 2")
 
     def run(days):
         return daily.run_days(spark, days, f"{root}/labs", f"{root}/archive", f"{root}/lab_table", f"{root}/risk_table",
                               CFG, reject_table=f"{root}/rejects")
 
-    deliver(reports, 1), deliver(reports, 3)
-    deliver(reports.withColumn("tests", wrong).unionByName(reports.withColumn("patient_id", F.lit(None).cast("string"))), 2)
+    _deliver(reports.filter("simulated_day <> 2").unionByName(second.withColumn("tests", wrong)).unionByName(
+        second.withColumn("patient_id", F.lit(None).cast("string"))), root)
     run([1, 2, 3])
-    deliver(reports, 2)
+    _deliver(second, root)
     run([2])
     run([2])
     rejects = spark.read.schema("report_id string, simulated_day int").parquet(f"{root}/rejects").filter("simulated_day = 2")

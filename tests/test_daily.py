@@ -244,3 +244,61 @@ def test_catch_up_stores_the_totals_of_its_runs(spark, folder):
     totals = spark.read.parquet(f"{folder}/reports/metrics")
     assert totals.filter("metric_name = 'risk_reports_written'").count() == 2
     assert totals.filter("metric_name = 'last_simulated_day'").agg(F.max("metric_value")).first()[0] == 2.0
+
+
+RISK_ROW = "patient_id string, simulated_day int, score double"
+
+
+def test_an_upsert_stages_no_more_than_the_stored_rows_it_keeps(spark, folder, monkeypatch):
+    staged, plain = [], tb.stage
+    monkeypatch.setattr(tb, "stage", lambda df, label: staged.append(df.count()) or plain(df, label))
+
+    def upsert(*rows):
+        tb.upsert_days(spark.createDataFrame(rows, RISK_ROW), f"{folder}/risk", ["patient_id", "simulated_day"], staged=True)
+        return sorted(map(tuple, spark.read.parquet(f"{folder}/risk").select("patient_id", "simulated_day", "score").collect()))
+
+    upsert(("a", 1, 1.0), ("b", 1, 1.0), ("a", 3, 1.0))
+    assert upsert(("a", 4, 1.0), ("b", 4, 1.0))[-2:] == [("b", 1, 1.0), ("b", 4, 1.0)]
+    assert staged == []  # the days were new
+    assert upsert(("a", 1, 2.0), ("c", 1, 2.0), ("a", 3, 2.0)) == [
+        ("a", 1, 2.0), ("a", 3, 2.0), ("a", 4, 1.0), ("b", 1, 1.0), ("b", 4, 1.0), ("c", 1, 2.0)]
+    assert staged == [1]  # patient b of day 1
+
+
+def test_the_daily_job_computes_its_lab_reports_once(spark, folder):
+    """The inputs of ``catch_up_*`` and ``run_days_risk``: all days in one pass, a day again in place of its file before."""
+    from contract.queries import _deliver
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(day):
+        seen.add(1)
+        return day
+
+    days = spark.range(1, 13, 1, 2).select(
+        F.concat(F.lit("r"), "id").alias("report_id"),
+        F.udf(counted, "int")(F.pmod(F.col("id"), F.lit(3)).cast("int") + 1).alias("simulated_day"))
+    _deliver(days, folder)
+    read = [spark.read.json(lab_lines_path(f"{folder}/labs", d)).count() for d in (1, 2, 3)]
+    assert read == [4, 4, 4] and seen.value == 12
+    _deliver(spark.createDataFrame([("x", 2)], "report_id string, simulated_day int"), folder)
+    assert [spark.read.json(lab_lines_path(f"{folder}/labs", d)).count() for d in (1, 2, 3)] == [4, 1, 4]
+
+
+def test_a_report_time_is_read_from_its_text_once(spark):
+    from bedwatch.sources import labs as lb
+
+    test = ("Glucose", 144.0, "u", 70.0, 100.0, "", True)
+    rows = [("r1", "a", 1, "2026-09-30T12:00:00+00:00", [test, (None, 1.0, "u", 1.0, 2.0, "", None)]),
+            ("r2", "a", 1, "never", [test, test]), ("r3", None, 1, None, []), ("r4", "b", 1, "2026-09-30T12:00:00+00:00", None),
+            ("r5", "c", 1, "2026-09-30T12:00:00+00:00", [None, ("Sodium", float("nan"), "u", 1.0, 2.0, "", None)])]
+    reports = spark.createDataFrame(rows, lb.REPORT_SCHEMA).withColumn("report_seq", F.lit(0).cast("long"))
+    timed = lb.with_time(reports)
+    assert lb.with_time(timed) is timed
+    for made in (lb.flatten_reports, lb.rejected_reports, lb.lab_periods):
+        assert made(timed).schema == made(reports).schema and sorted(map(str, made(timed).collect())) == sorted(
+            map(str, made(reports).collect()))
+    assert sorted((r.report_id, r.test_pos, r.reject_reason) for r in lb.rejected_reports(timed).filter("test_pos is not null").collect()) == [
+        ("r1", 1, "missing_test_type"), ("r5", 0, "missing_test_type"), ("r5", 1, "missing_value")]
+    assert sorted((r.report_id, r.reject_reason) for r in lb.rejected_reports(timed).filter("test_pos is null").collect()) == [
+        ("r2", "bad_collected_at"), ("r3", "missing_patient")]
