@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -84,11 +85,12 @@ class WordIds:
     says so. With any other tokenizer whole texts are encoded by it. The known one drops white space and never joins across it, so a text's ids are those of its words in a row; words
     are split at ASCII white space only, which every such tokenizer treats as white space. It also lower-cases, and
     parts letters and digits from the punctuation behind them, so a word is looked up in small letters and without
-    its last marks before it is encoded. A word of Latin letters only is one unit that no normaliser changes but for its
+    its last marks (ASCII ones behind an ASCII letter or digit are one piece of their own) before it is encoded. Texts are split, and their words counted as distinct ones and put
+    in place, as Arrow columns; only distinct words pass through Python. A word of Latin letters only is one unit that no normaliser changes but for its
     case: it goes to the tokenizer's model at once, if samples show that this gives the ids of the whole tokenizer.
     """
 
-    MARKS = b".,;:!?"
+    MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
     SAMPLES = ("a", "licence", "internationalisation", "étaient", "straße", "añosćž")
 
     def __init__(self, file: str, remembered: int = 400_000):
@@ -120,45 +122,75 @@ class WordIds:
     def _unit(self, word: str) -> list[int]:
         return [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.bytes_of))]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.by_words:
+            texts = texts if isinstance(texts, list) else texts.to_pylist()
             return [np.array(found.ids, "<u4").tobytes()
                     for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.encode("utf-8").split() for t in texts]
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()  # bounded memory; forgetting costs time, never results
-        new, made_of = set().union(*split).difference(known), {}
-        learn = set()
-        for word in new:
-            small = word if b"<|" in word else word.lower()  # a special token is told by its case
-            core = small.rstrip(self.MARKS)
-            if len(core) < len(small) and core[-1:].isalnum() and b"<|" not in word:
-                made_of[word] = pair = core, small[len(core):]
-                learn.update(pair)
-            else:
-                learn.add(small)
-                if small != word:
-                    made_of[word] = small, b""
-        self._learn(learn.difference(known))
-        known[b""] = b""
-        for word, (core, marks) in made_of.items():
-            known[word] = known[core] + known[marks]
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    def _learn(self, words: set[bytes]) -> None:
-        others = []
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        ids = pa.array(self._word_ids(words.dictionary), pa.large_binary()).take(words.indices)
+        # the ids of a text's words lie behind each other: its own begin and end where its words do
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])].tolist()
+        data = ids.buffers()[2]
+        data = memoryview(data) if data is not None else b""
+        return [bytes(data[low:high]) for low, high in zip(bounds, bounds[1:])]
+
+    def _word_ids(self, words: pa.Array) -> list[bytes]:
+        """The ids of each of these words: those of its core, then those of the marks behind it."""
+        special = pc.match_substring(words, "<|")  # a special token is told by its case
+        small = pc.if_else(special, words, pc.ascii_lower(words))
+        core = pc.ascii_rtrim(small, characters=self.MARKS)
+        parted = pc.and_(pc.match_substring_regex(core, "[0-9a-z]$"), pc.invert(special))
+        cores = pc.if_else(parted, core, small).dictionary_encode()
+        units = self._known(_listed(cores.dictionary))
+        found = [units[k] for k in _listed(cores.indices)]
+        marked = np.nonzero(pc.and_(parted, pc.not_equal(core, small)).to_numpy(zero_copy_only=False))[0]
+        marks = [w[n:] for w, n in zip(_listed(small.take(marked)), _listed(pc.utf8_length(core.take(marked))))]
+        kinds = list(set(marks))
+        ids_of = dict(zip(kinds, self._known(kinds)))
+        for k, mark in zip(marked.tolist(), marks):
+            found[k] += ids_of[mark]
+        return found
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of each of these distinct words, remembered ones or new ones."""
+        if len(self.known) > self.remembered:
+            self.known.clear()  # bounded memory; forgetting costs time, never results
+        self._learn([w for w in words if w not in self.known])
+        return [self.known[w] for w in words]
+
+    def _learn(self, words: list[str]) -> None:
+        others, known = [], self.known
         for word in words:
-            text = word.decode("utf-8")
-            if self.direct and text.isalpha() and max(text) < "\u0250" and (small := text.lower()).isalpha():
-                self.known[word] = array("I", self._unit(small)).tobytes()
+            if self.direct and word.isalpha() and (
+                    word.isascii() or max(word) < "\u0250" and word.lower().isalpha()):
+                known[word] = array("I", self._unit(word.lower())).tobytes()
             else:
-                others.append(text)
+                others.append(word)
         for at in range(0, len(others), 2048):
             some = others[at:at + 2048]
-            for text, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[text.encode("utf-8")] = np.array(found.ids, "<u4").tobytes()
+            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[word] = array("I", found.ids).tobytes()
+
+
+def _listed(values: pa.Array) -> list:
+    """``to_pylist`` of values without nulls, several times as fast."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def by_size(texts: pa.Array, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts of about ``size`` bytes together, one text at least."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(ends, before + size, "right")) - at)
+        yield at, n
+        at += n
 
 
 def encoded_blocks(docs: DataFrame, file: str, end_id: int, block_ids: int, id_col: str, text_col: str) -> DataFrame:
@@ -180,9 +212,9 @@ def encoded_blocks(docs: DataFrame, file: str, end_id: int, block_ids: int, id_c
                 names=["part", "block", "doc_ids", "lengths", "width", "ids"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
+            for at, n in by_size(batch.column(1)):
+                some = batch.slice(at, n)
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1))):
                     names.append(doc_id)
                     parts.append(ids + end)
                     held += len(parts[-1]) // 4

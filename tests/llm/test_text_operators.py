@@ -347,3 +347,30 @@ def test_no_secret_is_staged_in_clear(spark):
     found = secrets.find_spans(docs)
     assert "secret" not in found.schema.simpleString()
     assert not any("hunter2" in str(r) for r in found.collect())
+
+
+def test_word_ids_learn_a_core_once_whatever_marks_follow_and_agree_on_odd_texts():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from bedwatch.llm.queries import vocabulary
+    from bedwatch.llm.token_files import WordIds, by_size
+
+    file = vocabulary("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(file), WordIds(file)
+    encoder.encode(["Ward ward$$$ WARD*** ward.### ward's ward'"])
+    assert {w for w in encoder.known if w.startswith("ward")} == {"ward", "ward's"}
+
+    rnd = random.Random(7)
+    parts = ["ward", "Été", "STRASSE", "straße", "İ", "Σας", "é", "3", "42", "'s", "'", "$$$", "***", "<|", "|>", "<|endoftext|>",
+             "<|ENDOFTEXT|>", " ", " ", "̸", "=", "<", "\x00", "\x01", "\x1c", "\x1f", "\x85", "日本", "🙂", "_", "\\", "^", "`", "ǅ", "ª"]
+    texts = ["".join(rnd.choice(parts + [" ", "\n", "\t", "\x0b", "\x0c", "\r"]) for _ in range(rnd.randrange(14))) for _ in range(3000)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want and encoder.encode(pa.array(texts, pa.large_string())) == want
+    assert encoder.encode([]) == [] and encoder.encode(["", " "]) == [b"", b""]
+    for size in (1, 50, 1 << 20):
+        runs = list(by_size(pa.array(texts), size))
+        assert [at for at, _ in runs] == [sum(n for _, n in runs[:k]) for k in range(len(runs))] and sum(n for _, n in runs) == 3000
+        assert all(n == 1 or sum(len(t.encode()) for t in texts[at:at + n]) <= size for at, n in runs)
