@@ -18,9 +18,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bedwatch.llm.common import discard, stage
 
 #: anchors bounded together; the rows left are those that one of them may need
-TOGETHER = 16
+TOGETHER = 64
+#: rows that the first results are taken from
+FEW = 512
+#: no score, and no limit: less than every score; its negative is more than every score
+NONE = -np.iinfo(np.int64).max
+#: whole numbers below this are exact in single precision
+SINGLE = 2.0 ** 24
 #: components are counted in 1/256 and rounded down
 SCALE = 256
+#: groups of blocks of rows that anchors meet, at least; clusters of many cores get more
+GROUPS = 24
 BLOCK = "block long, length int, n int, keys binary, labels binary, vectors binary"
 
 
@@ -43,9 +51,10 @@ def summaries(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarra
 
 
 class Rows(NamedTuple):
-    keys: np.ndarray  # the rows' ids, or the anchors' numbers
+    keys: np.ndarray  # ascending ids
     labels: np.ndarray
     vectors: np.ndarray  # whole numbers as int64
+    floats: np.ndarray  # the same, as float32 if that holds them exactly
     levels: list[tuple[np.ndarray, np.ndarray]]
     scale: float  # the longest vector, for the slack of bounds
 
@@ -55,99 +64,153 @@ class Rows(NamedTuple):
         width = len(vectors) // max(1, len(names) * length)
         v = np.frombuffer(vectors, f"i{width or 8}").reshape(len(names), length).astype(np.int64)
         f = v.astype(np.float64)
-        return cls(names, np.frombuffer(labels, np.int64), v, [summaries(f, n) for n in _levels(length)],
-                   float(np.sqrt((f ** 2).sum(1).max(initial=0.0))))
+        scale = float(np.sqrt((f ** 2).sum(1).max(initial=0.0)))
+        kind = np.float32 if scale < SINGLE else np.float64
+        return cls(names, np.frombuffer(labels, np.int64), v, f.astype(kind),
+                   [tuple(x.astype(kind) for x in summaries(f, n)) for n in _levels(length)], scale)
 
-    def exact(self, mine: slice, other: "Rows", rows: np.ndarray) -> np.ndarray:
-        a, b = self.vectors[mine], other.vectors[rows]
-        if self.scale * other.scale < 2.0 ** 52:  # no partial sum is larger than the product of the lengths
-            return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-        return a @ b.T
+    def part(self, rows: np.ndarray | slice) -> "Rows":
+        return Rows(self.keys[rows], self.labels[rows], self.vectors[rows], self.floats[rows],
+                    [(m[rows], d[rows]) for m, d in self.levels], self.scale)
 
+    def exact(self, mine: np.ndarray | slice, other: "Rows", rows: np.ndarray | slice) -> np.ndarray:
+        """Scores as whole numbers, of the smallest type that holds them."""
+        most = self.scale * other.scale  # no partial sum is larger than the product of the lengths
+        if most < 2.0 ** 52:
+            kind = np.float32 if most < SINGLE else np.float64
+            return self.floats[mine].astype(kind, copy=False) @ other.floats[rows].astype(kind, copy=False).T
+        return self.vectors[mine] @ other.vectors[rows].T
 
-def _left(anchors: Rows, mine: slice, rows: Rows, able: np.ndarray, needed) -> tuple[np.ndarray, np.ndarray, list[int]]:
+
+def _left(anchors: Rows, mine: np.ndarray | slice, rows: Rows, able: np.ndarray, needed) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """(rows that some anchor of ``mine`` may need, which anchor may need them, rows left after each level).
 
     ``able`` says which pairs may be results at all. ``needed(able, low, high)`` gets bounds of the scores and says which
     of the pairs are still open; it has to keep every pair whose true score could be a result.
     """
-    at, left = np.nonzero(able.any(axis=0))[0], []
-    able = able[:, at]
-    slack = 1e-9 * (anchors.scale * rows.scale + 1)
+    at, left = np.arange(able.shape[1]), []
+
+    def only(stays: np.ndarray):
+        return (at, able) if stays.all() else (at[stays], able[:, stays])
+
+    at, able = only(able.any(axis=0))
     for (own_means, own_deviations), (means, deviations) in zip(anchors.levels, rows.levels):
-        middle = own_means[mine] @ means[at].T
-        reach = own_deviations[mine] @ deviations[at].T + slack
-        able = able & needed(able, middle - reach, middle + reach)
-        stays = able.any(axis=0)
-        at, able = at[stays], able[:, stays]
-        left.append(len(at))
         if not len(at):
             break
+        here = slice(None) if len(at) == len(means) else at
+        middle = own_means[mine] @ means[here].T
+        # what the sums of so many segments may be off by
+        error = max(1e-9, 2 * max(np.finfo(x.dtype).eps for x in (own_means, means)) * (means.shape[1] + 8))
+        reach = own_deviations[mine] @ deviations[here].T + middle.dtype.type(error * (anchors.scale * rows.scale + 1))
+        able = able & needed(able, middle - reach, middle + reach)
+        at, able = only(able.any(axis=0))
+        left.append(len(at))
     return at, able, left
 
 
-def _kth_largest(values: np.ndarray, k: int) -> np.ndarray:
-    """Per row the k-th largest value, -inf if there are fewer."""
-    if values.shape[1] < k:
-        return np.full(len(values), -np.inf)
-    return -np.partition(-values, k - 1, axis=1)[:, k - 1]
-
-
-def best(anchors: Rows, rows: Rows, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, row, score) of each anchor's ``top`` best rows of its own label; ``anchors.keys`` are ids here."""
-    found = [], [], []
-    for begin in range(0, len(anchors.keys), TOGETHER):
-        mine = slice(begin, min(begin + TOGETHER, len(anchors.keys)))
-        able = (anchors.labels[mine, None] == rows.labels[None]) & (anchors.keys[mine, None] != rows.keys[None])
-
-        def needed(able, low, high):
-            # as many rows as wanted surely score the k-th largest lower bound; what cannot reach it is out
-            return high >= _kth_largest(np.where(able, low, -np.inf), top)[:, None]
+class Found:
+    """The best rows so far of each anchor in each range of scores (``least`` to ``most``): higher scores first, ties by id.
 
-        at, able, _ = _left(anchors, mine, rows, able, needed)
-        scores = anchors.exact(mine, rows, at)
-        for k in range(len(scores)):
-            own = np.nonzero(able[k])[0]
-            first = own[np.lexsort((rows.keys[at[own]], -scores[k, own]))[:top]]
-            found[0].append(np.full(len(first), begin + k)), found[1].append(at[first]), found[2].append(scores[k, first])
-    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in found)
+    It takes rows in any order and any portions. What has been found says what later rows have to reach, so the more rows
+    were seen, the fewer are looked at again. Its size is that of the results, whatever the number of rows.
+    """
 
+    def __init__(self, least: np.ndarray, most: np.ndarray, top: int):
+        self.least, self.most = least, most  # (anchors, ranges)
+        self.scores = np.full((*least.shape, top), NONE)
+        self.keys = np.full((*least.shape, top), -NONE)
 
-def negatives(anchors: Rows, wanted: list[np.ndarray], rows: Rows, top: int, share: tuple[int, int]):
-    """(anchor, positive, row, score): per anchor and positive the ``top`` best rows of other labels within the bounds.
+    def meet(self, anchors: Rows, mine: np.ndarray, rows: Rows, able: np.ndarray) -> None:
+        """The rows for the anchors ``mine``, where ``able`` holds."""
+        lowest = np.maximum(self.least[mine], self.scores[mine, :, -1]).min(axis=1, keepdims=True)
+        highest = self.most[mine].max(axis=1, keepdims=True)
+        bounds: dict = {}
 
-    ``wanted`` are the scores of each anchor's positives; share[0] * positive <= 100 * score <= share[1] * positive.
-    """
-    found = [], [], [], []
-    for begin in range(0, len(anchors.keys), TOGETHER):
-        mine = slice(begin, min(begin + TOGETHER, len(anchors.keys)))
-        able = anchors.labels[mine, None] != rows.labels[None]
-        lows = [-(-share[0] * scores // 100) for scores in wanted[mine]]  # rounded up
-        highs = [share[1] * scores // 100 for scores in wanted[mine]]
-        places = max(map(len, lows))
-        least = np.array([[*x, *[np.inf] * (places - len(x))] for x in lows], float).reshape(len(lows), places, 1)
-        most = np.array([[*x, *[-np.inf] * (places - len(x))] for x in highs], float).reshape(len(lows), places, 1)
+        def among(kind) -> tuple[np.ndarray, np.ndarray]:
+            # scores that a kind of float holds exactly are on the same side of a rounded limit
+            if kind not in bounds:
+                bounds[kind] = lowest.astype(kind), highest.astype(kind)
+            return bounds[kind]
 
         def needed(able, low, high):
-            opened = np.zeros(able.shape, bool)
-            for p in range(places):
-                sure = able & (high <= most[:, p]) & (low >= least[:, p])  # certain to be within the bounds
-                need = np.maximum(least[:, p], _kth_largest(np.where(sure, low, -np.inf), top)[:, None])
-                opened |= (high >= need) & (low <= most[:, p])
-            return opened
+            least, most = among(low.dtype)
+            return (high >= least) & (low <= most)
 
         at, able, _ = _left(anchors, mine, rows, able, needed)
-        scores = anchors.exact(mine, rows, at)
-        for k in range(len(scores)):
-            own = np.nonzero(able[k])[0]
-            own = own[np.lexsort((rows.keys[at[own]], -scores[k, own]))]
-            ordered = -scores[k, own]
-            for p, (bottom, ceiling) in enumerate(zip(lows[k], highs[k])):
-                a, b = np.searchsorted(ordered, -ceiling, "left"), np.searchsorted(ordered, -bottom, "right")
-                some = own[a:min(b, a + top)]
-                found[0].append(np.full(len(some), begin + k)), found[1].append(np.full(len(some), p))
-                found[2].append(at[some]), found[3].append(scores[k, some])
-    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in found)
+        scores = anchors.exact(mine, rows, slice(None) if len(at) == len(rows.keys) else at)
+        least, most = among(scores.dtype)
+        a, r = np.nonzero(able & (scores >= least) & (scores <= most))
+        if len(a):
+            self._add(mine[a], scores[a, r].astype(np.int64), rows.keys[at[r]])
+
+    def _add(self, anchors: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
+        s, k, last = scores[:, None], keys[:, None], self.scores[anchors, :, -1]
+        better = (s > last) | ((s == last) & (k < self.keys[anchors, :, -1]))
+        i, p = np.nonzero(better & (s >= self.least[anchors]) & (s <= self.most[anchors]))
+        top = self.scores.shape[2]
+        slots = anchors[i] * self.scores.shape[1] + p
+        touched = np.unique(slots)
+        all_scores, all_keys = self.scores.reshape(-1, top), self.keys.reshape(-1, top)
+        slot = np.concatenate([np.repeat(touched, top), slots])
+        score = np.concatenate([all_scores[touched].ravel(), scores[i]])
+        key = np.concatenate([all_keys[touched].ravel(), keys[i]])
+        order = np.lexsort((key, -score, slot))
+        first = np.searchsorted(slot[order], touched)
+        kept = order[first[:, None] + np.arange(top)]  # a slot has ``top`` places, filled or not
+        all_scores[touched], all_keys[touched] = score[kept], key[kept]
+
+    def results(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, range, id, score)"""
+        a, p, k = np.nonzero(self.scores != NONE)
+        return a, p, self.keys[a, p, k], self.scores[a, p, k]
+
+
+def _portions(n: int, size: int) -> Iterator[slice]:
+    return (slice(begin, min(begin + size, n)) for begin in range(0, n, size))
+
+
+def any_score(n: int, top: int) -> Found:
+    """For ``n`` anchors, no result yet; every score will do."""
+    return Found(np.full((n, 1), NONE), np.full((n, 1), -NONE), top)
+
+
+def best(found: Found, anchors: Rows, rows: Rows) -> None:
+    """Each anchor meets the rows of its own label but those with its own id."""
+    order = np.argsort(rows.labels, kind="stable")
+    ordered = rows.labels[order]
+    for label in np.unique(anchors.labels):
+        own = order[np.searchsorted(ordered, label, "left"):np.searchsorted(ordered, label, "right")]
+        if not len(own):
+            continue
+        some, asking = rows.part(own), np.nonzero(anchors.labels == label)[0]
+        for portion in _portions(len(asking), TOGETHER):
+            mine = asking[portion]
+            for few in _few_first(found, mine, some):
+                found.meet(anchors, mine, few, anchors.keys[mine, None] != few.keys[None])
+
+
+def wanted(scores: list[np.ndarray], share: tuple[int, int], top: int) -> Found:
+    """Ranges by the scores of each anchor's positives: share[0] * positive <= 100 * score <= share[1] * positive."""
+    places = max([1, *map(len, scores)])
+    least, most = np.full((len(scores), places), -NONE), np.full((len(scores), places), NONE)
+    for k, x in enumerate(scores):
+        least[k, :len(x)], most[k, :len(x)] = -(-share[0] * x // 100), share[1] * x // 100  # rounded up, rounded down
+    return Found(least, most, top)
+
+
+def negatives(found: Found, anchors: Rows, rows: Rows) -> None:
+    """Each anchor meets the rows of other labels."""
+    for portion in _portions(len(anchors.keys), TOGETHER):
+        mine = np.arange(portion.start, portion.stop)
+        for few in _few_first(found, mine, rows):
+            found.meet(anchors, mine, few, anchors.labels[mine, None] != few.labels[None])
+
+
+def _few_first(found: Found, mine: np.ndarray, rows: Rows) -> list[Rows]:
+    """The rows; where most results are still missing, some of them first, so that the others have something to reach."""
+    if len(rows.keys) <= FEW or np.mean(found.scores[mine, :, -1] != NONE) > 0.5:
+        return [rows]
+    return [rows.part(slice(0, FEW)), rows.part(slice(FEW, None))]
 
 
 def _blocks(rows: DataFrame, size: int, label: str) -> tuple[DataFrame, int]:
@@ -159,6 +222,8 @@ def _blocks(rows: DataFrame, size: int, label: str) -> tuple[DataFrame, int]:
 
         def row(block: int, length: int) -> pa.RecordBatch:
             keys, labels, vectors = (np.concatenate(x) for x in zip(*held.pop((block, length))))
+            order = np.argsort(keys, kind="stable")
+            keys, labels, vectors = keys[order], labels[order], vectors[order]
             width = next(w for w in ("i2", "i4", "i8") if w == "i8" or np.abs(vectors).max(initial=0) <= np.iinfo(w).max)
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([length], pa.int32()), pa.array([len(keys)], pa.int32()),
@@ -198,8 +263,9 @@ def mine_negatives(vectors: DataFrame, anchors: Column | None = None, positives:
     each, a repeated anchor is mined as often as it occurs, and a positive that occurs twice is listed twice; a row
     with the anchor's own id is never its positive. Labels are whole numbers; scores have to fit a long.
 
-    All rows and all anchors are dealt into blocks whatever their labels; every block of anchors meets every block of rows,
-    and a pair of blocks gives at most ``positives`` (then ``positives`` * ``top``) rows per anchor.
+    All rows and all anchors are dealt into blocks whatever their labels; every block of anchors meets every block of rows.
+    Blocks of rows form groups, and a group gives at most ``positives`` (then ``positives`` * ``top``) rows per anchor. A
+    task holds one block of anchors with its results and one block of rows; nothing is broadcast.
     """
     spark = vectors.sparkSession
     fits = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -211,55 +277,87 @@ def mine_negatives(vectors: DataFrame, anchors: Column | None = None, positives:
     row_blocks, n_blocks = _blocks(rows, rows_per_block, "row-blocks")
     anchor_blocks, _ = _blocks(rows.filter("anchor"), anchors_per_block, "anchor-blocks")
 
+    # a task meets all anchors with the blocks of its groups
+    groups = min(n_blocks, max(GROUPS, 3 * spark.sparkContext.defaultParallelism))
+
     def met(asked: DataFrame) -> DataFrame:
-        """Every block of anchors beside every block of rows of its length: anchors travel, rows are shuffled once."""
-        mine = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block"), "length",
+        """Every block of anchors beside every block of rows of its length: anchors travel to each group of blocks, rows are
+        shuffled once. Merged and never broadcast, since all anchors together may be large; the blocks of a group follow one
+        another for each block of anchors.
+        """
+        mine = asked.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "length",
                             *[F.col(c).alias(f"own_{c}") for c in asked.columns if c != "length"])
-        return mine.join(row_blocks, ["block", "length"])
+        theirs = row_blocks.select(F.pmod("block", F.lit(groups)).cast("int").alias("group"), "length", "keys", "labels", "vectors")
+        # by number, as few bytes are much work: several parts a group, so that few parts get two groups
+        dealt = [x.repartition(4 * groups, "group", "length") for x in (mine, theirs)]
+        return dealt[0].join(dealt[1].hint("merge"), ["group", "length"])
 
-    def read(row: dict, prefix: str = "") -> Rows:
-        return Rows.read(row["length"], *(row[prefix + c] for c in ("keys", "labels", "vectors")))
+    def each(begin, meet, names: list[str]):
+        """A function over Arrow batches that meets every pair of blocks, and gives columns for each run of one block of anchors.
 
-    def each(run, names: list[str]):
-        """A function over Arrow batches that calls run(row) -> columns for every pair of blocks."""
+        begin(row) -> (anchors, results so far, columns of the results); what a block of anchors has found in a block of rows
+        says what the next one has to reach, so the results of a run are no more than those of one block.
+        """
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = anchors = found = columns = None
+
+            def ended() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns()], names=names)
+
             for batch in batches:
                 for k in range(batch.num_rows):
-                    columns = run({c: batch.column(c)[k].as_py() for c in batch.schema.names})
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=names)
+                    value = lambda c: batch.column(c)[k].as_py()
+                    one = value("own_block"), value("length")
+                    if one != held:
+                        if held is not None:
+                            yield ended()
+                        held = one
+                        anchors, found, columns = begin({c: value(c) for c in batch.schema.names if c not in ("keys", "labels", "vectors")})
+                    meet(found, anchors, Rows.read(value("length"), value("keys"), value("labels"), value("vectors")))
+            if held is not None:
+                yield ended()
         return work
 
-    def find_positives(row: dict):
-        mine, others = read(row, "own_"), read(row)
-        a, b, score = best(mine, others, positives)
-        return np.full(len(a), row["own_block"]), np.full(len(a), row["length"]), a, others.keys[b], score
+    def begin_positives(row: dict):
+        mine = Rows.read(row["length"], row["own_keys"], row["own_labels"], row["own_vectors"])
+        found = any_score(len(mine.keys), positives)
+
+        def columns():
+            a, _, key, score = found.results()
+            return np.full(len(a), row["own_block"]), np.full(len(a), row["length"]), a, key, score
+
+        return mine, found, columns
 
     names = ["own_block", "length", "at", "positive_id", "positive_score"]
-    near = met(anchor_blocks).mapInArrow(each(find_positives, names), ", ".join(f"{c} long" for c in names))
+    near = met(anchor_blocks).mapInArrow(each(begin_positives, best, names), ", ".join(f"{c} long" for c in names))
     order = Window.partitionBy("own_block", "length", "at").orderBy(F.desc("positive_score"), "positive_id")
     near = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= positives)
     # the positives of a block of anchors: at most ``positives`` per anchor
     per_block = near.groupBy("own_block", "length").agg(F.array_sort(F.collect_list(F.struct(
         "at", "place", "positive_id", "positive_score"))).alias("positives"))
     asked = stage(anchor_blocks.join(per_block.select(
-        F.col("own_block").alias("block"), F.col("length").cast("int").alias("length"), "positives"), ["block", "length"]),
+        F.col("own_block").alias("block"), F.col("length").cast("int").alias("length"), "positives").hint("merge"), ["block", "length"]),
         "anchors-with-positives")
 
-    def find_negatives(row: dict):
-        mine, others = read(row, "own_"), read(row)
+    def begin_negatives(row: dict):
+        mine = Rows.read(row["length"], row["own_keys"], row["own_labels"], row["own_vectors"])
         listed: list[list] = [[] for _ in mine.keys]
         for p in row["own_positives"]:
             listed[p["at"]].append((p["positive_id"], p["positive_score"]))
-        wanted = [np.array([s for _, s in x], np.int64) for x in listed]
-        a, p, b, score = negatives(mine, wanted, others, top, share)
-        pairs = [listed[i][k] for i, k in zip(a.tolist(), p.tolist())]
-        return (np.full(len(a), row["own_block"]), np.full(len(a), row["length"]), a, p, mine.keys[a], np.array([x for x, _ in pairs], np.int64),
-                others.keys[b], np.array([x for _, x in pairs], np.int64), score)
+        found = wanted([np.array([s for _, s in x], np.int64) for x in listed], share, top)
+
+        def columns():
+            a, p, key, score = found.results()
+            pairs = [listed[i][k] for i, k in zip(a.tolist(), p.tolist())]
+            return (np.full(len(a), row["own_block"]), np.full(len(a), row["length"]), a, p, mine.keys[a],
+                    np.array([x for x, _ in pairs], np.int64), key, np.array([x for _, x in pairs], np.int64), score)
+
+        return mine, found, columns
 
     discard(anchor_blocks)
 
     names = ["own_block", "length", "at", "place", "anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"]
-    hard = met(asked).mapInArrow(each(find_negatives, names), ", ".join(f"{c} long" for c in names))
+    hard = met(asked).mapInArrow(each(begin_negatives, negatives, names), ", ".join(f"{c} long" for c in names))
     order = Window.partitionBy("own_block", "length", "at", "place").orderBy(F.desc("negative_score"), "negative_id")
     return hard.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= top).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bedwatch.llm.queries import QUERIES
-from bedwatch.llm.segment_bounds import Rows, _left, _levels, best, mine_negatives, summaries
+from bedwatch.llm.segment_bounds import FEW, Rows, _left, _levels, any_score, best, mine_negatives, summaries
 
 SCHEMA = "vec_id long, embedding array<float>, label int, block string, score double, key int"
 
@@ -123,3 +123,35 @@ def test_refinement_leaves_few_rows_of_clustered_vectors():
 def test_large_numbers_are_scored_exactly(spark):
     rows = [(0, [3e5, 1.0], 1, "x", 1.0, 1), (1, [3e5, 2.0], 1, "x", 1.0, 1), (2, [2.0e5, -1.0], 2, "x", 1.0, 1)]
     assert mined(spark.createDataFrame(rows, SCHEMA)) == brute(rows) != []
+
+
+def test_blocks_of_anchors_are_not_broadcast(spark, capsys):
+    """A copy of all anchors for each block of rows does not fit the driver; more blocks than groups, results as before."""
+    rows = random_rows(600, 12, 4, clusters=5, labels=3)
+    hard = mine_negatives(spark.createDataFrame(rows, SCHEMA).repartition(3), rows_per_block=10, anchors_per_block=2)
+    hard.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert sorted(tuple(r) for r in hard.collect()) == brute(rows)
+
+
+def test_results_of_many_blocks_are_no_more_than_those_of_one():
+    """What anchors find in block after block is kept together: as many as wanted, ties by id, whatever the order of blocks."""
+    rng = np.random.default_rng(7)
+    v = rng.integers(-4, 5, (3 * FEW, 6))  # few different scores, so many ties
+    labels = rng.integers(0, 3, len(v))
+
+    def block(at):
+        return Rows.read(6, at.astype(np.int64).tobytes(), labels[at].astype(np.int64).tobytes(), v[at].astype(np.int64).tobytes())
+
+    anchors, parts = block(np.arange(0, len(v), 100)), np.array_split(np.arange(len(v)), 9) + [np.arange(0)]
+    for order in (parts, parts[::-1], [np.arange(len(v))]):
+        found = any_score(len(anchors.keys), 5)
+        for part in order:
+            best(found, anchors, block(part))
+        a, _, key, score = found.results()
+        assert len(a) == 5 * len(anchors.keys)
+        for k, anchor in enumerate(anchors.keys):
+            scores = v @ v[anchor]
+            others = [i for i in range(len(v)) if i != anchor and labels[i] == labels[anchor]]
+            want = sorted(others, key=lambda i: (-scores[i], i))[:5]
+            assert key[a == k].tolist() == want and score[a == k].tolist() == scores[want].tolist()
