@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str = "bedwatch", master: str | None = None, **conf) -> SparkSession:
     """A session in UTC with adaptive execution and an on-disk state store.
@@ -25,14 +28,31 @@ def build_session(app_name: str = "bedwatch", master: str | None = None, **conf)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        STATE_STORE: ROCKSDB,
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+@contextmanager
+def timers_store(spark: SparkSession) -> Iterator[None]:
+    """What is started inside can have timers, whatever the session's state store.
+
+    Values and timers of a processor are column families, which Spark's default store does not have; a stream
+    keeps the store it was started with. A store that was chosen in place of the default is left.
+    """
+    before = spark.conf.get(STATE_STORE, None)
+    if before and not before.endswith(".HDFSBackedStateStoreProvider"):
+        yield
+        return
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

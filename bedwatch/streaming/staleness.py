@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from bedwatch.config import ALERT_TYPE_STALE, DEFAULTS, Settings, TEXT_STALE
+from bedwatch.session import timers_store
 from bedwatch.sinks.tables import latest_rows, write_changes
 
 # The processor, and what it uses, goes to the Python workers whole: they need not have the package.
@@ -183,10 +184,11 @@ def start_staleness(signs: DataFrame, path: str, checkpoint: str, checks: Checks
         last = batch.groupBy(*ALERT_KEYS).agg(F.max("resolved_at").alias("resolved_at"), F.bool_or("acknowledged").alias("acknowledged"))
         write_changes(last, path, batch_id, ALERT_KEYS, COMPACT_EVERY)
 
-    return (
-        changes.writeStream.queryName("silences").outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": cfg.archive_trigger})).start()
-    )
+    with timers_store(signs.sparkSession):
+        return (
+            changes.writeStream.queryName("silences").outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": cfg.archive_trigger})).start()
+        )
 
 
 def read_silences(spark: SparkSession, path: str, patients: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from bedwatch.config import DEFAULTS
+from bedwatch.session import STATE_STORE
 from bedwatch.streaming import staleness as st
 
 T0 = datetime(2024, 1, 1)
@@ -118,3 +119,27 @@ def test_workers_need_not_have_the_package(tmp_path):
     said = subprocess.run([sys.executable, "-I", "-c", use], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert said.returncode == 0, said.stderr
     assert said.stdout.split() == ["Processor", "_once_per_window", f"({START},", "-1)"]
+
+
+@pytest.fixture
+def default_store(spark):
+    """A session with the state store that Spark has by default, which has no timers."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.unset(STATE_STORE)
+    default = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield default
+    spark.conf.set(STATE_STORE, before)
+
+
+def test_sessions_with_the_default_state_store(spark, folder, default_store):
+    """A session need not have been built for timers, and its other streams keep their store."""
+    patients = spark.createDataFrame([("never", "N")], "patient_id string, name string")
+    st.roster(patients, F.lit(T0)).unionByName(st.clock(spark.createDataFrame([(T0 + timedelta(seconds=60),)], "at timestamp"))) \
+        .coalesce(1).write.parquet(f"{folder}/in")
+    signs = spark.readStream.schema(st.INPUT).parquet(f"{folder}/in")
+    before = spark.conf.get(STATE_STORE)
+    st.start_staleness(signs, f"{folder}/alerts", f"{folder}/checkpoint", st.Checks(T0, 30), DEFAULTS, {"availableNow": True}).awaitTermination()
+    assert spark.conf.get(STATE_STORE) == before == default_store
+    got = st.read_silences(spark, f"{folder}/alerts", patients).collect()
+    assert [(r["patient_id"], r["triggered_at"], r["acknowledged"]) for r in got] == [("never", T0, False)]
