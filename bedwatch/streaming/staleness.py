@@ -1,8 +1,9 @@
-"""Silence alerts from a timer per patient.
+"""Silence alerts from timers.
 
-The periodic check asks every time who was silent for too long, which reads the windows of all patients. Here a
-patient has one timer, set to the first check at which they can be overdue; new windows move it, so a check costs what it
-finds. The state of a patient is a few values however much they send.
+The periodic check asks every time who was silent for too long, which reads the windows of all patients. Here every
+patient has the time of the first check at which they can be overdue; new windows move it. The state of a patient is a few
+values however much they send. Patients are kept in buckets by their id, with one timer for the next check that is due in
+the bucket: each call of the state store takes longer than the work on a patient, so there are few calls for a batch.
 
 Alerts are those of the periodic check at the instants of the settings' clock: opened at the first check that finds the
 patient silent, resolved at the first one that finds windows again, never opened twice.
@@ -10,6 +11,7 @@ patient silent, resolved at the first one that finds windows again, never opened
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 from datetime import datetime, timezone
@@ -30,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ALERT_KEYS = ("patient_id", "triggered_at")
 COMPACT_EVERY = 100
+#: of patients; fixed for a checkpoint
+BUCKETS = 256
 #: stands for the clock among the patients; their own ids are never empty
 CLOCK = ""
 INPUT = "patient_id string, window_end timestamp, on_roster boolean, event_time timestamp"
@@ -86,58 +90,80 @@ class Silence(NamedTuple):
 
 
 def silence_processor(checks: Checks, limit_ms: int) -> StatefulProcessor:
-    """One event-time timer per patient, set to their next check."""
+    """One event-time timer per bucket of patients, set to the next check of any of them."""
 
     class Processor(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.state = handle.getValueState(
-                "silence", "seen bigint, ahead string, opened bigint, listed boolean, handled bigint, timer bigint")
-
-        def _load(self) -> tuple[Silence, int]:
-            if not self.state.exists():
-                return Silence(), -1
-            seen, ahead, opened, listed, handled, timer = self.state.get()
-            return Silence(seen, tuple(int(x) for x in ahead.split(",") if x), opened, listed, handled), timer
-
-        def _store(self, silence: Silence, timer: int) -> None:
-            due = silence.next_check(checks, limit_ms)
-            due = -1 if due is None else due
+            self.state = handle.getValueState("silences", "patients string, timer bigint")
+
+        def _load(self) -> tuple[dict[str, tuple[Silence, int]], int]:
+            """(each patient's silence and next check, the timer); -1 for none."""
+            stored = self.state.get()
+            if stored is None:
+                return {}, -1
+            patients, timer = stored
+            return {name: (Silence(seen, tuple(ahead), opened, listed, handled), due)
+                    for name, (seen, ahead, opened, listed, handled, due) in json.loads(patients).items()}, timer
+
+        def _store(self, patients: dict[str, tuple[Silence, int]], timer: int) -> None:
+            due = min((due for _, due in patients.values() if due >= 0), default=-1)
             if due != timer:
                 if timer >= 0:
                     self.handle.deleteTimer(timer)
                 if due >= 0:
                     self.handle.registerTimer(due)
-            self.state.update((silence.seen, ",".join(map(str, silence.ahead)), silence.opened, silence.listed,
-                               silence.handled, due))
+            self.state.update((json.dumps({name: (*silence, due) for name, (silence, due) in patients.items()}), due))
+
+        def _due(self, silence: Silence) -> int:
+            due = silence.next_check(checks, limit_ms)
+            return -1 if due is None else due
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            if key[0] != CLOCK:
-                silence, timer = self._load()
-                ends, listed = set(silence.ahead), silence.listed
-                for some in rows:
-                    known = some["window_end"].dropna()
-                    ends.update((known.astype("datetime64[us]").astype("int64") // 1000).tolist())
-                    listed = listed or bool(some["on_roster"].any())
-                ends = tuple(sorted(e for e in ends if e > silence.seen))
+            patients, timer = self._load()
+            windows: dict[str, set[int]] = {}
+            listed: set[str] = set()
+            for some in rows:
+                some = some[some["patient_id"] != CLOCK]
+                for name in some["patient_id"].tolist():
+                    windows.setdefault(name, set())
+                listed.update(some["patient_id"][some["on_roster"].astype(bool)].tolist())
+                known = some[some["window_end"].notna()]
+                ends = (known["window_end"].astype("datetime64[us]").astype("int64") // 1000).tolist()
+                for name, end in zip(known["patient_id"].tolist(), ends):
+                    windows[name].add(end)
+            for name, new in windows.items():
+                silence, _ = patients.get(name, (Silence(), -1))
+                ends = sorted(e for e in new.union(silence.ahead) if e > silence.seen)
                 # what the last check already knew about counts at once
                 seen = max([silence.seen, *(e for e in ends if e <= silence.handled)])
-                self._store(silence._replace(seen=seen, ahead=tuple(e for e in ends if e > seen), listed=listed), timer)
+                silence = silence._replace(seen=seen, ahead=tuple(e for e in ends if e > seen),
+                                           listed=silence.listed or name in listed)
+                patients[name] = silence, self._due(silence)
+            if windows:
+                self._store(patients, timer)
             return iter([])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             at = expiredTimerInfo.getExpiryTimeInMs()
-            silence, timer = self._load()
+            patients, timer = self._load()
             if at != timer:
                 return
-            silence, change = silence.after_check(at, limit_ms)
-            self._store(silence, -1)
-            if change:
-                opened, resolved = change
+            now, changes = max(at, timerValues.getCurrentWatermarkInMs()), []
+            for name, (silence, due) in patients.items():
+                while 0 <= due <= now:
+                    silence, change = silence.after_check(due, limit_ms)
+                    due = self._due(silence)
+                    if change:
+                        changes.append((name, *change))
+                patients[name] = silence, due
+            self._store(patients, -1)
+            if changes:
+                names, opened, resolved = zip(*changes)
                 yield pd.DataFrame({
-                    "patient_id": [key[0]], "triggered_at": pd.to_datetime([opened], unit="ms"),
-                    "resolved_at": pd.to_datetime([resolved if resolved >= 0 else None], unit="ms"),
-                    "acknowledged": [resolved >= 0]})
+                    "patient_id": names, "triggered_at": pd.to_datetime(opened, unit="ms"),
+                    "resolved_at": pd.to_datetime([r if r >= 0 else None for r in resolved], unit="ms"),
+                    "acknowledged": [r >= 0 for r in resolved]})
 
         def close(self) -> None:
             pass
@@ -173,11 +199,15 @@ def clock(ticks: DataFrame, at: str = "at") -> DataFrame:
 
 
 def start_staleness(signs: DataFrame, path: str, checkpoint: str, checks: Checks, cfg: Settings = DEFAULTS,
-                    trigger: dict | None = None) -> StreamingQuery:
-    """Maintain the silence alerts under ``path`` from the union of ``signs_of_life``, ``roster`` and ``clock``."""
+                    trigger: dict | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Maintain the silence alerts under ``path`` from the union of ``signs_of_life``, ``roster`` and ``clock``.
+
+    ``buckets`` says how many patients share a timer and is fixed for a checkpoint.
+    """
     marked = signs.select("patient_id", "window_end", "on_roster", "event_time").filter(
         F.col("patient_id").isNotNull() & F.col("event_time").isNotNull()).mapInArrow(_once_per_window, INPUT)
-    changes = marked.withWatermark("event_time", cfg.watermark).groupBy("patient_id").transformWithStateInPandas(
+    dealt = marked.withColumn("bucket", F.pmod(F.xxhash64("patient_id"), F.lit(buckets)))
+    changes = dealt.withWatermark("event_time", cfg.watermark).groupBy("bucket").transformWithStateInPandas(
         silence_processor(checks, cfg.stale_after_seconds * 1000), OUTPUT, "Update", "EventTime")
 
     def write(batch: DataFrame, batch_id: int) -> None:

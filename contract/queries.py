@@ -852,7 +852,7 @@ def _no_alerts(spark):
 
 @query
 def stream_staleness(spark, sf):
-    """The same two checks by a timer per patient, over the readings as a stream; the clock goes on to the second one."""
+    """The same two checks by timers, over the readings as a stream; the clock goes on to the second one."""
     path = new_folder(spark, "silences")
     cfg = CFG.with_(watermark="0 seconds")
     signs = sst.signs_of_life(inp.as_readings(inp.stream_of(spark, sf)), cfg)

@@ -143,3 +143,25 @@ def test_sessions_with_the_default_state_store(spark, folder, default_store):
     assert spark.conf.get(STATE_STORE) == before == default_store
     got = st.read_silences(spark, f"{folder}/alerts", patients).collect()
     assert [(r["patient_id"], r["triggered_at"], r["acknowledged"]) for r in got] == [("never", T0, False)]
+
+
+def test_patients_of_a_bucket_share_a_timer(spark, folder):
+    """All in one bucket, overdue at different checks, several checks in a batch, odd names, and a restart."""
+    at = lambda s: T0 + timedelta(seconds=s)
+    sent = [[('a"\\\\', at(1)), ("é, b", at(100)), ("c", at(400))], [("c", at(900)), ('a"\\\\', at(905))], [("c", at(1300))]]
+    patients = spark.createDataFrame([(p, p) for p in ('a"\\\\', "é, b", "c", "never")], "patient_id string, name string")
+    checks = st.Checks(T0, 30)
+    st.roster(patients, F.lit(T0)).coalesce(1).write.parquet(f"{folder}/roster")
+    for k, rows in enumerate(sent):
+        spark.createDataFrame(rows, "patient_id string, event_time timestamp").coalesce(1).write.parquet(f"{folder}/in/step={k}")
+        readings = spark.readStream.schema("patient_id string, event_time timestamp").parquet(f"{folder}/in/step=*")
+        signs = st.signs_of_life(readings).unionByName(spark.readStream.schema(st.INPUT).parquet(f"{folder}/roster"))
+        st.start_staleness(signs, f"{folder}/alerts", f"{folder}/checkpoint", checks, DEFAULTS, {"availableNow": True}, buckets=1).awaitTermination()
+    got = {(r["patient_id"], int((r["triggered_at"] - T0).total_seconds())): r["acknowledged"]
+           for r in st.read_silences(spark, f"{folder}/alerts", patients).collect()}
+    now, want = START + 1000 * 1300 - 10_000, {}
+    for name, in patients.select("patient_id").collect():
+        ends = [START + 1000 * (30 * (int((t - T0).total_seconds()) // 30) + 30) for rows in sent for p, t in rows if p == name]
+        for opened, resolved in periodic(ends, checks, now, 1000 * DEFAULTS.stale_after_seconds):
+            want[name, (opened - START) // 1000] = resolved >= 0
+    assert got == want and len(got) > 5
